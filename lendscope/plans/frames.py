@@ -32,6 +32,15 @@ class LendingFrames:
         self.ingest_ts = ingest_ts
         self.rules = rules
 
+    def use(self, **frames: DataFrame) -> "LendingFrames":
+        """Replace named frames (e.g. with tables read back from storage);
+        every frame derived later builds on the replacement."""
+        for name, df in frames.items():
+            if not isinstance(getattr(type(self), name, None), cached_property):
+                raise AttributeError(f"unknown frame {name!r}")
+            self.__dict__[name] = df
+        return self
+
     # wide table and splits
     @cached_property
     def raw(self) -> DataFrame:

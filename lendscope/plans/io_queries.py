@@ -1,5 +1,135 @@
-"""Source/sink and catalog round-trip queries (filled in below)."""
+"""Source/sink and catalog round trips as registered queries.
 
+Each writes a frame derived from the given tables to the shared folder
+(overwriting that query's own path), reads it back through the operator
+under test, and returns the read-back DataFrame. ``catalog_tables`` has no
+SQL oracle (it lists catalog objects) and gets a rows-only check.
+"""
 
-def io_queries():
-    return {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lendscope import schemas
+from lendscope.operators import clean
+from lendscope.operators.split import split_loans_source
+from lendscope.plans.frames import FIXED_INGEST_TS
+from lendscope.plans.registry import frames
+from lendscope.session import shared_path, sf_tag
+from lendscope.sources import catalog
+from lendscope.sources.files import (
+    read_csv_inferred, read_csv_schema, read_csv_strings, read_parquet, write_csv, write_parquet,
+)
+
+DB = "lendscope_io"
+
+
+def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return shared_path(spark, "io", sf_tag(sf_dir), name)
+
+
+def _db(spark: SparkSession, sf_dir: str) -> str:
+    db = f"{DB}_{sf_tag(sf_dir).replace('.', '_')}"
+    catalog.create_database(spark, db, _path(spark, sf_dir, f"warehouse/{db}.db"))
+    return db
+
+
+def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate-id report written as CSV, read back with schema inference."""
+    path = write_csv(frames(spark, sf_dir).dup_ids, _path(spark, sf_dir, "duplicate_member_ids_csv"))
+    return read_csv_inferred(spark, path)
+
+
+def scan_csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans split with source header names, read back with the typed DDL (positional)."""
+    path = write_csv(split_loans_source(frames(spark, sf_dir).keyed), _path(spark, sf_dir, "loans_data_csv"))
+    return read_csv_schema(spark, path, schemas.LOANS_RAW_DDL)
+
+
+def scan_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header-only CSV read: every column a string."""
+    k = frames(spark, sf_dir).keyed
+    df = k.select(F.col("id").alias("loan_id"), F.col("name_sha2").alias("member_id"), "term", "issue_d",
+                  "loan_status", "purpose", "title", "last_pymnt_d", "next_pymnt_d")
+    return read_csv_strings(spark, write_csv(df, _path(spark, sf_dir, "loan_strings_csv")))
+
+
+def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers split written as CSV with a header and read back with its DDL."""
+    path = write_csv(frames(spark, sf_dir).customers_raw, _path(spark, sf_dir, "customers_data_csv"))
+    return read_csv_schema(spark, path, schemas.CUSTOMERS_RAW_DDL)
+
+
+def sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = write_parquet(frames(spark, sf_dir).loans, _path(spark, sf_dir, "loans_data_cleaned"))
+    return read_parquet(spark, path)
+
+
+def external_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned customers as Parquet, declared as an external table, scanned by name."""
+    path = write_parquet(frames(spark, sf_dir).customers, _path(spark, sf_dir, "customers_data_cleaned"))
+    db = _db(spark, sf_dir)
+    name = catalog.create_external_table(spark, db, "customers", schemas.CUSTOMERS_TABLE_DDL, path)
+    return catalog.scan_table(spark, name)
+
+
+def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score written as Parquet, declared as table ``score``, read back with SQL."""
+    path = write_parquet(frames(spark, sf_dir).score, _path(spark, sf_dir, "final_score"))
+    db = _db(spark, sf_dir)
+    catalog.create_external_table(spark, db, "score", schemas.SCORE_TABLE_DDL, path)
+    return spark.sql(f"SELECT * FROM `{db}`.`score`")
+
+
+def scan_temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers split as SQL over the keyed wide table registered as a temp view."""
+    view = f"newtable_{sf_tag(sf_dir).replace('.', '_')}"
+    return catalog.scan_temp_view(spark, frames(spark, sf_dir).keyed, view, f"""
+        SELECT name_sha2 AS member_id, emp_title, emp_length, home_ownership,
+               CAST(annual_inc AS FLOAT) AS annual_inc, addr_state, zip_code, 'USA' AS country,
+               grade, sub_grade, verification_status, CAST(tot_hi_cred_lim AS FLOAT) AS tot_hi_cred_lim,
+               application_type, CAST(annual_inc_joint AS FLOAT) AS annual_inc_joint,
+               verification_status_joint
+        FROM {view}""")
+
+
+def ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.ingest_stamp(frames(spark, sf_dir).repayments_raw, FIXED_INGEST_TS)
+
+
+def consolidated_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consolidated view materialised as a managed table (repeatable CTAS)."""
+    db = _db(spark, sf_dir)
+    name = catalog.snapshot_table(frames(spark, sf_dir).consolidated, db, "customers_loan_t")
+    return catalog.scan_table(spark, name)
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the five cleaned tables, the view and the snapshot; list the database."""
+    from lendscope.plans.staged import CLEAN_TABLES
+    f = frames(spark, sf_dir)
+    db = f"lendscope_catalog_{sf_tag(sf_dir).replace('.', '_')}"
+    catalog.create_database(spark, db, _path(spark, sf_dir, f"warehouse/{db}.db"))
+    for table, (attr, ddl) in CLEAN_TABLES.items():
+        path = write_parquet(getattr(f, attr), _path(spark, sf_dir, f"catalog/{table}"))
+        catalog.create_external_table(spark, db, table, ddl, path)
+    view_sql = catalog.consolidated_view_sql(db)
+    catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
+    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t")
+    return catalog.show_tables(spark, db).where(F.col("isTemporary") == F.lit(False))
+
+
+def io_queries() -> dict:
+    return {
+        "scan_csv_inferred": scan_csv_inferred,
+        "scan_csv_schema": scan_csv_schema,
+        "scan_csv_strings": scan_csv_strings,
+        "sink_csv_roundtrip": sink_csv_roundtrip,
+        "sink_parquet_roundtrip": sink_parquet_roundtrip,
+        "external_table_roundtrip": external_table_roundtrip,
+        "scan_table": scan_table,
+        "scan_temp_view": scan_temp_view,
+        "ingest_stamp": ingest_stamp,
+        "consolidated_snapshot": consolidated_snapshot,
+        "catalog_tables": catalog_tables,
+    }

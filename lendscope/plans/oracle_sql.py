@@ -506,9 +506,11 @@ WHERE l.member_id NOT IN (SELECT member_id FROM dup_ids)""", "loans_clean", "cus
 
     # io round trips compare against the SQL of what was written
     q["scan_csv_inferred"] = _all("dup_ids")
-    q["scan_csv_schema"] = _all("loans_raw")
+    # Spark's CSV writer trims leading/trailing white space of values by default
+    q["scan_csv_schema"] = with_ctes(
+        "SELECT * REPLACE (trim(loan_term_months) AS loan_term_months) FROM loans_raw", "loans_raw")
     q["scan_csv_strings"] = with_ctes(
-        "SELECT id AS loan_id, name_sha2 AS member_id, term, issue_d, loan_status, purpose, title, "
+        "SELECT id AS loan_id, name_sha2 AS member_id, trim(term) AS term, issue_d, loan_status, purpose, title, "
         "last_pymnt_d, next_pymnt_d FROM keyed", "keyed")
     q["sink_csv_roundtrip"] = _all("customers_raw")
     q["sink_parquet_roundtrip"] = _all("loans_clean")
