@@ -100,7 +100,8 @@ def ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def consolidated_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consolidated view materialised as a managed table (repeatable CTAS)."""
     db = _db(spark, sf_dir)
-    name = catalog.snapshot_table(frames(spark, sf_dir).consolidated, db, "customers_loan_t")
+    name = catalog.snapshot_table(frames(spark, sf_dir).consolidated, db, "customers_loan_t",
+                                  _path(spark, sf_dir, "snapshot/customers_loan_t"))
     return catalog.scan_table(spark, name)
 
 
@@ -115,7 +116,8 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         catalog.create_external_table(spark, db, table, ddl, path)
     view_sql = catalog.consolidated_view_sql(db)
     catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
-    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t")
+    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t",
+                           _path(spark, sf_dir, "catalog/customers_loan_t"))
     return catalog.show_tables(spark, db).where(F.col("isTemporary") == F.lit(False))
 
 

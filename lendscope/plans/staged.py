@@ -73,7 +73,7 @@ def run_staged(spark: SparkSession, sf_dir: str, base: str | None = None, db: st
         catalog.create_external_table(spark, db, table, ddl, f"{base}/clean/{table}")
     view_sql = catalog.consolidated_view_sql(db)
     catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
-    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t")
+    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t", f"{base}/snapshot/customers_loan_t")
     done("publish")
 
     # 4. duplicate reports and quarantine, from the published tables

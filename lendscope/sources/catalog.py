@@ -68,10 +68,17 @@ def create_or_replace_view(spark: SparkSession, db: str, view: str, select_sql:
     return name
 
 
-def snapshot_table(df: DataFrame, db: str, table: str) -> str:
-    """Materialised copy of ``df`` as a managed table; repeatable (overwrite)."""
+def snapshot_table(df: DataFrame, db: str, table: str, location: str) -> str:
+    """Materialised copy of ``df`` as a table over ``location``; repeatable.
+
+    The files are overwritten in place and the table re-declared, so a rerun
+    (even from a new session whose catalog forgot the table) replaces the
+    snapshot instead of failing like a plain CTAS.
+    """
     name = f"{db}.{table}"
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {_q(name)}")
+    df.write.mode("overwrite").format("parquet").option("path", location).saveAsTable(name)
     return name
 
 
