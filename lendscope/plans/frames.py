@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lendscope.operators import clean, quarantine, score, split
 from lendscope.operators.consolidate import consolidated_view
 from lendscope.rules import DEFAULT_RULES, ScoreRules
+from lendscope.session import sf_tag, shared_path
+from lendscope.sources.files import read_parquet, write_parquet
 from lendscope.sources.tables import star_tables
 from lendscope.sources.testbed import keyed_loans, raw_loans
 
@@ -25,12 +27,22 @@ FIXED_INGEST_TS = "2024-01-01 00:00:00"
 
 
 class LendingFrames:
+    """Named frames of the flow over one data directory.
+
+    With ``materialize_wide`` (the default) the keyed wide table is written
+    once, as Parquet under the shared checkpoint folder, and every later
+    frame scans it. That cuts the lineage back to the star-schema join (which
+    would otherwise be re-derived in every branch of a plan: the score alone
+    has more than twenty) and lets each branch read only its own columns.
+    """
+
     def __init__(self, spark: SparkSession, sf_dir: str, ingest_ts=FIXED_INGEST_TS,
-                 rules: ScoreRules = DEFAULT_RULES):
+                 rules: ScoreRules = DEFAULT_RULES, materialize_wide: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.ingest_ts = ingest_ts
         self.rules = rules
+        self.materialize_wide = materialize_wide
 
     def use(self, **frames: DataFrame) -> "LendingFrames":
         """Replace named frames (e.g. with tables read back from storage);
@@ -48,7 +60,12 @@ class LendingFrames:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return keyed_loans(self.raw)
+        keyed = keyed_loans(self.raw)
+        if not self.materialize_wide:
+            return keyed
+        app = self.spark.sparkContext.applicationId
+        path = shared_path(self.spark, "wide", app, sf_tag(self.sf_dir), "keyed")
+        return read_parquet(self.spark, write_parquet(keyed, path))
 
     @cached_property
     def customers_raw(self) -> DataFrame:

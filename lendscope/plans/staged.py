@@ -45,7 +45,7 @@ def run_staged(spark: SparkSession, sf_dir: str, base: str | None = None, db: st
                ingest_ts=None) -> dict:
     base = (base or shared_path(spark, "flow", sf_tag(sf_dir))).rstrip("/")
     timings: dict[str, float] = {}
-    f = LendingFrames(spark, sf_dir, ingest_ts=ingest_ts)
+    f = LendingFrames(spark, sf_dir, ingest_ts=ingest_ts, materialize_wide=False)
 
     def stage(name):
         timings[name] = time.time()
