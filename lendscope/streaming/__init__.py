@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analysed workload is batch only: no stream reads or writes, watermarks,
+windows or stateful operators appear in it, so nothing is built here. The
+cleaning operators are plain row-wise DataFrame functions (apart from the
+de-duplication and the average fill, which need the whole table) and could
+be applied to a ``readStream`` source unchanged if incremental ingestion is
+ever needed.
+"""
