@@ -101,6 +101,35 @@ class ScoreRules:
                 ("D", self.bad), ("E", self.very_bad),
             ))
 
+    # session-conf key suffix -> field, for the workload's named parameters
+    CONF_KEYS = {
+        "unacceptable_rated_pts": "unacceptable", "very_bad_rated_pts": "very_bad",
+        "bad_rated_pts": "bad", "good_rated_pts": "good", "very_good_rated_pts": "very_good",
+        "excellent_rated_pts": "excellent", "unacceptable_grade_pts": "unacceptable_grade",
+        "very_bad_grade_pts": "very_bad_grade", "bad_grade_pts": "bad_grade",
+        "good_grade_pts": "good_grade", "very_good_grade_pts": "very_good_grade",
+    }
+
+    @classmethod
+    def from_conf(cls, spark, prefix: str = "spark.sql.", base: "ScoreRules | None" = None) -> "ScoreRules":
+        """Rules with any of the named parameters set in the session conf
+        (``spark.sql.excellent_rated_pts`` etc.) overriding ``base``.
+
+        The delinquency fallback follows ``unacceptable_grade_pts`` unless
+        ``base`` set it to something else, as in the workload's SQL."""
+        base = base or cls()
+        values = {}
+        for suffix, name in cls.CONF_KEYS.items():
+            raw = spark.conf.get(prefix + suffix, None)
+            if raw is not None:
+                values[name] = int(raw)
+        if "unacceptable_grade" in values and base.delinq_over_5 == base.unacceptable_grade:
+            values["delinq_over_5"] = values["unacceptable_grade"]
+        fields = {f: getattr(base, f) for f in base.__dataclass_fields__}
+        fields.update(values)
+        fields["grade_bases"] = None
+        return cls(**fields)
+
     def sub_grade_points(self):
         """(grade, sub_grade, points) for every rated sub-grade, points as exact Decimals."""
         out = []

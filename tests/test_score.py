@@ -91,3 +91,17 @@ def test_weighted_score_exact_and_null_propagating(spark):
 def test_rules_are_configurable(spark):
     r = ScoreRules(delinq_over_5=0)
     assert _col(spark, [6, None], "c int", score.counter_points(F.col("c"), r.delinq_over_5)) == [0, 0]
+
+
+def test_rules_from_session_conf(spark):
+    from lendscope.rules import ScoreRules
+    spark.conf.set("spark.sql.excellent_rated_pts", "900")
+    spark.conf.set("spark.sql.unacceptable_grade_pts", "700")
+    try:
+        r = ScoreRules.from_conf(spark)
+    finally:
+        spark.conf.unset("spark.sql.excellent_rated_pts")
+        spark.conf.unset("spark.sql.unacceptable_grade_pts")
+    assert r.excellent == 900 and r.unacceptable_grade == 700 and r.delinq_over_5 == 700
+    assert r.grade_bases[0] == ("A", 900) and r.good == 500
+    assert ScoreRules.from_conf(spark) == ScoreRules()
