@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lendscope.operators import clean, quarantine, score, split
 from lendscope.operators.consolidate import consolidated_view
 from lendscope.rules import DEFAULT_RULES, ScoreRules
-from lendscope.session import sf_tag, shared_path
+from lendscope.session import app_id, sf_tag, shared_path
 from lendscope.sources.files import read_parquet, write_parquet
 from lendscope.sources.tables import star_tables
 from lendscope.sources.testbed import keyed_loans, raw_loans
@@ -63,8 +63,7 @@ class LendingFrames:
         keyed = keyed_loans(self.raw)
         if not self.materialize_wide:
             return keyed
-        app = self.spark.sparkContext.applicationId
-        path = shared_path(self.spark, "wide", app, sf_tag(self.sf_dir), "keyed")
+        path = shared_path(self.spark, "wide", app_id(self.spark), sf_tag(self.sf_dir), "keyed")
         return read_parquet(self.spark, write_parquet(keyed, path))
 
     @cached_property

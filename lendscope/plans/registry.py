@@ -13,16 +13,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lendscope.operators import clean, profile, quarantine, score
 from lendscope.plans.frames import LendingFrames
 from lendscope.rules import ALL_NULL_MEMBER_KEY_PREFIX
+from lendscope.session import app_id
 from lendscope.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_frames_cache: dict[tuple[int, str], LendingFrames] = {}
+_frames_cache: dict[tuple[str, int, str], LendingFrames] = {}
 
 
 def frames(spark: SparkSession, sf_dir: str) -> LendingFrames:
-    """One lazily built frame graph per (session, data directory)."""
-    key = (id(spark), sf_dir)
+    """One lazily built frame graph per (application, session, data directory)."""
+    key = (app_id(spark), id(spark), sf_dir)
     if key not in _frames_cache:
         _frames_cache[key] = LendingFrames(spark, sf_dir)
     return _frames_cache[key]

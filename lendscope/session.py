@@ -42,11 +42,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = _LOCAL_FALLBACK_DIR
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    try:  # classic sessions only; Spark Connect has no SparkContext
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001
+        pass
     return path
 
 
+def app_id(spark: SparkSession) -> str:
+    """The Spark application id (scopes per-session outputs)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return spark.conf.get("spark.app.id", None) or "app"
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
