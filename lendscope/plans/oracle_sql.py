@@ -465,6 +465,11 @@ FROM customers_clean""", "customers_clean")
     q["top_members_by_count"] = with_ctes(
         "SELECT member_id, count(*) AS totalCount FROM details_t GROUP BY member_id "
         "ORDER BY totalCount DESC, member_id LIMIT 10", "details_t")
+    q["top_clean_members_by_count"] = with_ctes(
+        "SELECT member_id, count(*) AS totalCount FROM customers_c GROUP BY member_id "
+        "ORDER BY totalCount DESC, member_id LIMIT 10", "customers_c")
+    q["counter_frequency"] = with_ctes(
+        "SELECT delinq_2yrs, count(*) AS totalCount FROM def_filled GROUP BY delinq_2yrs", "def_filled")
     q["key_frequency"] = with_ctes(
         "SELECT name_sha2, count(*) AS total_cnt FROM keyed GROUP BY name_sha2 HAVING count(*) > 1", "keyed")
     q["count_distinct_keys"] = with_ctes(

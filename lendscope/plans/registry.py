@@ -106,6 +106,8 @@ def core_queries() -> dict[str, Query]:
             clean.impute_emp_length(f.customers_income))),
         "quality_counts": _q(_quality),
         "top_members_by_count": _q(lambda f: profile.top_by_count(f.details_table)),
+        "top_clean_members_by_count": _q(lambda f: profile.top_by_count(f.customers_c)),
+        "counter_frequency": _q(lambda f: profile.frequency(f.defaulters, "delinq_2yrs", "totalCount")),
         "key_frequency": _q(lambda f: profile.key_frequency(f.keyed)),
         "count_distinct_keys": _q(lambda f: profile.count_distinct_keys(f.keyed)),
         "lookup_member": _q(lambda f: profile.lookup_member(f.keyed, ALL_NULL_MEMBER_KEY_PREFIX)),
