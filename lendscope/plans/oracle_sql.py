@@ -331,44 +331,24 @@ _CREDIT_CASE = f"""CASE
     WHEN {_F} > {_L} * 0.50 AND {_F} <= {_L} * 0.70 THEN 100
     WHEN {_F} > {_L} * 0.70 THEN 0
     ELSE 0 END"""
-_GRADE_CASE = """CASE
-    WHEN a.grade = 'A' AND a.sub_grade = 'A1' THEN 800
-    WHEN a.grade = 'A' AND a.sub_grade = 'A2' THEN 800 * 0.95
-    WHEN a.grade = 'A' AND a.sub_grade = 'A3' THEN 800 * 0.90
-    WHEN a.grade = 'A' AND a.sub_grade = 'A4' THEN 800 * 0.85
-    WHEN a.grade = 'A' AND a.sub_grade = 'A5' THEN 800 * 0.80
-    WHEN a.grade = 'B' AND a.sub_grade = 'B1' THEN 650
-    WHEN a.grade = 'B' AND a.sub_grade = 'B2' THEN 650 * 0.95
-    WHEN a.grade = 'B' AND a.sub_grade = 'B3' THEN 650 * 0.90
-    WHEN a.grade = 'B' AND a.sub_grade = 'B4' THEN 650 * 0.85
-    WHEN a.grade = 'B' AND a.sub_grade = 'B5' THEN 650 * 0.80
-    WHEN a.grade = 'C' AND a.sub_grade = 'C1' THEN 500
-    WHEN a.grade = 'C' AND a.sub_grade = 'C2' THEN 500 * 0.95
-    WHEN a.grade = 'C' AND a.sub_grade = 'C3' THEN 500 * 0.90
-    WHEN a.grade = 'C' AND a.sub_grade = 'C4' THEN 500 * 0.85
-    WHEN a.grade = 'C' AND a.sub_grade = 'C5' THEN 500 * 0.80
-    WHEN a.grade = 'D' AND a.sub_grade = 'D1' THEN 250
-    WHEN a.grade = 'D' AND a.sub_grade = 'D2' THEN 250 * 0.95
-    WHEN a.grade = 'D' AND a.sub_grade = 'D3' THEN 250 * 0.90
-    WHEN a.grade = 'D' AND a.sub_grade = 'D4' THEN 250 * 0.85
-    WHEN a.grade = 'D' AND a.sub_grade = 'D5' THEN 250 * 0.80
-    WHEN a.grade = 'E' AND a.sub_grade = 'E1' THEN 100
-    WHEN a.grade = 'E' AND a.sub_grade = 'E2' THEN 100 * 0.95
-    WHEN a.grade = 'E' AND a.sub_grade = 'E3' THEN 100 * 0.90
-    WHEN a.grade = 'E' AND a.sub_grade = 'E4' THEN 100 * 0.85
-    WHEN a.grade = 'E' AND a.sub_grade = 'E5' THEN 100 * 0.80
-    WHEN a.grade IN ('F', 'G') THEN 0
-  END"""
-
-_cte("fh", ("ldh", "loans_clean", "customers_c", "dup_ids"), f"""
+# Grade points as a rule table: base points per grade x sub-grade factor.
+_cte("grade_rule", (), """
+SELECT g.grade, g.grade || CAST(f.n AS VARCHAR) AS sub_grade, g.base * f.factor AS pts
+FROM (VALUES ('A', 800), ('B', 650), ('C', 500), ('D', 250), ('E', 100)) AS g(grade, base)
+CROSS JOIN (VALUES (1, 1.00), (2, 0.95), (3, 0.90), (4, 0.85), (5, 0.80)) AS f(n, factor)""")
+_GRADE_JOIN = "LEFT JOIN grade_rule gr ON gr.grade = a.grade AND gr.sub_grade = a.sub_grade"
+_GRADE_PTS = "CASE WHEN gr.pts IS NOT NULL THEN gr.pts WHEN a.grade IN ('F', 'G') THEN 0 END"
+
+_cte("fh", ("ldh", "loans_clean", "customers_c", "dup_ids", "grade_rule"), f"""
 SELECT ldef.*,
   {_STATUS_CASE} AS loan_status_pts,
   {_HOME_CASE} AS home_pts,
   {_CREDIT_CASE} AS credit_limit_pts,
-  {_GRADE_CASE} AS grade_pts
+  {_GRADE_PTS} AS grade_pts
 FROM ldh ldef
 JOIN loans_clean l ON ldef.member_id = l.member_id
 JOIN customers_c a ON a.member_id = ldef.member_id
+{_GRADE_JOIN}
 WHERE ldef.member_id NOT IN (SELECT member_id FROM dup_ids)""")
 
 _cte("scored", ("fh",), """
@@ -502,8 +482,8 @@ SELECT l.loan_id, l.member_id, l.funded_amount, a.total_high_credit_limit, {_CRE
 FROM loans_clean l JOIN customers_c a ON a.member_id = l.member_id
 WHERE l.member_id NOT IN (SELECT member_id FROM dup_ids)""", "loans_clean", "customers_c", "dup_ids")
     q["grade_points"] = with_ctes(
-        f"SELECT a.member_id, a.grade, a.sub_grade, CAST({_GRADE_CASE} AS DOUBLE) AS grade_pts "
-        "FROM customers_clean a", "customers_clean")
+        f"SELECT a.member_id, a.grade, a.sub_grade, CAST({_GRADE_PTS} AS DOUBLE) AS grade_pts "
+        f"FROM customers_clean a {_GRADE_JOIN}", "customers_clean", "grade_rule")
     q["score_financial_health"] = with_ctes(
         "SELECT * REPLACE (CAST(grade_pts AS DOUBLE) AS grade_pts) FROM fh", "fh")
     q["loan_score"] = with_ctes(f"SELECT member_id, {_FLOAT_SCORES} FROM scored", "scored")
