@@ -8,8 +8,9 @@ is used and two loans of one borrower share customer attributes.
 
 Plan shape: lineitem is pre-aggregated per order (partial + final aggregate,
 one shuffle on ``l_orderkey``) before it meets orders; nation (25 rows by the
-TPC-H definition) is broadcast; customer is joined on an equi-key and left to
-AQE to pick broadcast or sort-merge from its runtime size.
+TPC-H definition) and customer are joined on equi-keys; no broadcast is
+forced, so Spark broadcasts a side only when its measured size is under the
+threshold (nation always is) and otherwise plans a sort-merge join.
 """
 
 from __future__ import annotations
@@ -20,10 +21,6 @@ from lendscope.functions.keys import member_key
 from lendscope.sources.tables import StarTables
 
 
-def _bno_mod(col_name: str, m: int):
-    return F.col(col_name) % F.lit(m)
-
-
 def raw_loans(t: StarTables) -> DataFrame:
     """The wide loan table (37 source columns), one row per order."""
     o = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -38,7 +35,7 @@ def raw_loans(t: StarTables) -> DataFrame:
         .agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double").alias("paid"))
     )
     cust = t.customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    nation = F.broadcast(t.nation.select("n_nationkey", "n_name"))
+    nation = t.nation.select("n_nationkey", "n_name")
 
     j = (
         o.join(cust, o["cust_slot"] == cust["c_custkey"])
