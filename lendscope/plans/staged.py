@@ -25,6 +25,7 @@ from pyspark.sql import SparkSession
 
 from lendscope import schemas
 from lendscope.plans.frames import LendingFrames
+from lendscope.rules import ScoreRules
 from lendscope.session import shared_path, sf_tag
 from lendscope.sources import catalog
 from lendscope.sources.files import read_parquet, write_csv, write_parquet
@@ -54,17 +55,20 @@ BUCKET_KEYS = {
 
 
 def run_staged(spark: SparkSession, sf_dir: str, base: str | None = None, db: str = "lending",
-               ingest_ts=None, buckets: int | None = None) -> dict:
+               ingest_ts=None, buckets: int | None = None, rules: ScoreRules | None = None) -> dict:
     """Run the whole flow; returns the output base path, database and stage timings.
 
     ``buckets`` (default: ``spark.sql.shuffle.partitions``) is the bucket count
     of the tables in ``BUCKET_KEYS``; 0 writes every table unbucketed.
+    ``rules`` defaults to the score parameters set in the session conf
+    (``spark.sql.excellent_rated_pts`` ...), falling back to the fixed values.
     """
+    rules = rules or ScoreRules.from_conf(spark)
     base = (base or shared_path(spark, "flow", sf_tag(sf_dir))).rstrip("/")
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     timings: dict[str, float] = {}
-    f = LendingFrames(spark, sf_dir, ingest_ts=ingest_ts, materialize_wide=False)
+    f = LendingFrames(spark, sf_dir, ingest_ts=ingest_ts, rules=rules, materialize_wide=False)
     catalog.create_database(spark, db, f"{base}/warehouse/{db}.db")
 
     def publish(df, table, ddl, location):

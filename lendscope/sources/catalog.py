@@ -100,5 +100,14 @@ def save_bucketed_table(df: DataFrame, db: str, table: str, location: str, key:
     return name
 
 
+def show_databases(spark: SparkSession) -> DataFrame:
+    return spark.sql("SHOW DATABASES")
+
+
+def describe_database(spark: SparkSession, db: str) -> DataFrame:
+    """Name, location and properties of ``db`` (info_name, info_value rows)."""
+    return spark.sql(f"DESCRIBE DATABASE EXTENDED {_q(db)}")
+
+
 def show_tables(spark: SparkSession, db: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {_q(db)}")

@@ -61,3 +61,17 @@ def test_staged_flow(spark, sf_small):
     lazy = frames(spark, sf_small).score
     assert staged.count() == lazy.count()
     assert staged.select("member_id").exceptAll(lazy.select("member_id")).count() == 0
+
+
+def test_staged_tables_are_bucketed(spark, sf_small):
+    from lendscope.plans.staged import BUCKET_KEYS, run_staged
+    from lendscope.sources import catalog
+    run_staged(spark, sf_small, db="lending_bucket_test", buckets=4)
+    for table, key in BUCKET_KEYS.items():
+        info = {r.col_name: r.data_type for r in
+                spark.sql(f"DESCRIBE TABLE EXTENDED lending_bucket_test.{table}").collect()}
+        assert info.get("Num Buckets") == "4", table
+        assert key in info.get("Bucket Columns", ""), table
+    loc = {r.info_name: r.info_value for r in catalog.describe_database(spark, "lending_bucket_test").collect()}
+    assert "lending_bucket_test.db" in loc["Location"]
+    assert "lending_bucket_test" in {r[0] for r in catalog.show_databases(spark).collect()}
