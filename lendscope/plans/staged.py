@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from lendscope import schemas
 from lendscope.plans.frames import LendingFrames
@@ -54,21 +54,30 @@ BUCKET_KEYS = {
 }
 
 
-def run_staged(spark: SparkSession, sf_dir: str, base: str | None = None, db: str = "lending",
-               ingest_ts=None, buckets: int | None = None, rules: ScoreRules | None = None) -> dict:
+def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None = None,
+               db: str = "lending", ingest_ts=None, buckets: int | None = None,
+               rules: ScoreRules | None = None, raw: DataFrame | None = None) -> dict:
     """Run the whole flow; returns the output base path, database and stage timings.
 
+    The input is either ``raw``, a wide loan table with the source column names
+    (for example ``sources.files.read_wide_loans(spark, csv_path)``), or the
+    star-schema tables in ``sf_dir`` mapped by the testbed.
+
     ``buckets`` (default: ``spark.sql.shuffle.partitions``) is the bucket count
     of the tables in ``BUCKET_KEYS``; 0 writes every table unbucketed.
     ``rules`` defaults to the score parameters set in the session conf
     (``spark.sql.excellent_rated_pts`` ...), falling back to the fixed values.
     """
+    if raw is None and sf_dir is None:
+        raise ValueError("give the wide loan table (raw=) or a star-schema directory (sf_dir=)")
     rules = rules or ScoreRules.from_conf(spark)
-    base = (base or shared_path(spark, "flow", sf_tag(sf_dir))).rstrip("/")
+    base = (base or shared_path(spark, "flow", sf_tag(sf_dir) if raw is None else "input")).rstrip("/")
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     timings: dict[str, float] = {}
-    f = LendingFrames(spark, sf_dir, ingest_ts=ingest_ts, rules=rules, materialize_wide=False)
+    f = LendingFrames(spark, sf_dir or "", ingest_ts=ingest_ts, rules=rules, materialize_wide=False)
+    if raw is not None:
+        f.use(raw=raw)
     catalog.create_database(spark, db, f"{base}/warehouse/{db}.db")
 
     def publish(df, table, ddl, location):
@@ -129,3 +138,35 @@ def run_staged(spark: SparkSession, sf_dir: str, base: str | None = None, db: st
     done("score")
 
     return {"base": base, "db": db, "buckets": buckets, "timings": timings}
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m lendscope.plans.staged (--wide-csv PATH | --sf-dir DIR) [--base OUT] [--db NAME]``
+
+    Uses the session the environment provides (``spark-submit`` config), so the
+    checkpoint folder, shuffle partitions and executors come from the cluster.
+    """
+    import argparse
+    import json
+
+    from lendscope.session import ensure_checkpoint_dir
+    from lendscope.sources.files import read_wide_loans
+
+    ap = argparse.ArgumentParser(prog="lendscope.plans.staged")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--wide-csv", help="wide loan CSV (header row, one loan per row)")
+    src.add_argument("--sf-dir", help="directory of the star-schema Parquet tables")
+    ap.add_argument("--base", help="output folder (default: under spark.checkpoint.dir)")
+    ap.add_argument("--db", default="lending")
+    ap.add_argument("--buckets", type=int, default=None)
+    args = ap.parse_args(argv)
+
+    spark = SparkSession.builder.appName("lendscope-staged").getOrCreate()
+    ensure_checkpoint_dir(spark)
+    raw = read_wide_loans(spark, args.wide_csv) if args.wide_csv else None
+    out = run_staged(spark, args.sf_dir, base=args.base, db=args.db, buckets=args.buckets, raw=raw)
+    print(json.dumps(out))
+
+
+if __name__ == "__main__":
+    main()

@@ -21,6 +21,12 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
+def read_wide_loans(spark: SparkSession, path: str) -> DataFrame:
+    """The wide loan CSV (one loan per row, source column names), header and
+    inferred types, as the flow's first step reads it."""
+    return read_csv_inferred(spark, path)
+
+
 def read_csv_schema(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return (spark.read.option("header", True).option("enforceSchema", True)
             .option("mode", "PERMISSIVE").schema(ddl).csv(path))

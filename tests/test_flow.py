@@ -75,3 +75,18 @@ def test_staged_tables_are_bucketed(spark, sf_small):
     loc = {r.info_name: r.info_value for r in catalog.describe_database(spark, "lending_bucket_test").collect()}
     assert "lending_bucket_test.db" in loc["Location"]
     assert "lending_bucket_test" in {r[0] for r in catalog.show_databases(spark).collect()}
+
+
+def test_staged_flow_from_wide_csv(spark, sf_small):
+    """The flow run on a wide CSV file gives the same score as the flow run on the tables."""
+    from lendscope.plans.staged import run_staged
+    from lendscope.session import shared_path
+    from lendscope.sources.files import read_wide_loans, write_csv
+    f = frames(spark, sf_small)
+    path = write_csv(f.raw, shared_path(spark, "tests", "wide_csv"))
+    out = run_staged(spark, raw=read_wide_loans(spark, path), db="lending_csv_test", buckets=0)
+    assert out["base"].endswith("/flow/input")
+    from_csv = spark.table("lending_csv_test.score")
+    lazy = f.score
+    assert from_csv.count() == lazy.count()
+    assert from_csv.exceptAll(lazy).count() == 0
