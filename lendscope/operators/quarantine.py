@@ -34,6 +34,15 @@ def duplicate_member_ids(*dup_lists: DataFrame, key: str = "member_id") -> DataF
     return reduce(lambda a, b: a.unionByName(b), [d.select(key) for d in dup_lists]).distinct()
 
 
+def tagged_duplicate_keys(tables: dict[str, DataFrame], key: str = "member_id",
+                          tag: str = "source_table") -> DataFrame:
+    """(key, source table) for every key duplicated in any of ``tables``: all
+    per-table duplicate lists computed in one job, so they can be written once
+    and the reports and the combined id list read back from that small output."""
+    parts = [duplicate_keys(df, key).withColumn(tag, F.lit(name)) for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def not_in(probe: DataFrame, values: DataFrame, probe_key: str = "member_id",
            value_key: str = "member_id") -> DataFrame:
     """Rows of ``probe`` where ``probe_key NOT IN (SELECT value_key FROM values)``.

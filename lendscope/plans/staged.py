@@ -21,9 +21,10 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendscope import schemas
+from lendscope.operators import quarantine
 from lendscope.plans.frames import LendingFrames
 from lendscope.rules import ScoreRules
 from lendscope.session import shared_path, sf_tag
@@ -117,13 +118,17 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     t = {name: catalog.scan_table(spark, f"{db}.{name}") for name in CLEAN_TABLES}
     f.use(customers=t["customers"], loans=t["loans"], repayments=t["loans_repayments"],
           delinq_table=t["loans_defaulters_delinq"], details_table=t["loans_defaulters_details"])
-    for name, attr in (("customers_duplicates", "dup_customers"),
-                       ("loans_defaulters_delinq_duplicates", "dup_delinq"),
-                       ("loans_defaulters_details_duplicates", "dup_details")):
-        write_csv(getattr(f, attr), f"{base}/reports/{name}")
-    write_csv(f.dup_ids, f"{base}/reports/duplicate_member_ids")
-    write_parquet(f.dup_ids, f"{base}/quarantine/duplicate_member_ids")
+    # one job finds the duplicated keys of all three tables; reports read its output
+    sources = {"customers": f.customers, "loans_defaulters_delinq": f.delinq_table,
+               "loans_defaulters_details": f.details_table}
+    write_parquet(quarantine.tagged_duplicate_keys(sources), f"{base}/quarantine/duplicate_keys")
+    tagged = read_parquet(spark, f"{base}/quarantine/duplicate_keys")
+    for name in sources:
+        write_csv(tagged.where(F.col("source_table") == name).select("member_id"),
+                  f"{base}/reports/{name}_duplicates")
+    write_parquet(tagged.select("member_id").distinct(), f"{base}/quarantine/duplicate_member_ids")
     f.use(dup_ids=read_parquet(spark, f"{base}/quarantine/duplicate_member_ids"))
+    write_csv(f.dup_ids, f"{base}/reports/duplicate_member_ids")
     for table, (attr, ddl) in QUARANTINED.items():
         publish(getattr(f, attr), table, ddl, f"{base}/cleaned/{table}")
     done("quarantine")

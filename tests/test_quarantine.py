@@ -59,3 +59,10 @@ def test_consolidated_view_fan_out(spark):
     assert sum(r.member_id == "m1" for r in rows) == 1
     assert [r.loan_id for r in rows if r.member_id == "m1"] == [None]
     assert sum(r.member_id == "m2" for r in rows) == 4  # 2 loans x 2 details rows
+
+
+def test_tagged_duplicate_keys(spark):
+    a = spark.createDataFrame([("x",), ("x",), ("y",)], "member_id string")
+    b = spark.createDataFrame([("x",), ("x",), ("z",), ("z",)], "member_id string")
+    rows = sorted(tuple(r) for r in quarantine.tagged_duplicate_keys({"a": a, "b": b}).collect())
+    assert rows == [("x", "a"), ("x", "b"), ("z", "b")]
