@@ -90,3 +90,16 @@ def test_staged_flow_from_wide_csv(spark, sf_small):
     lazy = f.score
     assert from_csv.count() == lazy.count()
     assert from_csv.exceptAll(lazy).count() == 0
+
+
+def test_single_file_csv_report(spark, f):
+    """K1: a small report written as one CSV file with a header, read back whole."""
+    import glob
+    from lendscope.session import shared_path
+    from lendscope.sources.files import read_csv_schema, write_csv
+    path = write_csv(f.dup_ids, shared_path(spark, "tests", "dup_ids_single"), single_file=True)
+    if path.startswith("/"):
+        assert len(glob.glob(f"{path}/part-*.csv")) == 1
+    back = read_csv_schema(spark, path, "member_id string")
+    assert back.count() == f.dup_ids.count()
+    assert back.exceptAll(f.dup_ids).count() == 0
