@@ -34,13 +34,25 @@ def duplicate_member_ids(*dup_lists: DataFrame, key: str = "member_id") -> DataF
     return reduce(lambda a, b: a.unionByName(b), [d.select(key) for d in dup_lists]).distinct()
 
 
-def tagged_duplicate_keys(tables: dict[str, DataFrame], key: str = "member_id",
-                          tag: str = "source_table") -> DataFrame:
-    """(key, source table) for every key duplicated in any of ``tables``: all
-    per-table duplicate lists computed in one job, so they can be written once
-    and the reports and the combined id list read back from that small output."""
-    parts = [duplicate_keys(df, key).withColumn(tag, F.lit(name)) for name, df in tables.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def duplicate_counts(tables: dict[str, DataFrame], key: str = "member_id") -> DataFrame:
+    """Keys duplicated in at least one of ``tables``, with their row count in each
+    (columns ``n_<table>``).
+
+    One aggregation over the union of the tables' keys tagged by source: a
+    single shuffle of map-side partial counts, instead of one aggregation per
+    table followed by a union and a distinct.
+    """
+    src = "__source"
+    tagged = reduce(lambda a, b: a.unionByName(b),
+                    [df.select(F.col(key), F.lit(name).alias(src)) for name, df in tables.items()])
+    counts = [F.count_if(F.col(src) == name).alias(f"n_{name}") for name in tables]
+    agg = tagged.groupBy(key).agg(*counts)
+    return agg.where(reduce(lambda a, b: a | b, [F.col(f"n_{name}") > 1 for name in tables]))
+
+
+def quarantined_ids(tables: dict[str, DataFrame], key: str = "member_id") -> DataFrame:
+    """Keys duplicated in any of ``tables`` (= union-distinct of their duplicate lists)."""
+    return duplicate_counts(tables, key).select(key)
 
 
 def not_in(probe: DataFrame, values: DataFrame, probe_key: str = "member_id",

@@ -144,7 +144,13 @@ class LendingFrames:
 
     @cached_property
     def dup_ids(self) -> DataFrame:
-        return quarantine.duplicate_member_ids(self.dup_customers, self.dup_delinq, self.dup_details)
+        return quarantine.quarantined_ids(self.quarantine_sources)
+
+    @property
+    def quarantine_sources(self) -> dict[str, DataFrame]:
+        """The tables whose duplicated member ids are quarantined."""
+        return {"customers": self.customers, "loans_defaulters_delinq": self.delinq_table,
+                "loans_defaulters_details": self.details_table}
 
     @cached_property
     def customers_c(self) -> DataFrame:

@@ -118,16 +118,15 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     t = {name: catalog.scan_table(spark, f"{db}.{name}") for name in CLEAN_TABLES}
     f.use(customers=t["customers"], loans=t["loans"], repayments=t["loans_repayments"],
           delinq_table=t["loans_defaulters_delinq"], details_table=t["loans_defaulters_details"])
-    # one job finds the duplicated keys of all three tables; reports read its output
-    sources = {"customers": f.customers, "loans_defaulters_delinq": f.delinq_table,
-               "loans_defaulters_details": f.details_table}
-    write_parquet(quarantine.tagged_duplicate_keys(sources), f"{base}/quarantine/duplicate_keys")
-    tagged = read_parquet(spark, f"{base}/quarantine/duplicate_keys")
+    # one aggregation finds the duplicated keys of all three tables; the reports
+    # and the quarantine list are read from its (small) written output
+    sources = f.quarantine_sources
+    write_parquet(quarantine.duplicate_counts(sources), f"{base}/quarantine/duplicate_counts")
+    counts = read_parquet(spark, f"{base}/quarantine/duplicate_counts")
     for name in sources:
-        write_csv(tagged.where(F.col("source_table") == name).select("member_id"),
+        write_csv(counts.where(F.col(f"n_{name}") > 1).select("member_id"),
                   f"{base}/reports/{name}_duplicates")
-    write_parquet(tagged.select("member_id").distinct(), f"{base}/quarantine/duplicate_member_ids")
-    f.use(dup_ids=read_parquet(spark, f"{base}/quarantine/duplicate_member_ids"))
+    f.use(dup_ids=counts.select("member_id"))
     write_csv(f.dup_ids, f"{base}/reports/duplicate_member_ids")
     for table, (attr, ddl) in QUARANTINED.items():
         publish(getattr(f, attr), table, ddl, f"{base}/cleaned/{table}")

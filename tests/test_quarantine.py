@@ -61,8 +61,12 @@ def test_consolidated_view_fan_out(spark):
     assert sum(r.member_id == "m2" for r in rows) == 4  # 2 loans x 2 details rows
 
 
-def test_tagged_duplicate_keys(spark):
+def test_duplicate_counts_equals_union_of_lists(spark):
     a = spark.createDataFrame([("x",), ("x",), ("y",)], "member_id string")
-    b = spark.createDataFrame([("x",), ("x",), ("z",), ("z",)], "member_id string")
-    rows = sorted(tuple(r) for r in quarantine.tagged_duplicate_keys({"a": a, "b": b}).collect())
-    assert rows == [("x", "a"), ("x", "b"), ("z", "b")]
+    b = spark.createDataFrame([("x",), ("x",), ("z",), ("z",), ("y",)], "member_id string")
+    rows = sorted(tuple(r) for r in quarantine.duplicate_counts({"a": a, "b": b}).collect())
+    assert rows == [("x", 2, 2), ("z", 0, 2)]
+    ids = _ids(quarantine.quarantined_ids({"a": a, "b": b}), "member_id")
+    union = _ids(quarantine.duplicate_member_ids(quarantine.duplicate_keys(a), quarantine.duplicate_keys(b)),
+                 "member_id")
+    assert ids == union == ["x", "z"]
