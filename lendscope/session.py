@@ -67,3 +67,12 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 def sf_tag(sf_dir: str) -> str:
     """Short name for a data directory, used to keep outputs of scales apart."""
     return os.path.basename(os.path.normpath(sf_dir)) or "data"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots the session schedules by default (cores of the cluster)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(spark.conf.get("spark.default.parallelism", None)
+                   or spark.conf.get("spark.sql.shuffle.partitions"))

@@ -43,6 +43,18 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
+def spread_for_write(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` partitions if its plan has
+    fewer, so the written table is not a handful of files that every later scan
+    reads with one task. Inputs that are already split at least that finely
+    (any large input on a cluster) are written as they are, with no shuffle."""
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect: no partition metadata
+        return df
+    return df.repartition(min_partitions) if n < min_partitions else df
+
+
 def write_parquet(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").parquet(path)
     return path
