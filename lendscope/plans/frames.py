@@ -17,7 +17,7 @@ from lendscope.operators import clean, quarantine, score, split
 from lendscope.operators.consolidate import consolidated_view
 from lendscope.rules import DEFAULT_RULES, ScoreRules
 from lendscope.session import app_id, default_parallelism, sf_tag, shared_path
-from lendscope.sources.files import read_parquet, spread_for_write, write_parquet
+from lendscope.sources.files import read_parquet, ensure_min_partitions, write_parquet
 from lendscope.sources.tables import star_tables
 from lendscope.sources.testbed import keyed_loans, raw_loans
 
@@ -64,7 +64,7 @@ class LendingFrames:
         if not self.materialize_wide:
             return keyed
         path = shared_path(self.spark, "wide", app_id(self.spark), sf_tag(self.sf_dir), "keyed")
-        keyed = spread_for_write(keyed, default_parallelism(self.spark))
+        keyed = ensure_min_partitions(keyed, default_parallelism(self.spark))
         return read_parquet(self.spark, write_parquet(keyed, path))
 
     @cached_property

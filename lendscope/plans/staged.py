@@ -29,7 +29,7 @@ from lendscope.plans.frames import LendingFrames
 from lendscope.rules import ScoreRules
 from lendscope.session import default_parallelism, shared_path, sf_tag
 from lendscope.sources import catalog
-from lendscope.sources.files import read_parquet, spread_for_write, write_csv, write_parquet
+from lendscope.sources.files import read_parquet, ensure_min_partitions, write_csv, write_parquet
 
 CLEAN_TABLES = {
     # name: (frame attribute, declared DDL)
@@ -95,7 +95,7 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
 
     # 1. keyed wide table
     stage("wide")
-    write_parquet(spread_for_write(f.keyed, default_parallelism(spark)), f"{base}/wide_keyed")
+    write_parquet(ensure_min_partitions(f.keyed, default_parallelism(spark)), f"{base}/wide_keyed")
     f.use(keyed=read_parquet(spark, f"{base}/wide_keyed"))
     done("wide")
 

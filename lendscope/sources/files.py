@@ -43,11 +43,12 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
-def spread_for_write(df: DataFrame, min_partitions: int) -> DataFrame:
+def ensure_min_partitions(df: DataFrame, min_partitions: int) -> DataFrame:
     """Round-robin ``df`` over ``min_partitions`` partitions if its plan has
-    fewer, so the written table is not a handful of files that every later scan
-    reads with one task. Inputs that are already split at least that finely
-    (any large input on a cluster) are written as they are, with no shuffle."""
+    fewer, so row-wise work (and a table written from it) is not confined to a
+    handful of tasks, e.g. when a small input is a single file with one row
+    group. Inputs already split at least that finely (any large input on a
+    cluster) are returned unchanged, with no shuffle."""
     try:
         n = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - Spark Connect: no partition metadata

@@ -6,7 +6,8 @@ two loans (this is what the duplicate quarantine acts on). The borrower's
 customer row is ``c_custkey = bno % (number of customers)``, so every customer
 is used and two loans of one borrower share customer attributes.
 
-Plan shape: lineitem is pre-aggregated per order (partial + final aggregate,
+Plan shape: orders is spread over the session's parallelism when it arrives
+in fewer partitions (a small single-file table); lineitem is pre-aggregated per order (partial + final aggregate,
 one shuffle on ``l_orderkey``) before it meets orders; nation (25 rows by the
 TPC-H definition) and customer are joined on equi-keys; no broadcast is
 forced, so Spark broadcasts a side only when its measured size is under the
@@ -18,12 +19,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lendscope.functions.keys import member_key
+from lendscope.session import default_parallelism
+from lendscope.sources.files import ensure_min_partitions
 from lendscope.sources.tables import StarTables
 
 
 def raw_loans(t: StarTables) -> DataFrame:
     """The wide loan table (37 source columns), one row per order."""
     o = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = ensure_min_partitions(o, default_parallelism(o.sparkSession))
     ncust = t.customer.select(F.count(F.lit(1))).scalar()
 
     key = F.col("o_orderkey")
