@@ -57,7 +57,8 @@ BUCKET_KEYS = {
 
 def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None = None,
                db: str = "lending", ingest_ts=None, buckets: int | None = None,
-               rules: ScoreRules | None = None, raw: DataFrame | None = None) -> dict:
+               rules: ScoreRules | None = None, raw: DataFrame | None = None,
+               snapshot: bool = True) -> dict:
     """Run the whole flow; returns the output base path, database and stage timings.
 
     The input is either ``raw``, a wide loan table with the source column names
@@ -68,6 +69,9 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     of the tables in ``BUCKET_KEYS``; 0 writes every table unbucketed.
     ``rules`` defaults to the score parameters set in the session conf
     (``spark.sql.excellent_rated_pts`` ...), falling back to the fixed values.
+    ``snapshot=False`` declares only the (lazy) consolidated view: a member
+    key with many loans makes the view's row count the product of its loans,
+    delinquency and details rows, which may be too large to materialise.
     """
     if raw is None and sf_dir is None:
         raise ValueError("give the wide loan table (raw=) or a star-schema directory (sf_dir=)")
@@ -110,7 +114,8 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     stage("publish")
     view_sql = catalog.consolidated_view_sql(db)
     catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
-    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t", f"{base}/snapshot/customers_loan_t")
+    if snapshot:
+        catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t", f"{base}/snapshot/customers_loan_t")
     done("publish")
 
     # 4. duplicate reports and quarantine, from the published tables
