@@ -396,6 +396,9 @@ UNION ALL SELECT 'loans_defaulters', 'delinquent',
   count(*) FILTER (WHERE delinq_2yrs > 0 OR mths_since_last_delinq > 0) FROM def_filled
 UNION ALL SELECT 'loans_defaulters', 'records_enq',
   count(*) FILTER (WHERE pub_rec > 0 OR pub_rec_bankruptcies > 0 OR inq_last_6mths > 0) FROM def_filled
+UNION ALL SELECT 'duplicate_member_ids', 'in_customers', count(*) FROM dup_customers
+UNION ALL SELECT 'duplicate_member_ids', 'in_loans_defaulters_delinq', count(*) FROM dup_delinq
+UNION ALL SELECT 'duplicate_member_ids', 'in_loans_defaulters_details', count(*) FROM dup_details
 UNION ALL SELECT 'duplicate_member_ids', 'rows', count(*) FROM dup_ids"""
 
 

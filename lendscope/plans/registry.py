@@ -54,7 +54,10 @@ def _quality(f: LendingFrames) -> DataFrame:
             "records_enq": F.count_if(
                 (c("pub_rec") > 0) | (c("pub_rec_bankruptcies") > 0) | (c("inq_last_6mths") > 0)),
         }),
-        "duplicate_member_ids": (f.dup_ids, {"rows": F.count(F.lit(1))}),
+        "duplicate_member_ids": (quarantine.duplicate_counts(f.quarantine_sources), {
+            **{f"in_{name}": F.count_if(c(f"n_{name}") > 1) for name in f.quarantine_sources},
+            "rows": F.count(F.lit(1)),
+        }),
     })
 
 
