@@ -23,8 +23,10 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 def read_wide_loans(spark: SparkSession, path: str) -> DataFrame:
     """The wide loan CSV (one loan per row, source column names), header and
-    inferred types, as the flow's first step reads it."""
-    return read_csv_inferred(spark, path)
+    inferred types, as the flow's first step reads it; a small file is spread
+    over the session's parallelism (see ``spread_small_scan``)."""
+    from lendscope.session import default_parallelism
+    return spread_small_scan(read_csv_inferred(spark, path), default_parallelism(spark))
 
 
 def read_csv_schema(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -43,12 +45,17 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
-def ensure_min_partitions(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` partitions if its plan has
-    fewer, so row-wise work (and a table written from it) is not confined to a
-    handful of tasks, e.g. when a small input is a single file with one row
-    group. Inputs already split at least that finely (any large input on a
-    cluster) are returned unchanged, with no shuffle."""
+def spread_small_scan(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Round-robin a file scan over ``min_partitions`` partitions if it reads
+    as fewer (a small input in one file with one row group is one task, and so
+    is every row-wise step and every table written after it). A scan already
+    split at least that finely (any large input on a cluster) is returned
+    unchanged, with no shuffle.
+
+    ``df`` must be a scan with projections/filters only: the partition count is
+    taken from the planned RDD, and for a plan with shuffles adaptive execution
+    would run those shuffle stages just to report it.
+    """
     try:
         n = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - Spark Connect: no partition metadata

@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from lendscope.functions.keys import member_key
 from lendscope.session import default_parallelism
-from lendscope.sources.files import ensure_min_partitions
+from lendscope.sources.files import spread_small_scan
 from lendscope.sources.tables import StarTables
 
 
 def raw_loans(t: StarTables) -> DataFrame:
     """The wide loan table (37 source columns), one row per order."""
     o = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    o = ensure_min_partitions(o, default_parallelism(o.sparkSession))
+    o = spread_small_scan(o, default_parallelism(o.sparkSession))
     ncust = t.customer.select(F.count(F.lit(1))).scalar()
 
     key = F.col("o_orderkey")
