@@ -9,6 +9,7 @@ and prunes columns down to the scans.
 
 from __future__ import annotations
 
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,7 @@ class LendingFrames:
         self.ingest_ts = ingest_ts
         self.rules = rules
         self.materialize_wide = materialize_wide
+        self._wide_lock = threading.Lock()
 
     def use(self, **frames: DataFrame) -> "LendingFrames":
         """Replace named frames (e.g. with tables read back from storage);
@@ -63,8 +65,11 @@ class LendingFrames:
         keyed = keyed_loans(self.raw)
         if not self.materialize_wide:
             return keyed
-        path = shared_path(self.spark, "wide", app_id(self.spark), sf_tag(self.sf_dir), "keyed")
-        return read_parquet(self.spark, write_parquet(keyed, path))
+        with self._wide_lock:  # one writer even if queries are built from several threads
+            if "_keyed_written" not in self.__dict__:
+                path = shared_path(self.spark, "wide", app_id(self.spark), sf_tag(self.sf_dir), "keyed")
+                self.__dict__["_keyed_written"] = read_parquet(self.spark, write_parquet(keyed, path))
+            return self.__dict__["_keyed_written"]
 
     @cached_property
     def customers_raw(self) -> DataFrame:

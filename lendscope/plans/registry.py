@@ -6,6 +6,7 @@ their rows; a limit appears only in the top-k report.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,14 +20,16 @@ from lendscope.sources.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 _frames_cache: dict[tuple[str, int, str], LendingFrames] = {}
+_frames_lock = threading.Lock()
 
 
 def frames(spark: SparkSession, sf_dir: str) -> LendingFrames:
     """One lazily built frame graph per (application, session, data directory)."""
     key = (app_id(spark), id(spark), sf_dir)
-    if key not in _frames_cache:
-        _frames_cache[key] = LendingFrames(spark, sf_dir)
-    return _frames_cache[key]
+    with _frames_lock:
+        if key not in _frames_cache:
+            _frames_cache[key] = LendingFrames(spark, sf_dir)
+        return _frames_cache[key]
 
 
 def _f(attr: str) -> Query:
