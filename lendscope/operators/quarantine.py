@@ -5,6 +5,10 @@ Scale notes:
 * ``duplicate_keys`` is ``groupBy(key).count() > 1``: the partial aggregate
   combines a hot key map-side, so even a key holding a third of all rows
   reaches the shuffle as one row per map task.
+* ``duplicate_counts`` / ``quarantined_ids`` find the keys duplicated in any
+  of several tables with one aggregation over their tagged union (one
+  shuffle of partial counts), rather than one aggregation per table plus a
+  union and a distinct.
 * ``not_in`` keeps SQL ``NOT IN`` three-valued semantics without the
   null-aware anti join, which Spark always plans as a broadcast of the whole
   list. Here the list side is a plain ``left_anti`` join: AQE broadcasts it
