@@ -55,15 +55,23 @@ BUCKET_KEYS = {
 }
 
 
+STAGES = ("wide", "clean", "publish", "quarantine", "score")
+
+
 def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None = None,
                db: str = "lending", ingest_ts=None, buckets: int | None = None,
                rules: ScoreRules | None = None, raw: DataFrame | None = None,
-               snapshot: bool = True) -> dict:
-    """Run the whole flow; returns the output base path, database and stage timings.
+               snapshot: bool = True, stages=STAGES) -> dict:
+    """Run the flow (all stages, or the named ``stages``); returns the output
+    base path, database and stage timings.
 
     The input is either ``raw``, a wide loan table with the source column names
     (for example ``sources.files.read_wide_loans(spark, csv_path)``), or the
-    star-schema tables in ``sf_dir`` mapped by the testbed.
+    star-schema tables in ``sf_dir`` mapped by the testbed; it is needed only
+    when the ``wide`` stage runs. A stage that is not run has its outputs read
+    back from ``base`` (declared as plain external tables if this session's
+    catalog does not have them yet), so e.g. ``stages=["score"]`` re-scores
+    from the tables an earlier run wrote, as re-running one step would.
 
     ``buckets`` (default: ``spark.sql.shuffle.partitions``) is the bucket count
     of the tables in ``BUCKET_KEYS``; 0 writes every table unbucketed.
@@ -73,7 +81,11 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     key with many loans makes the view's row count the product of its loans,
     delinquency and details rows, which may be too large to materialise.
     """
-    if raw is None and sf_dir is None:
+    run = set(stages)
+    unknown = run - set(STAGES)
+    if unknown:
+        raise ValueError(f"unknown stages {sorted(unknown)}; choose from {STAGES}")
+    if "wide" in run and raw is None and sf_dir is None:
         raise ValueError("give the wide loan table (raw=) or a star-schema directory (sf_dir=)")
     rules = rules or ScoreRules.from_conf(spark)
     base = (base or shared_path(spark, "flow", sf_tag(sf_dir) if raw is None else "input")).rstrip("/")
@@ -91,6 +103,16 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
         write_parquet(df, location)
         return catalog.create_external_table(spark, db, table, ddl, location)
 
+    def existing(tables: dict, folder: str) -> dict:
+        """Tables an earlier run wrote: declared (plainly) unless already in the catalog."""
+        out = {}
+        for table, (_, ddl) in tables.items():
+            name = f"{db}.{table}"
+            if not spark.catalog.tableExists(name):
+                catalog.create_external_table(spark, db, table, ddl, f"{base}/{folder}/{table}")
+            out[table] = catalog.scan_table(spark, name)
+        return out
+
     def stage(name):
         timings[name] = time.time()
 
@@ -98,59 +120,67 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
         timings[name] = round(time.time() - timings[name], 3)
 
     # 1. keyed wide table
-    stage("wide")
-    write_parquet(f.keyed, f"{base}/wide_keyed")
-    f.use(keyed=read_parquet(spark, f"{base}/wide_keyed"))
-    done("wide")
+    if "wide" in run:
+        stage("wide")
+        write_parquet(f.keyed, f"{base}/wide_keyed")
+        done("wide")
+    if "clean" in run:
+        f.use(keyed=read_parquet(spark, f"{base}/wide_keyed"))
 
     # 2. cleaned entity tables, declared in the database (+ the record/enquiry id list)
-    stage("clean")
-    for table, (attr, ddl) in CLEAN_TABLES.items():
-        publish(getattr(f, attr), table, ddl, f"{base}/clean/{table}")
-    write_parquet(f.records_enq, f"{base}/clean/loans_defaulters_records_enq")
-    done("clean")
+    if "clean" in run:
+        stage("clean")
+        for table, (attr, ddl) in CLEAN_TABLES.items():
+            publish(getattr(f, attr), table, ddl, f"{base}/clean/{table}")
+        write_parquet(f.records_enq, f"{base}/clean/loans_defaulters_records_enq")
+        done("clean")
+    t = existing(CLEAN_TABLES, "clean")
+    f.use(customers=t["customers"], loans=t["loans"], repayments=t["loans_repayments"],
+          delinq_table=t["loans_defaulters_delinq"], details_table=t["loans_defaulters_details"])
 
     # 3. consolidated view and snapshot over the published tables
-    stage("publish")
-    view_sql = catalog.consolidated_view_sql(db)
-    catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
-    if snapshot:
-        catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t", f"{base}/snapshot/customers_loan_t")
-    done("publish")
+    if "publish" in run:
+        stage("publish")
+        view_sql = catalog.consolidated_view_sql(db)
+        catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
+        if snapshot:
+            catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t",
+                                   f"{base}/snapshot/customers_loan_t")
+        done("publish")
 
     # 4. duplicate reports and quarantine, from the published tables
-    stage("quarantine")
-    t = {name: catalog.scan_table(spark, f"{db}.{name}") for name in CLEAN_TABLES}
-    f.use(customers=t["customers"], loans=t["loans"], repayments=t["loans_repayments"],
-          delinq_table=t["loans_defaulters_delinq"], details_table=t["loans_defaulters_details"])
-    # one aggregation finds the duplicated keys of all three tables; the reports
-    # and the quarantine list are read from its (small) written output
-    sources = f.quarantine_sources
-    write_parquet(quarantine.duplicate_counts(sources), f"{base}/quarantine/duplicate_counts")
-    counts = read_parquet(spark, f"{base}/quarantine/duplicate_counts")
-    for name in sources:
-        write_csv(counts.where(F.col(f"n_{name}") > 1).select("member_id"),
-                  f"{base}/reports/{name}_duplicates")
-    f.use(dup_ids=counts.select("member_id"))
-    write_csv(f.dup_ids, f"{base}/reports/duplicate_member_ids")
-    for table, (attr, ddl) in QUARANTINED.items():
-        publish(getattr(f, attr), table, ddl, f"{base}/cleaned/{table}")
-    done("quarantine")
+    if "quarantine" in run:
+        stage("quarantine")
+        # one aggregation finds the duplicated keys of all three tables; the reports
+        # and the quarantine list are read from its (small) written output
+        sources = f.quarantine_sources
+        write_parquet(quarantine.duplicate_counts(sources), f"{base}/quarantine/duplicate_counts")
+        counts = read_parquet(spark, f"{base}/quarantine/duplicate_counts")
+        for name in sources:
+            write_csv(counts.where(F.col(f"n_{name}") > 1).select("member_id"),
+                      f"{base}/reports/{name}_duplicates")
+        f.use(dup_ids=counts.select("member_id"))
+        write_csv(f.dup_ids, f"{base}/reports/duplicate_member_ids")
+        for table, (attr, ddl) in QUARANTINED.items():
+            publish(getattr(f, attr), table, ddl, f"{base}/cleaned/{table}")
+        done("quarantine")
 
     # 5. score from the quarantined tables
-    stage("score")
-    f.use(customers_c=catalog.scan_table(spark, f"{db}.customers_c"),
-          delinq_c=catalog.scan_table(spark, f"{db}.loans_defaulters_delinq_c"),
-          details_c=catalog.scan_table(spark, f"{db}.loans_defaulters_details_c"))
-    write_parquet(f.score, f"{base}/final_score")
-    catalog.create_external_table(spark, db, "score", schemas.SCORE_TABLE_DDL, f"{base}/final_score")
-    done("score")
+    if "score" in run:
+        stage("score")
+        c = existing(QUARANTINED, "cleaned")
+        f.use(dup_ids=read_parquet(spark, f"{base}/quarantine/duplicate_counts").select("member_id"),
+              customers_c=c["customers_c"], delinq_c=c["loans_defaulters_delinq_c"],
+              details_c=c["loans_defaulters_details_c"])
+        write_parquet(f.score, f"{base}/final_score")
+        catalog.create_external_table(spark, db, "score", schemas.SCORE_TABLE_DDL, f"{base}/final_score")
+        done("score")
 
     return {"base": base, "db": db, "buckets": buckets, "timings": timings}
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m lendscope.plans.staged (--wide-csv PATH | --sf-dir DIR) [--base OUT] [--db NAME]``
+    """``python -m lendscope.plans.staged (--wide-csv PATH | --sf-dir DIR) [--base OUT] [--db NAME] [--stages ...]``
 
     Uses the session the environment provides (``spark-submit`` config), so the
     checkpoint folder, shuffle partitions and executors come from the cluster.
@@ -162,18 +192,21 @@ def main(argv: list[str] | None = None) -> None:
     from lendscope.sources.files import read_wide_loans
 
     ap = argparse.ArgumentParser(prog="lendscope.plans.staged")
-    src = ap.add_mutually_exclusive_group(required=True)
+    src = ap.add_mutually_exclusive_group()
     src.add_argument("--wide-csv", help="wide loan CSV (header row, one loan per row)")
     src.add_argument("--sf-dir", help="directory of the star-schema Parquet tables")
     ap.add_argument("--base", help="output folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--db", default="lending")
     ap.add_argument("--buckets", type=int, default=None)
+    ap.add_argument("--stages", default=",".join(STAGES),
+                    help=f"comma-separated subset of {','.join(STAGES)} (others are read from --base)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("lendscope-staged").getOrCreate()
     ensure_checkpoint_dir(spark)
     raw = read_wide_loans(spark, args.wide_csv) if args.wide_csv else None
-    out = run_staged(spark, args.sf_dir, base=args.base, db=args.db, buckets=args.buckets, raw=raw)
+    out = run_staged(spark, args.sf_dir, base=args.base, db=args.db, buckets=args.buckets, raw=raw,
+                     stages=[x for x in args.stages.split(",") if x])
     print(json.dumps(out))
 
 

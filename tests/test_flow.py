@@ -103,3 +103,19 @@ def test_single_file_csv_report(spark, f):
     back = read_csv_schema(spark, path, "member_id string")
     assert back.count() == f.dup_ids.count()
     assert back.exceptAll(f.dup_ids).count() == 0
+
+
+def test_rescore_alone_in_a_fresh_catalog(spark, sf_small):
+    """stages=["score"] re-scores from the tables an earlier run wrote, declaring
+    them from the output folder (as a new process with an empty catalog would)."""
+    from lendscope.plans.staged import run_staged
+    from lendscope.rules import ScoreRules
+    first = run_staged(spark, sf_small, db="lending_stage_a", buckets=4)
+    before = spark.table("lending_stage_a.score")
+    n, best = before.count(), before.agg({"loan_score": "max"}).first()[0]
+    out = run_staged(spark, db="lending_stage_b", base=first["base"], stages=["score"],
+                     rules=ScoreRules(excellent=900))
+    assert set(out["timings"]) == {"score"}
+    after = spark.table("lending_stage_b.score")
+    assert after.count() == n
+    assert after.agg({"loan_score": "max"}).first()[0] > best
