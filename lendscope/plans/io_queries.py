@@ -2,12 +2,13 @@
 
 Each writes a frame derived from the given tables to the shared folder
 (overwriting that query's own path), reads it back through the operator
-under test, and returns the read-back DataFrame. ``catalog_tables`` has no
-SQL oracle (it lists catalog objects) and gets a rows-only check.
+under test, and returns the read-back DataFrame.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendscope import schemas
@@ -106,7 +107,8 @@ def consolidated_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the five cleaned tables, the view and the snapshot; list the database."""
+    """Publish the five cleaned tables, the view and the snapshot; list the
+    database (SHOW TABLES) joined with each listed object's row count."""
     from lendscope.plans.staged import CLEAN_TABLES
     f = frames(spark, sf_dir)
     db = f"lendscope_catalog_{sf_tag(sf_dir).replace('.', '_')}"
@@ -118,7 +120,12 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
     catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t",
                            _path(spark, sf_dir, "catalog/customers_loan_t"))
-    return catalog.show_tables(spark, db).where(F.col("isTemporary") == F.lit(False))
+    names = list(CLEAN_TABLES) + ["customers_loan_v", "customers_loan_t"]
+    counts = reduce(lambda a, b: a.unionByName(b), [
+        catalog.scan_table(spark, f"{db}.{n}").agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(n).alias("tableName"), "n_rows") for n in names])
+    listed = catalog.show_tables(spark, db).where(F.col("isTemporary") == F.lit(False))
+    return listed.select("tableName", "isTemporary").join(counts, "tableName")
 
 
 def io_queries() -> dict:

@@ -505,5 +505,14 @@ WHERE l.member_id NOT IN (SELECT member_id FROM dup_ids)""", "loans_clean", "cus
     q["external_table_roundtrip"] = _all("customers_clean")
     q["scan_table"] = _all("graded")
     q["scan_temp_view"] = _all("customers_raw")
+    q["catalog_tables"] = with_ctes("""
+SELECT 'customers' AS tableName, false AS isTemporary, count(*) AS n_rows FROM customers_clean
+UNION ALL SELECT 'loans', false, count(*) FROM loans_clean
+UNION ALL SELECT 'loans_repayments', false, count(*) FROM repayments_clean
+UNION ALL SELECT 'loans_defaulters_delinq', false, count(*) FROM delinq_t
+UNION ALL SELECT 'loans_defaulters_details', false, count(*) FROM details_t
+UNION ALL SELECT 'customers_loan_v', false, count(*) FROM consolidated
+UNION ALL SELECT 'customers_loan_t', false, count(*) FROM consolidated""",
+        "customers_clean", "loans_clean", "repayments_clean", "delinq_t", "details_t", "consolidated")
     q["ingest_stamp"] = with_ctes(f"SELECT *, {TS} AS ingest_date FROM repayments_raw", "repayments_raw")
     return q

@@ -19,9 +19,9 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_oracle_but_catalog(spark):
+def test_every_query_has_oracle(spark):
     q, sql = entry.queries(), entry.oracle_sql()
-    assert set(q) - set(sql) == {"catalog_tables"}
+    assert set(q) == set(sql)
 
 
 def test_score_invariants(f):
