@@ -82,3 +82,9 @@ def count_distinct_keys(keyed: DataFrame, key: str = "name_sha2") -> DataFrame:
 def lookup_member(df: DataFrame, key_prefix: str, key: str = "name_sha2") -> DataFrame:
     """Rows whose key starts with ``key_prefix`` (a full key is an equality lookup)."""
     return df.where(F.col(key).startswith(key_prefix))
+
+
+def lookup_key(df: DataFrame, value, key: str = "member_id") -> DataFrame:
+    """Rows whose key equals ``value`` (a literal, or a scalar-subquery Column such
+    as ``ids.agg(F.min("member_id")).scalar()``)."""
+    return df.where(F.col(key) == value)

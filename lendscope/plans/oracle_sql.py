@@ -459,6 +459,8 @@ FROM customers_clean""", "customers_clean")
         "SELECT count(DISTINCT name_sha2) AS n_distinct_keys FROM keyed", "keyed")
     q["lookup_member"] = with_ctes("SELECT * FROM keyed WHERE name_sha2 LIKE 'e3b0c44298fc1c149%'", "keyed")
 
+    q["lookup_duplicate_member"] = with_ctes(
+        "SELECT * FROM details_t WHERE member_id = (SELECT min(member_id) FROM dup_ids)", "details_t", "dup_ids")
     q["duplicate_keys_customers"] = _all("dup_customers")
     q["duplicate_keys_delinq"] = _all("dup_delinq")
     q["duplicate_keys_details"] = _all("dup_details")

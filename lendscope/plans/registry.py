@@ -117,6 +117,8 @@ def core_queries() -> dict[str, Query]:
         "key_frequency": _q(lambda f: profile.key_frequency(f.keyed)),
         "count_distinct_keys": _q(lambda f: profile.count_distinct_keys(f.keyed)),
         "lookup_member": _q(lambda f: profile.lookup_member(f.keyed, ALL_NULL_MEMBER_KEY_PREFIX)),
+        "lookup_duplicate_member": _q(lambda f: profile.lookup_key(
+            f.details_table, f.dup_ids.agg(F.min("member_id")).scalar())),
 
         "duplicate_keys_customers": _f("dup_customers"),
         "duplicate_keys_delinq": _f("dup_delinq"),
