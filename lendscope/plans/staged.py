@@ -20,6 +20,7 @@ loan-status projections move.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -58,10 +59,24 @@ BUCKET_KEYS = {
 STAGES = ("wide", "clean", "publish", "quarantine", "score")
 
 
+def _run_together(actions, threads: int) -> None:
+    """Run independent Spark actions (table writes) concurrently from a few
+    threads: their jobs share the executors, so one write's straggler tail
+    does not leave the cluster idle before the next starts. Any failure is
+    re-raised."""
+    if threads <= 1 or len(actions) <= 1:
+        for act in actions:
+            act()
+        return
+    with ThreadPoolExecutor(max_workers=min(threads, len(actions))) as pool:
+        for fut in [pool.submit(act) for act in actions]:
+            fut.result()
+
+
 def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None = None,
                db: str = "lending", ingest_ts=None, buckets: int | None = None,
                rules: ScoreRules | None = None, raw: DataFrame | None = None,
-               snapshot: bool = True, stages=STAGES) -> dict:
+               snapshot: bool = True, stages=STAGES, threads: int = 4) -> dict:
     """Run the flow (all stages, or the named ``stages``); returns the output
     base path, database and stage timings.
 
@@ -80,6 +95,8 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     ``snapshot=False`` declares only the (lazy) consolidated view: a member
     key with many loans makes the view's row count the product of its loans,
     delinquency and details rows, which may be too large to materialise.
+    ``threads`` independent writes of a stage are submitted at once (1 = one
+    after another).
     """
     run = set(stages)
     unknown = run - set(STAGES)
@@ -130,9 +147,12 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     # 2. cleaned entity tables, declared in the database (+ the record/enquiry id list)
     if "clean" in run:
         stage("clean")
-        for table, (attr, ddl) in CLEAN_TABLES.items():
-            publish(getattr(f, attr), table, ddl, f"{base}/clean/{table}")
-        write_parquet(f.records_enq, f"{base}/clean/loans_defaulters_records_enq")
+        frames_out = {table: getattr(f, attr) for table, (attr, _) in CLEAN_TABLES.items()}
+        actions = [lambda t=table, ddl=ddl: publish(frames_out[t], t, ddl, f"{base}/clean/{t}")
+                   for table, (_, ddl) in CLEAN_TABLES.items()]
+        records = f.records_enq
+        actions.append(lambda: write_parquet(records, f"{base}/clean/loans_defaulters_records_enq"))
+        _run_together(actions, threads)
         done("clean")
     t = existing(CLEAN_TABLES, "clean")
     f.use(customers=t["customers"], loans=t["loans"], repayments=t["loans_repayments"],
@@ -156,13 +176,15 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
         sources = f.quarantine_sources
         write_parquet(quarantine.duplicate_counts(sources), f"{base}/quarantine/duplicate_counts")
         counts = read_parquet(spark, f"{base}/quarantine/duplicate_counts")
-        for name in sources:
-            write_csv(counts.where(F.col(f"n_{name}") > 1).select("member_id"),
-                      f"{base}/reports/{name}_duplicates")
         f.use(dup_ids=counts.select("member_id"))
-        write_csv(f.dup_ids, f"{base}/reports/duplicate_member_ids")
-        for table, (attr, ddl) in QUARANTINED.items():
-            publish(getattr(f, attr), table, ddl, f"{base}/cleaned/{table}")
+        actions = [lambda n=name: write_csv(counts.where(F.col(f"n_{n}") > 1).select("member_id"),
+                                            f"{base}/reports/{n}_duplicates") for name in sources]
+        dup_ids = f.dup_ids
+        actions.append(lambda: write_csv(dup_ids, f"{base}/reports/duplicate_member_ids"))
+        quarantined = {table: getattr(f, attr) for table, (attr, _) in QUARANTINED.items()}
+        actions += [lambda t=table, ddl=ddl: publish(quarantined[t], t, ddl, f"{base}/cleaned/{t}")
+                    for table, (_, ddl) in QUARANTINED.items()]
+        _run_together(actions, threads)
         done("quarantine")
 
     # 5. score from the quarantined tables
