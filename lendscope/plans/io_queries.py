@@ -109,13 +109,15 @@ def consolidated_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish the five cleaned tables, the view and the snapshot; list the
     database (SHOW TABLES) joined with each listed object's row count."""
-    from lendscope.plans.staged import CLEAN_TABLES
+    from lendscope.plans.staged import CLEAN_TABLES, run_together
     f = frames(spark, sf_dir)
     db = f"lendscope_catalog_{sf_tag(sf_dir).replace('.', '_')}"
     catalog.create_database(spark, db, _path(spark, sf_dir, f"warehouse/{db}.db"))
-    for table, (attr, ddl) in CLEAN_TABLES.items():
+    def publish(table, attr, ddl):
         path = write_parquet(getattr(f, attr), _path(spark, sf_dir, f"catalog/{table}"))
         catalog.create_external_table(spark, db, table, ddl, path)
+
+    run_together([lambda t=t, a=a, d=d: publish(t, a, d) for t, (a, d) in CLEAN_TABLES.items()], threads=4)
     view_sql = catalog.consolidated_view_sql(db)
     catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
     catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t",

@@ -59,7 +59,7 @@ BUCKET_KEYS = {
 STAGES = ("wide", "clean", "publish", "quarantine", "score")
 
 
-def _run_together(actions, threads: int) -> None:
+def run_together(actions, threads: int) -> None:
     """Run independent Spark actions (table writes) concurrently from a few
     threads: their jobs share the executors, so one write's straggler tail
     does not leave the cluster idle before the next starts. Any failure is
@@ -152,7 +152,7 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
                    for table, (_, ddl) in CLEAN_TABLES.items()]
         records = f.records_enq
         actions.append(lambda: write_parquet(records, f"{base}/clean/loans_defaulters_records_enq"))
-        _run_together(actions, threads)
+        run_together(actions, threads)
         done("clean")
     t = existing(CLEAN_TABLES, "clean")
     f.use(customers=t["customers"], loans=t["loans"], repayments=t["loans_repayments"],
@@ -184,7 +184,7 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
         quarantined = {table: getattr(f, attr) for table, (attr, _) in QUARANTINED.items()}
         actions += [lambda t=table, ddl=ddl: publish(quarantined[t], t, ddl, f"{base}/cleaned/{t}")
                     for table, (_, ddl) in QUARANTINED.items()]
-        _run_together(actions, threads)
+        run_together(actions, threads)
         done("quarantine")
 
     # 5. score from the quarantined tables
