@@ -3,8 +3,8 @@ delinquency and public-record details.
 
 Delinquency and details hang off the customer key, so a member with several
 loans gets (loans x delinquency rows x details rows) output rows; that is the
-view's definition and is kept. The score path never uses this view. The plan
-is one shuffle per input on its join key; AQE splits skewed partitions.
+view's definition and is kept. The score path never uses this view. The
+joins are arranged so that AQE can split a hot member's partition in each.
 """
 
 from __future__ import annotations
@@ -31,25 +31,42 @@ DETAIL_COLS = ["pub_rec", "pub_rec_bankruptcies", "inq_last_6mths"]
 VIEW_COLUMNS = ["loan_id"] + CUSTOMER_COLS + LOAN_COLS + REPAYMENT_COLS + DELINQ_COLS + DETAIL_COLS
 
 
+def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left LEFT OUTER JOIN right ON left_key = right_key`` (``right_key`` dropped),
+    written as the inner join plus the unmatched left rows padded with NULLs.
+
+    Same rows as the outer join. The point is skew: AQE can split a skewed
+    partition of a left outer join only on the left side, so a hot key whose
+    rows sit on the right would be joined by one task; an inner join may be
+    split on either side. The unmatched rows come from an anti join against the
+    right side's distinct keys, which are pre-aggregated map-side. Both
+    branches shuffle ``left`` identically, so the exchange is reused.
+    """
+    cond = F.col(left_key) == F.col(right_key)
+    matched = left.join(right, cond, "inner").drop(right_key)
+    keys = right.select(right_key).distinct()
+    pads = {c: F.lit(None).cast(t) for c, t in right.dtypes if c != right_key}
+    unmatched = left.join(keys, cond, "left_anti").withColumns(pads)
+    return matched.unionByName(unmatched)
+
+
 def consolidated_view(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
                       delinq: DataFrame, details: DataFrame) -> DataFrame:
-    """The 35-column borrower-loan view (left outer joins from customers)."""
-    c = customers.select(*CUSTOMER_COLS).alias("c")
-    l = loans.select("loan_id", F.col("member_id").alias("l_member_id"), *LOAN_COLS).alias("l")
-    r = repayments.select(F.col("loan_id").alias("r_loan_id"), *REPAYMENT_COLS).alias("r")
-    d = delinq.select(F.col("member_id").alias("d_member_id"), *DELINQ_COLS).alias("d")
-    e = details.select(F.col("member_id").alias("e_member_id"), *DETAIL_COLS).alias("e")
-    j = (
-        c.join(l, F.col("c.member_id") == F.col("l_member_id"), "left")
-        .join(r, F.col("l.loan_id") == F.col("r_loan_id"), "left")
-        .join(d, F.col("c.member_id") == F.col("d_member_id"), "left")
-        .join(e, F.col("c.member_id") == F.col("e_member_id"), "left")
-    )
-    return j.select(
-        F.col("l.loan_id").alias("loan_id"),
-        *[F.col(f"c.{x}").alias(x) for x in CUSTOMER_COLS],
-        *[F.col(f"l.{x}").alias(x) for x in LOAN_COLS],
-        *[F.col(f"r.{x}").alias(x) for x in REPAYMENT_COLS],
-        *[F.col(f"d.{x}").alias(x) for x in DELINQ_COLS],
-        *[F.col(f"e.{x}").alias(x) for x in DETAIL_COLS],
-    )
+    """The 35-column borrower-loan view (left outer joins from customers).
+
+    Customers to loans uses :func:`left_join_splittable`: there a hot member's
+    rows are on the right (its loans), which AQE cannot split in a left outer
+    join. The later joins on ``member_id`` are plain left joins, because from
+    then on the hot member's rows are on the left (customer x loan rows), the
+    side AQE splits; the repayments join is on the unique ``loan_id``.
+    """
+    c = customers.select(*CUSTOMER_COLS)
+    l = loans.select("loan_id", F.col("member_id").alias("__l_member"), *LOAN_COLS)
+    r = repayments.select(F.col("loan_id").alias("__r_loan"), *REPAYMENT_COLS)
+    d = delinq.select(F.col("member_id").alias("__d_member"), *DELINQ_COLS)
+    e = details.select(F.col("member_id").alias("__e_member"), *DETAIL_COLS)
+    j = left_join_splittable(c, l, "member_id", "__l_member")
+    j = j.join(r, F.col("loan_id") == F.col("__r_loan"), "left").drop("__r_loan")
+    j = j.join(d, F.col("member_id") == F.col("__d_member"), "left").drop("__d_member")
+    j = j.join(e, F.col("member_id") == F.col("__e_member"), "left").drop("__e_member")
+    return j.select(*VIEW_COLUMNS)

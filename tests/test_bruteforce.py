@@ -89,3 +89,16 @@ def test_last_payment_over_a_grid(spark):
     df = spark.createDataFrame([(v, inst) for v in vals], "p float, i float")
     got = [x.v for x in df.select(score.last_payment_points(F.col("p"), F.col("i"), r).alias("v")).collect()]
     assert got == [py(v) for v in vals]
+
+
+def test_left_join_splittable_equals_left_outer_join(spark):
+    from lendscope.operators.consolidate import left_join_splittable
+    left = spark.createDataFrame(
+        [(k, i) for i, k in enumerate(["hot", "hot", "a", "b", None, "c"])], "k string, lv int")
+    right = spark.createDataFrame(
+        [("hot", i) for i in range(7)] + [("a", 100), ("a", 101), ("z", 9), (None, 8)], "rk string, rv int")
+    got = left_join_splittable(left, right, "k", "rk")
+    want = left.join(right, left.k == right.rk, "left").drop("rk")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert got.count() == 2 * 7 + 2 + 3
