@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lendscope.operators import clean, quarantine, score, split
 from lendscope.operators.consolidate import consolidated_view
 from lendscope.rules import DEFAULT_RULES, ScoreRules
-from lendscope.session import app_id, sf_tag, shared_path
+from lendscope.session import app_id, delete_on_exit, sf_tag, shared_path
 from lendscope.sources.files import read_parquet, write_parquet
 from lendscope.sources.tables import star_tables
 from lendscope.sources.testbed import keyed_loans, raw_loans
@@ -69,6 +69,7 @@ class LendingFrames:
             if "_keyed_written" not in self.__dict__:
                 path = shared_path(self.spark, "wide", app_id(self.spark), sf_tag(self.sf_dir), "keyed")
                 self.__dict__["_keyed_written"] = read_parquet(self.spark, write_parquet(keyed, path))
+                delete_on_exit(self.spark, path)  # scratch copy for this application only
             return self.__dict__["_keyed_written"]
 
     @cached_property

@@ -76,3 +76,17 @@ def default_parallelism(spark: SparkSession) -> int:
     except Exception:  # noqa: BLE001 - Spark Connect
         return int(spark.conf.get("spark.default.parallelism", None)
                    or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> bool:
+    """Have the JVM's Hadoop file system delete ``path`` when the application
+    shuts down (for per-application scratch data). Returns False where this is
+    not available (Spark Connect); the data then stays until the checkpoint
+    folder is cleared."""
+    try:
+        jvm = spark._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        return bool(fs.deleteOnExit(hpath))
+    except Exception:  # noqa: BLE001
+        return False

@@ -119,3 +119,25 @@ def test_rescore_alone_in_a_fresh_catalog(spark, sf_small):
     after = spark.table("lending_stage_b.score")
     assert after.count() == n
     assert after.agg({"loan_score": "max"}).first()[0] > best
+
+
+def test_wide_copy_removed_when_application_ends(sf_small):
+    """The per-application wide-table copy is deleted when that application's JVM exits."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from lendscope.session import local_session, shared_path, app_id\n"
+        "import __spark_entry__ as e\n"
+        "s = local_session(2)\n"
+        "e.queries()['split_loans'](s, %r).count()\n"
+        "import os; p = shared_path(s, 'wide', app_id(s), 'sf0.001', 'keyed')\n"
+        "print(os.path.exists(p), p)\n"
+        "s.stop()\n"
+    ) % (repo, sf_small)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    existed, path = out.stdout.strip().splitlines()[-1].split(" ", 1)
+    assert existed == "True" and "/wide/" in path
+    assert not os.path.exists(path)
