@@ -10,6 +10,7 @@ and prunes columns down to the scans.
 from __future__ import annotations
 
 import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,9 @@ class LendingFrames:
         self.rules = rules
         self.materialize_wide = materialize_wide
         self._wide_lock = threading.Lock()
+        # own folder per frame graph: a second graph in the same application
+        # never overwrites files the first one's DataFrames read
+        self._token = uuid.uuid4().hex[:12]
 
     def use(self, **frames: DataFrame) -> "LendingFrames":
         """Replace named frames (e.g. with tables read back from storage);
@@ -67,7 +71,8 @@ class LendingFrames:
             return keyed
         with self._wide_lock:  # one writer even if queries are built from several threads
             if "_keyed_written" not in self.__dict__:
-                path = shared_path(self.spark, "wide", app_id(self.spark), sf_tag(self.sf_dir), "keyed")
+                path = shared_path(self.spark, "wide", app_id(self.spark), self._token, sf_tag(self.sf_dir),
+                                   "keyed")
                 self.__dict__["_keyed_written"] = read_parquet(self.spark, write_parquet(keyed, path))
                 delete_on_exit(self.spark, path)  # scratch copy for this application only
             return self.__dict__["_keyed_written"]

@@ -133,10 +133,11 @@ def test_wide_copy_removed_when_application_ends(sf_small):
         "import __spark_entry__ as e\n"
         "s = local_session(2)\n"
         "e.queries()['split_loans'](s, %r).count()\n"
-        "import os; p = shared_path(s, 'wide', app_id(s), 'sf0.001', 'keyed')\n"
+        "from lendscope.plans.registry import frames\n"
+        "import os; p = shared_path(s, 'wide', app_id(s), frames(s, %r)._token, 'sf0.001', 'keyed')\n"
         "print(os.path.exists(p), p)\n"
         "s.stop()\n"
-    ) % (repo, sf_small)
+    ) % (repo, sf_small, sf_small)
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     existed, path = out.stdout.strip().splitlines()[-1].split(" ", 1)
     assert existed == "True" and "/wide/" in path
