@@ -102,3 +102,121 @@ def test_left_join_splittable_equals_left_outer_join(spark):
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert got.count() == 2 * 7 + 2 + 3
+
+
+emp = st.one_of(st.none(), st.sampled_from(["10+ years", "< 1 year", "n/a", "3 years", "x", "", "0 years"]),
+                st.text(alphabet="0123456789ab +<", max_size=4))
+state = st.one_of(st.none(), st.sampled_from(["CA", "NY", "NATION", "ABC", "A", ""]))
+income = st.one_of(st.none(), st.sampled_from([1.0, 2.5, 100.0]))
+cust_rows = st.lists(st.tuples(st.sampled_from(["m1", "m2", "m3"]), emp, income, state), max_size=8)
+
+
+def py_clean_customers(rows):
+    import math
+    import re as _re
+    kept = [r for r in set(rows) if r[2] is not None]
+
+    def parse(s):
+        if s is None:
+            return None
+        d = _re.sub(r"[^0-9]", "", s)
+        return int(d) if d and int(d) < 2 ** 31 else None
+
+    parsed = [(m, parse(e), i, st_) for m, e, i, st_ in kept]
+    vals = [e for _, e, _, _ in parsed if e is not None]
+    fill = math.floor(sum(vals) / len(vals)) if vals else None
+    out = []
+    for m, e, i, st_ in parsed:
+        st2 = "NA" if st_ is not None and len(st_) > 2 else st_
+        out.append((m, e if e is not None else fill, i, st2))
+    return sorted(out, key=str)
+
+
+@settings(max_examples=20, deadline=None)
+@given(rows=cust_rows)
+def test_clean_customers_matches_python_model(spark, rows):
+    from lendscope.operators import clean
+    ddl = ("member_id string, emp_length string, annual_inc float, addr_state string")
+    df = spark.createDataFrame(rows, ddl)
+    for c, t in (("emp_title", "string"), ("home_ownership", "string"), ("zip_code", "string"),
+                 ("country", "string"), ("grade", "string"), ("sub_grade", "string"),
+                 ("verification_status", "string"), ("tot_hi_cred_lim", "float"),
+                 ("application_type", "string"), ("annual_inc_joint", "float"),
+                 ("verification_status_joint", "string")):
+        df = df.withColumn(c, F.lit(None).cast(t))
+    out = clean.clean_customers(df, "2024-01-01 00:00:00")
+    got = sorted(((r.member_id, r.emp_length, r.annual_income, r.address_state) for r in out.collect()), key=str)
+    assert got == py_clean_customers(rows)
+
+
+fl = st.one_of(st.none(), st.sampled_from([0.0, 1.5, 10.0, float("nan")]))
+date = st.one_of(st.none(), st.sampled_from(["0.0", "0", "Mar-2019", "x", " 0.0"]))
+rep_rows = st.lists(st.tuples(st.sampled_from(["1", "2", "3"]), fl, fl, fl, fl, fl, date, date), max_size=8)
+
+
+def py_clean_repayments(rows):
+    import math
+
+    def bad(x):
+        return x is None or (isinstance(x, float) and math.isnan(x))
+
+    def zero(s):
+        if s is None:
+            return None
+        try:
+            return None if float(s.strip()) == 0.0 else s
+        except ValueError:
+            return s
+
+    out = []
+    for lid, p, i, fee, t, last, d1, d2 in rows:
+        if any(bad(x) for x in (p, i, fee, t, last)):
+            continue
+        t2 = p + i + fee if (p != 0.0 and t == 0.0) else t
+        out.append((lid, t2, zero(d1), zero(d2)))
+    return sorted(out, key=str)
+
+
+@settings(max_examples=20, deadline=None)
+@given(rows=rep_rows)
+def test_clean_repayments_matches_python_model(spark, rows):
+    from lendscope.operators import clean
+    from lendscope.schemas import REPAYMENTS_RAW_DDL
+    df = spark.createDataFrame(rows, REPAYMENTS_RAW_DDL)
+    out = clean.clean_repayments(df, "2024-01-01 00:00:00")
+    got = sorted(((r.loan_id, r.total_payment_received, r.last_payment_date, r.next_payment_date)
+                  for r in out.collect()), key=str)
+    assert got == py_clean_repayments(rows)
+
+
+term = st.one_of(st.none(), st.sampled_from([" 36 months", " 60 months", "36 months", " 42 months", "x months"]))
+purpose = st.one_of(st.none(), st.sampled_from(["car", "wedding", "pay my bills", "Medical", "other"]))
+loan_rows = st.lists(st.tuples(st.sampled_from(["1", "2"]), fl, term, purpose), max_size=8)
+
+
+def py_clean_loans(rows):
+    import math
+    lookup = {"debt_consolidation", "credit_card", "home_improvement", "other", "major_purchase", "medical",
+              "small_business", "car", "vacation", "moving", "house", "wedding", "renewable_energy", "educational"}
+    out = []
+    for lid, amount, t, p in rows:
+        if amount is None or math.isnan(amount) or t is None or p is None:
+            continue
+        digits = t.replace(" months", "").strip()
+        years = int(int(digits) / 12) if digits.isdigit() else None
+        out.append((lid, years, p if p in lookup else "other"))
+    return sorted(out, key=str)
+
+
+@settings(max_examples=20, deadline=None)
+@given(rows=loan_rows)
+def test_clean_loans_matches_python_model(spark, rows):
+    from lendscope.operators import clean
+    df = spark.createDataFrame(
+        [(lid, "m", a, a, t, 5.0, 1.0, "Jan-2015", "Current", p, "t") for lid, a, t, p in rows],
+        "loan_id string, member_id string, loan_amount float, funded_amount float, loan_term_months string, "
+        "interest_rate float, monthly_installment float, issue_date string, loan_status string, "
+        "loan_purpose string, loan_title string")
+    out = clean.clean_loans(df, "2024-01-01 00:00:00")
+    got = sorted(((r.loan_id, r.loan_term_years, r.loan_purpose) for r in out.collect()), key=str)
+    assert got == py_clean_loans(rows)
