@@ -142,3 +142,10 @@ def test_wide_copy_removed_when_application_ends(sf_small):
     existed, path = out.stdout.strip().splitlines()[-1].split(" ", 1)
     assert existed == "True" and "/wide/" in path
     assert not os.path.exists(path)
+
+
+def test_public_score_function_equals_frame_graph(f):
+    from lendscope.operators import score
+    direct = score.loan_score_grades(f.repayments, f.loans, f.details_c, f.delinq_c, f.customers_c, f.dup_ids)
+    assert direct.columns == f.score.columns
+    assert direct.exceptAll(f.score).count() == 0 and f.score.exceptAll(direct).count() == 0

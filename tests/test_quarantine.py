@@ -70,3 +70,12 @@ def test_duplicate_counts_equals_union_of_lists(spark):
     union = _ids(quarantine.duplicate_member_ids(quarantine.duplicate_keys(a), quarantine.duplicate_keys(b)),
                  "member_id")
     assert ids == union == ["x", "z"]
+
+
+def test_drop_quarantined_with_null_rules(spark):
+    t = spark.createDataFrame([("x", 1), (None, 2), ("y", 3)], "member_id string, v int")
+    q = spark.createDataFrame([("x",)], "member_id string")
+    q_null = spark.createDataFrame([("x",), (None,)], "member_id string")
+    assert _ids(quarantine.drop_quarantined(t, q, keys_never_null=False), "v") == [3]
+    assert _ids(quarantine.drop_quarantined(t, q_null, keys_never_null=False), "v") == []
+    assert _ids(quarantine.drop_quarantined(t, q), "v") == [2, 3]  # plain anti join keeps the NULL key
