@@ -2,9 +2,10 @@
 
 ``LendingFrames`` names every intermediate table of the flow (wide rows ->
 splits -> cleaned tables -> quarantine -> score) as a lazily built
-DataFrame. Nothing runs until an action; each registered query is one of
-these frames or a small projection of one, so Catalyst sees the whole chain
-and prunes columns down to the scans.
+DataFrame. Nothing runs until an action, apart from the one-time write of
+the keyed wide table on first use (see ``LendingFrames``); each registered
+query is one of these frames or a small projection of one, so Catalyst sees
+the whole chain and prunes columns down to the scans.
 """
 
 from __future__ import annotations
