@@ -122,7 +122,10 @@ class ScoreRules:
         for suffix, name in cls.CONF_KEYS.items():
             raw = spark.conf.get(prefix + suffix, None)
             if raw is not None:
-                values[name] = int(raw)
+                value = Decimal(str(raw).strip())
+                if value != value.to_integral_value():
+                    raise ValueError(f"{prefix + suffix} must be a whole number of points, got {raw!r}")
+                values[name] = int(value)
         if "unacceptable_grade" in values and base.delinq_over_5 == base.unacceptable_grade:
             values["delinq_over_5"] = values["unacceptable_grade"]
         fields = {f: getattr(base, f) for f in base.__dataclass_fields__}

@@ -105,3 +105,16 @@ def test_rules_from_session_conf(spark):
     assert r.excellent == 900 and r.unacceptable_grade == 700 and r.delinq_over_5 == 700
     assert r.grade_bases[0] == ("A", 900) and r.good == 500
     assert ScoreRules.from_conf(spark) == ScoreRules()
+
+
+def test_rules_from_conf_parses_decimal_text(spark):
+    import pytest
+    from lendscope.rules import ScoreRules
+    spark.conf.set("spark.sql.good_rated_pts", "550.0")
+    try:
+        assert ScoreRules.from_conf(spark).good == 550
+        spark.conf.set("spark.sql.good_rated_pts", "550.5")
+        with pytest.raises(ValueError):
+            ScoreRules.from_conf(spark)
+    finally:
+        spark.conf.unset("spark.sql.good_rated_pts")
