@@ -201,6 +201,31 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     return {"base": base, "db": db, "buckets": buckets, "timings": timings}
 
 
+def declare_outputs(spark: SparkSession, base: str, db: str = "lending") -> list[str]:
+    """Declare the tables an earlier ``run_staged`` wrote under ``base`` (cleaned,
+    quarantined, score, the snapshot if present) and the consolidated view in
+    ``db`` of this session's catalog, e.g. in a new process without a
+    persistent metastore; returns the declared names. Bucketed tables are
+    declared as plain Parquet tables (same rows)."""
+    base = base.rstrip("/")
+    catalog.create_database(spark, db, f"{base}/warehouse/{db}.db")
+    names = []
+    for tables, folder in ((CLEAN_TABLES, "clean"), (QUARANTINED, "cleaned")):
+        for table, (_, ddl) in tables.items():
+            names.append(catalog.create_external_table(spark, db, table, ddl, f"{base}/{folder}/{table}"))
+    names.append(catalog.create_external_table(spark, db, "score", schemas.SCORE_TABLE_DDL, f"{base}/final_score"))
+    names.append(catalog.create_or_replace_view(spark, db, "customers_loan_v", catalog.consolidated_view_sql(db)))
+    snap = f"{base}/snapshot/customers_loan_t"
+    try:
+        schema = spark.read.parquet(snap).schema
+    except Exception:  # noqa: BLE001 - run with snapshot=False
+        schema = None
+    if schema is not None:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        names.append(catalog.create_external_table(spark, db, "customers_loan_t", ddl, snap))
+    return names
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m lendscope.plans.staged (--wide-csv PATH | --sf-dir DIR) [--base OUT] [--db NAME] [--stages ...]``
 

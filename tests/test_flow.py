@@ -149,3 +149,15 @@ def test_public_score_function_equals_frame_graph(f):
     direct = score.loan_score_grades(f.repayments, f.loans, f.details_c, f.delinq_c, f.customers_c, f.dup_ids)
     assert direct.columns == f.score.columns
     assert direct.exceptAll(f.score).count() == 0 and f.score.exceptAll(direct).count() == 0
+
+
+def test_declare_outputs_of_an_earlier_run(spark, sf_small):
+    from lendscope.plans.staged import declare_outputs, run_staged
+    out = run_staged(spark, sf_small, db="lending_decl_src", buckets=0)
+    n = spark.table("lending_decl_src.score").count()
+    v = spark.table("lending_decl_src.customers_loan_t").count()
+    names = declare_outputs(spark, out["base"], db="lending_decl")
+    assert "lending_decl.score" in names and "lending_decl.customers_loan_v" in names
+    assert spark.sql("SELECT * FROM lending_decl.score").count() == n
+    assert spark.table("lending_decl.customers_loan_v").count() == v
+    assert spark.table("lending_decl.customers_loan_t").count() == v
