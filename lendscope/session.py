@@ -36,10 +36,24 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
     return spark
 
 
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return spark.conf.get("spark.master", "") or ""
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a ``local[...]`` session (tests, a laptop) gets a fallback folder when
+    the setting is unset; on a cluster an unset folder is an error, since a
+    machine-local temp folder is not shared between executors.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not _master(spark).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
         path = _LOCAL_FALLBACK_DIR
         spark.conf.set("spark.checkpoint.dir", path)
     try:  # classic sessions only; Spark Connect has no SparkContext
