@@ -39,8 +39,12 @@ def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right
     partition of a left outer join only on the left side, so a hot key whose
     rows sit on the right would be joined by one task; an inner join may be
     split on either side. The unmatched rows come from an anti join against the
-    right side's distinct keys, which are pre-aggregated map-side. Both
-    branches shuffle ``left`` identically, so the exchange is reused.
+    right side's distinct keys, which are pre-aggregated map-side.
+
+    Cost: the two branches shuffle ``left`` on the key separately (Catalyst
+    plans them differently, e.g. it pushes the anti join below a
+    de-duplicating aggregate in ``left``), i.e. one extra shuffle of the left
+    side in exchange for a join whose hot key AQE can split.
     """
     cond = F.col(left_key) == F.col(right_key)
     matched = left.join(right, cond, "inner").drop(right_key)
