@@ -43,8 +43,10 @@ def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right
 
     Cost: the two branches shuffle ``left`` on the key separately (Catalyst
     plans them differently, e.g. it pushes the anti join below a
-    de-duplicating aggregate in ``left``), i.e. one extra shuffle of the left
-    side in exchange for a join whose hot key AQE can split.
+    de-duplicating aggregate in ``left``) and the right side's keys are
+    shuffled once more; for the consolidated view that is 12 instead of 9
+    shuffles at scale, in exchange for a join whose hot key AQE can split
+    instead of one task processing it whole.
     """
     cond = F.col(left_key) == F.col(right_key)
     matched = left.join(right, cond, "inner").drop(right_key)
