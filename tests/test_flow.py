@@ -1,5 +1,7 @@
 """Invariants and plan shape on the sf0.001 tables; entry contract."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,10 +34,29 @@ def test_score_invariants(f):
     assert s.where(F.col("loan_score").isNull() != F.col("loan_final_grade").isNull()).count() == 0
 
 
+# a null-aware anti join (what SQL NOT IN plans as) prints as "LeftAnti, Build<side>, true"
+NULL_AWARE = re.compile(r"LeftAnti, Build\w+, true")
+
+
+def has_bad_join(plan: str) -> bool:
+    return ("CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan
+            or NULL_AWARE.search(plan) is not None)
+
+
+def test_bad_join_detector_catches_sql_not_in(spark):
+    p = spark.createDataFrame([(1,), (2,)], "k int")
+    q = spark.createDataFrame([(1,)], "v int")
+    p.createOrReplaceTempView("nin_probe")
+    q.createOrReplaceTempView("nin_list")
+    qe = spark.sql("SELECT * FROM nin_probe WHERE k NOT IN (SELECT v FROM nin_list)")._jdf.queryExecution()
+    qe.toRdd().count()
+    assert has_bad_join(qe.executedPlan().toString())
+
+
 def test_score_plan_has_no_cartesian_or_null_aware_join(f):
-    plan = f.score._jdf.queryExecution().executedPlan().toString()
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "isNullAwareAntiJoin=true"):
-        assert bad not in plan
+    qe = f.score.select("*")._jdf.queryExecution()
+    qe.toRdd().count()
+    assert not has_bad_join(qe.executedPlan().toString())
 
 
 def test_scans_are_pruned(f):
@@ -161,3 +182,22 @@ def test_declare_outputs_of_an_earlier_run(spark, sf_small):
     assert spark.sql("SELECT * FROM lending_decl.score").count() == n
     assert spark.table("lending_decl.customers_loan_v").count() == v
     assert spark.table("lending_decl.customers_loan_t").count() == v
+
+
+def test_no_query_plans_cross_or_null_aware_joins_at_scale(spark, sf_small):
+    """With broadcasts disabled (the shape at scale), no registered query's final
+    plan has a cartesian product, a nested-loop join or a null-aware anti join."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        offenders = []
+        for name, fn in entry.queries().items():
+            qe = fn(spark, sf_small).select("*")._jdf.queryExecution()
+            qe.toRdd().count()
+            if has_bad_join(qe.executedPlan().toString()):
+                offenders.append(name)
+        assert offenders == []
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
