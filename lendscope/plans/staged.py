@@ -241,6 +241,7 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="lendscope.plans.staged")
     src = ap.add_mutually_exclusive_group()
     src.add_argument("--wide-csv", help="wide loan CSV (header row, one loan per row)")
+    ap.add_argument("--wide-schema", help="DDL of the wide CSV (skips the type-inference pass)")
     src.add_argument("--sf-dir", help="directory of the star-schema Parquet tables")
     ap.add_argument("--base", help="output folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--db", default="lending")
@@ -251,7 +252,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("lendscope-staged").getOrCreate()
     ensure_checkpoint_dir(spark)
-    raw = read_wide_loans(spark, args.wide_csv) if args.wide_csv else None
+    raw = read_wide_loans(spark, args.wide_csv, args.wide_schema) if args.wide_csv else None
     out = run_staged(spark, args.sf_dir, base=args.base, db=args.db, buckets=args.buckets, raw=raw,
                      stages=[x for x in args.stages.split(",") if x])
     print(json.dumps(out))

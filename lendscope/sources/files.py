@@ -21,12 +21,20 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_wide_loans(spark: SparkSession, path: str) -> DataFrame:
-    """The wide loan CSV (one loan per row, source column names), header and
-    inferred types, as the flow's first step reads it; a small file is spread
-    over the session's parallelism (see ``spread_small_scan``)."""
+def read_wide_loans(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The wide loan CSV (one loan per row, source column names) with a header.
+
+    Without ``schema`` the types are inferred, as the flow's first step does;
+    inference is a full extra pass over the input, so at scale pass the schema
+    (DDL string or StructType, columns in file order) to read it once. A small
+    file is spread over the session's parallelism (see ``spread_small_scan``).
+    """
     from lendscope.session import default_parallelism
-    return spread_small_scan(read_csv_inferred(spark, path), default_parallelism(spark))
+    if schema is None:
+        df = read_csv_inferred(spark, path)
+    else:
+        df = spark.read.option("header", True).schema(schema).csv(path)
+    return spread_small_scan(df, default_parallelism(spark))
 
 
 def read_csv_schema(spark: SparkSession, path: str, ddl: str) -> DataFrame:

@@ -23,3 +23,14 @@ def test_declared_column_missing_from_files_reads_null(spark):
         spark, "lendscope_src_test", "c", "member_id string, total_high_credit_limit float", path)
     r = catalog.scan_table(spark, name).first()
     assert r.member_id == "m1" and r.total_high_credit_limit is None
+
+
+def test_wide_csv_with_schema_skips_inference(spark, sf_small):
+    from lendscope.plans.registry import frames
+    from lendscope.sources.files import read_wide_loans
+    raw = frames(spark, sf_small).raw
+    path = write_csv(raw, shared_path(spark, "tests", "wide_csv_schema"))
+    inferred = read_wide_loans(spark, path)
+    given = read_wide_loans(spark, path, schema=inferred.schema)
+    assert given.schema == inferred.schema
+    assert given.exceptAll(inferred).count() == 0 and given.count() == raw.count()
