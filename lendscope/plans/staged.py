@@ -84,9 +84,9 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     (for example ``sources.files.read_wide_loans(spark, csv_path)``), or the
     star-schema tables in ``sf_dir`` mapped by the testbed; it is needed only
     when the ``wide`` stage runs. A stage that is not run has its outputs read
-    back from ``base`` (declared as plain external tables if this session's
-    catalog does not have them yet), so e.g. ``stages=["score"]`` re-scores
-    from the tables an earlier run wrote, as re-running one step would.
+    back from ``base`` (re-declared as plain external tables over that folder),
+    so e.g. ``stages=["score"]`` re-scores from the tables an earlier run wrote,
+    as re-running one step would.
 
     ``buckets`` (default: ``spark.sql.shuffle.partitions``) is the bucket count
     of the tables in ``BUCKET_KEYS``; 0 writes every table unbucketed.
@@ -120,14 +120,15 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
         write_parquet(df, location)
         return catalog.create_external_table(spark, db, table, ddl, location)
 
-    def existing(tables: dict, folder: str) -> dict:
-        """Tables an earlier run wrote: declared (plainly) unless already in the catalog."""
+    def existing(tables: dict, folder: str, written_now: bool) -> dict:
+        """The tables of ``folder``: as just written (and declared) by this call,
+        or else re-declared over ``base`` (plainly; same rows), so a table of the
+        same name left in the catalog by a run over another folder is never read."""
         out = {}
         for table, (_, ddl) in tables.items():
-            name = f"{db}.{table}"
-            if not spark.catalog.tableExists(name):
+            if not written_now:
                 catalog.create_external_table(spark, db, table, ddl, f"{base}/{folder}/{table}")
-            out[table] = catalog.scan_table(spark, name)
+            out[table] = catalog.scan_table(spark, f"{db}.{table}")
         return out
 
     def stage(name):
@@ -154,7 +155,7 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
         actions.append(lambda: write_parquet(records, f"{base}/clean/loans_defaulters_records_enq"))
         run_together(actions, threads)
         done("clean")
-    t = existing(CLEAN_TABLES, "clean")
+    t = existing(CLEAN_TABLES, "clean", "clean" in run)
     f.use(customers=t["customers"], loans=t["loans"], repayments=t["loans_repayments"],
           delinq_table=t["loans_defaulters_delinq"], details_table=t["loans_defaulters_details"])
 
@@ -190,7 +191,7 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     # 5. score from the quarantined tables
     if "score" in run:
         stage("score")
-        c = existing(QUARANTINED, "cleaned")
+        c = existing(QUARANTINED, "cleaned", "quarantine" in run)
         f.use(dup_ids=read_parquet(spark, f"{base}/quarantine/duplicate_counts").select("member_id"),
               customers_c=c["customers_c"], delinq_c=c["loans_defaulters_delinq_c"],
               details_c=c["loans_defaulters_details_c"])

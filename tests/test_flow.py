@@ -201,3 +201,20 @@ def test_no_query_plans_cross_or_null_aware_joins_at_scale(spark, sf_small):
     finally:
         for k in keys:
             spark.conf.unset(k)
+
+
+def test_skipped_stage_reads_its_own_base_not_a_stale_table(spark, sf_small):
+    """A db reused for a run over another folder must not leak that run's tables
+    into a later partial run."""
+    from lendscope.plans.staged import run_staged
+    from lendscope.session import shared_path
+    a = run_staged(spark, sf_small, db="lending_reuse", base=shared_path(spark, "tests", "flow_a"), buckets=0)
+    n_a = spark.table("lending_reuse.score").count()
+    # a second folder whose quarantined customers table is empty: rescoring from it must give 0 rows
+    b = shared_path(spark, "tests", "flow_b")
+    run_staged(spark, sf_small, db="lending_reuse_b", base=b, buckets=0)
+    empty = spark.table("lending_reuse_b.customers_c").limit(0)
+    empty.write.mode("overwrite").parquet(b + "/cleaned/customers_c_tmp")
+    spark.read.parquet(b + "/cleaned/customers_c_tmp").write.mode("overwrite").parquet(b + "/cleaned/customers_c")
+    run_staged(spark, db="lending_reuse", base=b, stages=["score"])
+    assert n_a > 0 and spark.table("lending_reuse.score").count() == 0
