@@ -5,7 +5,7 @@ a text goes to the language whose dictionary compresses it to the fewest bytes.
 The training sample is bounded: per language the ``sample_docs`` training rows
 with the smallest hash of their id, cut off at ``dict_bytes`` bytes, so a
 dictionary has the same size at any input size. The whole lowered text is
-compressed, whatever its length.
+compressed, without ASCII digits and punctuation, whatever its length.
 
 A prediction is rejected (``rejected``) when the runner-up needs less than
 ``margin`` more bytes, relative to the best. ``lang_pred`` still names the best
@@ -31,15 +31,22 @@ from lendscope.llm.common import batch, fold
 
 SAMPLE_DOCS = 200
 DICT_BYTES = 96 << 10
-LEVEL = 1
+LEVEL = 6
 MARGIN = 0.01
 SHARPNESS = 60.0
 UND = "und"
+#: ASCII digits and punctuation are left out before compressing, line ends become spaces.
+_NO_LETTERS = bytes([*range(33, 65), *range(91, 97), *range(123, 128)])
+_SPACES = bytes(32 if b < 32 else b for b in range(256))
 _LETTER = re.compile(r"[^\W\d_]")
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                   ("score", pa.float64()), ("margin", pa.float64()), ("rejected", pa.bool_())])
 
 
+def _letters(text: str) -> bytes:
+    return text.lower().encode("utf-8", "replace").translate(_SPACES, _NO_LETTERS)
+
+
 def learn_dictionaries(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                        sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """Raw dictionary content by language, from a bounded sample of ``train``.
@@ -55,7 +62,7 @@ def learn_dictionaries(train: DataFrame, id_col: str = "doc_id", text_col: str =
             .orderBy(lang_col, F.desc("_rank")).select(lang_col, "_text").collect())
     parts: dict[str, list[bytes]] = {}
     for lang, text in rows:
-        parts.setdefault(lang, []).append(text.lower().encode("utf-8", "replace"))
+        parts.setdefault(lang, []).append(_letters(text))
     return {lang: b"\n".join(texts)[-dict_bytes:] for lang, texts in sorted(parts.items())}
 
 
@@ -73,12 +80,12 @@ def _predict(dictionaries: dict[str, bytes], margin: float):
                 if not packers or text is None or not _LETTER.search(text):
                     rows.append((doc, held, UND, 0.0, 0.0, True))
                     continue
-                raw = text.lower().encode("utf-8", "replace")
+                raw = _letters(text)
                 sizes = {lang: len(p.compress(raw)) for lang, p in packers.items()}
                 best = min(sizes, key=sizes.get)
                 second = min((s for lang, s in sizes.items() if lang != best), default=sizes[best])
                 gap = (second - sizes[best]) / max(1, sizes[best])
-                rel = SHARPNESS / len(raw)
+                rel = SHARPNESS / max(1, len(raw))
                 score = 1.0 / sum(math.exp(-min(700.0, (s - sizes[best]) * rel)) for s in sizes.values())
                 rows.append((doc, held, best, score, gap, len(sizes) > 1 and gap < margin))
             if rows:
