@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from lendscope.llm.mixing import DEFAULT_TOPIC, MARGINS, POWER, SWEEPS, TOPIC_MARKS
+from lendscope.llm.url_filter import DAYS, ENTRIES, FIRST_SECOND, HOST, SEGMENT
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -11,6 +14,65 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_s
 FROM d JOIN g USING (text_sha256)
 """
 
+URL_FILTER = f"""
+WITH p AS (
+  SELECT page_id, url, {FIRST_SECOND} + (('0x' || substr(md5(page_id::VARCHAR), 1, 8))::BIGINT % {DAYS * 86400}) AS fetched_at,
+         lower(regexp_extract(url, '{HOST}', 1)) AS host, regexp_extract(url, '{SEGMENT}', 1) AS segment
+  FROM pages),
+l AS (SELECT *, string_split(host, '.') AS labels FROM p WHERE host <> ''),
+k AS (
+  SELECT DISTINCT page_id, url, fetched_at,
+         unnest(list_concat(list_transform(range(1, greatest(len(labels) - 1, 1) + 1), lambda i: array_to_string(labels[i:], '.')),
+                            CASE WHEN segment <> '' THEN [host || '/' || segment] ELSE [] END)) AS rule
+  FROM l),
+n AS (
+  SELECT rule, ('0x' || substr(md5(rule || '#' || j), 1, 8))::BIGINT AS n
+  FROM (SELECT DISTINCT rule FROM k), range(0, {ENTRIES}) AS t(j)),
+e AS (
+  SELECT rule, {FIRST_SECOND} + ((n // 3) % {DAYS}) * 86400 AS listed_at,
+         max(CASE WHEN (n // 2048) % 2 = 0 THEN 'block' ELSE 'allow' END) AS action
+  FROM n WHERE n % 3 <> 0 GROUP BY ALL),
+a AS (
+  SELECT k.page_id, k.url, k.fetched_at, k.rule, e.listed_at, e.action
+  FROM k ASOF JOIN e ON k.rule = e.rule AND k.fetched_at >= e.listed_at),
+b AS (
+  SELECT * FROM a
+  QUALIFY row_number() OVER (PARTITION BY page_id, url, fetched_at ORDER BY length(rule) DESC, rule DESC) = 1)
+SELECT p.page_id, p.url, p.fetched_at, b.rule, b.listed_at, coalesce(b.action = 'block', false) AS blocked
+FROM p LEFT JOIN b ON p.page_id = b.page_id AND p.url = b.url AND p.fetched_at = b.fetched_at
+"""
+
+
+def _mixing() -> str:
+    topic = f"'{DEFAULT_TOPIC}'"
+    for name, mark in reversed(TOPIC_MARKS):
+        topic = f"CASE WHEN contains(text, '{mark}') THEN '{name}' ELSE {topic} END"
+    steps = [f"""
+d AS (
+  SELECT doc_id, source, lang, coalesce({topic}, '{DEFAULT_TOPIC}') AS topic,
+         CASE WHEN length(text) > 0 THEN length(text) - length(replace(text, ' ', '')) + 1 ELSE 0 END AS n_tokens
+  FROM documents),
+c AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM d GROUP BY ALL)"""]
+    for m in MARGINS:
+        steps.append(f"t_{m} AS (SELECT {m}, power(sum(tokens), {POWER[m]}) / sum(power(sum(tokens), {POWER[m]})) OVER () "
+                     f"AS target FROM c GROUP BY {m})")
+    last = "s_0"
+    steps.append("s_0 AS (SELECT *, tokens AS mass FROM c)")
+    for i in range(SWEEPS):
+        for m in MARGINS:
+            now = f"s_{i + 1}_{m}"
+            steps.append(f"{now} AS (SELECT s.source, s.lang, s.topic, s.tokens, "
+                         f"s.mass * t.target / sum(s.mass) OVER (PARTITION BY s.{m}) AS mass "
+                         f"FROM {last} s JOIN t_{m} t ON s.{m} IS NOT DISTINCT FROM t.{m})")
+            last = now
+    steps.append(f"r AS (SELECT *, CASE WHEN tokens > 0 THEN round((mass / tokens) / max(CASE WHEN tokens > 0 THEN mass / tokens END) OVER (), 9) "
+                 f"ELSE 1.0 END AS probability FROM {last})")
+    return "WITH " + ",\n".join(steps) + """
+SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, round(r.probability, 6) AS probability,
+       ('0x' || substr(md5(d.doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < r.probability AS kept
+FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic = r.topic
+"""
+
 
 def sql() -> dict[str, str]:
-    return {"op6_exact_dedup": EXACT_DEDUP}
+    return {"op5_url_filter": URL_FILTER, "op6_exact_dedup": EXACT_DEDUP, "op8_mixing": _mixing()}

@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import exact_dedup, language_id, packing
+from lendscope.llm import exact_dedup, language_id, license_scan, mixing, packing, toxicity, url_filter
 from lendscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -20,12 +28,20 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.held_out_language(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Query]:
-    found = [op6_exact_dedup, op7_language_id, op9_packing]
+    found = [op2_license_scan, op5_url_filter, op6_exact_dedup, op7_language_id, op8_mixing, op9_packing, op10_toxicity]
     return {q.__name__: q for q in found}
 
 
