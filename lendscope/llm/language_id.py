@@ -13,7 +13,7 @@ language. ``score`` is the best language's share of 2^(-saved bits / text
 length * SHARPNESS), between 1/languages and 1.
 
 Cases: a text that is null or has no letter is ``und`` with score 0; equal sizes go to
-the first language in order; without training rows every text is ``und``; an empty table
+the language with most training rows; without training rows every text is ``und``; an empty table
 gives no rows; repeated rows are predicted each, other columns are ignored.
 """
 
@@ -60,10 +60,11 @@ def learn_dictionaries(train: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = (usable.select(id_col, F.substring(text_col, 1, dict_bytes).alias("_text"))
             .join(F.broadcast(ids), id_col)  # sample_docs rows a language
             .orderBy(lang_col, F.desc("_rank")).select(lang_col, "_text").collect())
+    common = {r[lang_col]: r["count"] for r in usable.groupBy(lang_col).count().collect()}  # a row a language
     parts: dict[str, list[bytes]] = {}
     for lang, text in rows:
         parts.setdefault(lang, []).append(_letters(text))
-    return {lang: b"\n".join(texts)[-dict_bytes:] for lang, texts in sorted(parts.items())}
+    return {lang: b"\n".join(parts[lang])[-dict_bytes:] for lang in sorted(parts, key=lambda x: (-common[x], x))}
 
 
 def _predict(dictionaries: dict[str, bytes], margin: float):
