@@ -6,16 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import exact_dedup, language_id, license_scan, mixing, packing, toxicity, url_filter
+from lendscope.llm import (embedding_dedup, exact_dedup, language_id, license_scan, lm_score, minhash_dedup, mixing,
+                           packing, toxicity, url_filter)
 from lendscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_pages(table(spark, sf_dir, "pages"))
 
@@ -41,7 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    found = [op2_license_scan, op5_url_filter, op6_exact_dedup, op7_language_id, op8_mixing, op9_packing, op10_toxicity]
+    found = [op1_lm_score, op2_license_scan, op3_minhash_dedup, op4_embedding_dedup, op5_url_filter, op6_exact_dedup, op7_language_id, op8_mixing, op9_packing, op10_toxicity]
     return {q.__name__: q for q in found}
 
 
