@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendscope.llm.common import staged
 
-POWER = {"source": 0.9, "lang": 0.9, "topic": 0.9}
+POWER = {"source": 0.95, "lang": 0.95, "topic": 0.98}
 SWEEPS = 10
 MARGINS = ("source", "lang", "topic")
 #: (topic, mark): the first mark that a text holds names its topic
