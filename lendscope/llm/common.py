@@ -17,14 +17,12 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lendscope.session import delete_on_exit, shared_path
+from lendscope.session import scratch_path
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name for one call, removed when the application ends."""
-    path = shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
-    delete_on_exit(spark, path)
-    return path
+    return scratch_path(spark, "llm", name)
 
 
 def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:

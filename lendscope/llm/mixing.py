@@ -63,12 +63,9 @@ def rake(cells: DataFrame, margins=MARGINS, power: dict[str, float] | None = Non
     df = cells
     for m in margins:
         marginal = cells.groupBy(m).agg(F.sum("tokens").cast("double").alias("_share"))
-        total = marginal.agg(F.sum(F.when(F.col("_share") > 0, F.pow("_share", F.lit(power[m]))))
-                             .alias("_total"))
-        target = (marginal.crossJoin(F.broadcast(total))  # a single row
-                  .select(F.col(m).alias(f"_{m}"),
-                          F.when(F.col("_share") > 0, F.pow("_share", F.lit(power[m])) / F.col("_total"))
-                          .otherwise(F.lit(0.0)).alias(f"_target_{m}")))
+        part = F.when(F.col("_share") > 0, F.pow("_share", F.lit(power[m])))
+        target = marginal.select(F.col(m).alias(f"_{m}"), F.coalesce(
+            part / marginal.agg(F.sum(part)).scalar(), F.lit(0.0)).alias(f"_target_{m}"))
         df = df.join(target, df[m].eqNullSafe(target[f"_{m}"])).drop(f"_{m}")
     df = df.withColumn("mass", F.col("tokens").cast("double"))
     for _ in range(sweeps):
@@ -87,10 +84,10 @@ def cell_probabilities(docs: DataFrame, source_col="source", lang_col="lang", te
                    .groupBy("source", "lang", "topic").agg(F.sum("n").alias("tokens")), "cells")
     raked = staged(rake(cells, power=power, sweeps=sweeps), "raked")
     ratio = F.col("mass") / F.col("tokens")
-    top = raked.where(F.col("tokens") > 0).agg(F.max(ratio).alias("top"))
-    return raked.crossJoin(F.broadcast(top)).select(  # a single row
+    top = raked.where(F.col("tokens") > 0).agg(F.max(ratio)).scalar()
+    return raked.select(
         "source", "lang", "topic", "tokens", "mass",
-        F.when(F.col("tokens") > 0, F.round(ratio / F.col("top"), 9)).otherwise(F.lit(1.0)).alias("probability"))
+        F.when(F.col("tokens") > 0, F.round(ratio / top, 9)).otherwise(F.lit(1.0)).alias("probability"))
 
 
 def sample_to_targets(docs: DataFrame, id_col="doc_id", source_col="source", lang_col="lang", text_col="text",

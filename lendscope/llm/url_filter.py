@@ -64,8 +64,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, bucket_seconds: int = BUCK
     asked = (keyed.where(F.col("fetched_at").isNotNull() & F.col("url").isNotNull()).distinct()
              .select("page_id", "url", "fetched_at", bucket(F.col("fetched_at")).alias("bucket"),
                      F.explode(rules_of(F.col("url"))).alias("rule")))
-    span = captures.agg(F.min("fetched_at").alias("lo"), F.max("fetched_at").alias("hi"))
-    held = (validity_intervals(entries).crossJoin(F.broadcast(span))  # a single row
+    lo, hi = (captures.agg(f("fetched_at")).scalar() for f in (F.min, F.max))
+    held = (validity_intervals(entries).withColumns({"lo": lo, "hi": hi})
             .where((F.col("valid_from") <= F.col("hi")) & F.coalesce(F.col("valid_to") > F.col("lo"), F.lit(True)))
             .select("rule", "action", "valid_from", "valid_to", F.explode(F.sequence(
                 bucket(F.greatest("valid_from", "lo")),
