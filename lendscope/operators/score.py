@@ -6,13 +6,14 @@ defaulter history (four banded counters) and financial health (loan status,
 home ownership, credit-limit use, grade x sub-grade). The weighted sum is
 computed in exact decimals, graded, and only then cast to float.
 
-Plan shape. Quarantined members are removed from the loans side once, before
-any join (a plain ``left_anti`` that AQE turns into a broadcast when the id
-list is small). Every later join is on ``member_id`` and starts from the
-already-filtered payment history, so no member fans out: after the
-quarantine every member has at most one loan, one details row and one
-delinquency row. The joins share the ``member_id`` hash partitioning, so the
-chain needs one shuffle per input and none between joins.
+Plan shape. Quarantined members are removed from the loans once, before any
+join (a plain ``left_anti`` that AQE turns into a broadcast when the id list is
+small); the other inputs come unfiltered, since inner joins on ``member_id``
+from the filtered loans drop their quarantined rows. The loan's own columns are
+carried along from the ``loan_id`` join, so loans are read and joined once. No
+member fans out: after the quarantine every member has at most one loan, one
+details row and one delinquency row. The joins share the ``member_id`` hash
+partitioning, so the chain needs one shuffle per input and none between joins.
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ def loan_status_points(status: Column, r: ScoreRules = DEFAULT_RULES) -> Column:
     s = F.lower(status)
     values = (r.excellent, r.good, r.bad, r.very_bad, r.unacceptable)
     return first_match(
-        [(like_any(s, pats), v) for pats, v in zip(r.status_patterns, values)],
+        [(like_any(s, pats), v) for pats, v in zip(r.status_patterns, values, strict=True)],
         r.unacceptable, has_otherwise=True)
 
 
@@ -83,7 +84,7 @@ def credit_limit_points(funded: Column, limit: Column, r: ScoreRules = DEFAULT_R
     ratios = r.credit_limit_ratios
     values = (r.excellent, r.very_good, r.good, r.bad, r.very_bad)
     branches = [(funded <= limit * ratios[0], values[0])]
-    for lo, hi, v in zip(ratios, ratios[1:], values[1:]):
+    for lo, hi, v in zip(ratios[:-1], ratios[1:], values[1:], strict=True):
         branches.append(((funded > limit * lo) & (funded <= limit * hi), v))
     branches.append((funded > limit * ratios[-1], r.unacceptable))
     return first_match(branches, r.unacceptable, has_otherwise=True)
@@ -106,9 +107,11 @@ def letter_grade(score: Column, r: ScoreRules = DEFAULT_RULES) -> Column:
 # --- point groups ------------------------------------------------------------------
 
 def payment_history(repayments: DataFrame, loans: DataFrame, quarantined: DataFrame | None = None,
-                    r: ScoreRules = DEFAULT_RULES) -> DataFrame:
-    """member_id, last_payment_pts, total_payment_pts (repayments joined to loans on loan_id)."""
-    l = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount")
+                    r: ScoreRules = DEFAULT_RULES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """member_id, last_payment_pts, total_payment_pts (repayments joined to loans on
+    loan_id), and the loan columns named in ``carry``."""
+    l = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount",
+                     *[c for c in carry if c != "funded_amount"])
     if quarantined is not None:
         l = drop_quarantined(l, quarantined)
     p = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
@@ -119,6 +122,7 @@ def payment_history(repayments: DataFrame, loans: DataFrame, quarantined: DataFr
         .alias("last_payment_pts"),
         total_payment_points(F.col("total_payment_received"), F.col("funded_amount"), r)
         .alias("total_payment_pts"),
+        *[F.col(c) for c in carry],
     )
 
 
@@ -137,16 +141,27 @@ def defaulter_history(ph: DataFrame, details: DataFrame, delinq: DataFrame,
     )
 
 
-def financial_health(ldh: DataFrame, loans: DataFrame, customers: DataFrame,
+#: Loan columns that the financial-health points need
+LOAN_CARRY = ("loan_status", "funded_amount")
+
+
+def financial_health(ldh: DataFrame, loans: DataFrame | None, customers: DataFrame,
                      quarantined: DataFrame | None = None, r: ScoreRules = DEFAULT_RULES) -> DataFrame:
-    """Adds loan status, home ownership, credit-limit and grade points (joins on member_id)."""
-    l = loans.select("member_id", "loan_status", "funded_amount")
-    if quarantined is not None:
-        l = drop_quarantined(l, quarantined)
+    """Adds loan status, home ownership, credit-limit and grade points (joins on member_id).
+
+    With ``loans=None`` the loan columns are those that ``ldh`` carries (see
+    ``LOAN_CARRY``); a caller that has not quarantined its members passes the loans,
+    and each of a member's points rows then meets each of its loans."""
     a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
-    j = ldh.join(l, "member_id").join(a, "member_id")
+    j = ldh
+    if loans is not None:
+        l = loans.select("member_id", *LOAN_CARRY)
+        if quarantined is not None:
+            l = drop_quarantined(l, quarantined)
+        j = ldh.drop(*LOAN_CARRY).join(l, "member_id")
+    j = j.join(a, "member_id")
     return j.select(
-        *[F.col(c) for c in ldh.columns],
+        *[F.col(c) for c in ldh.columns if c not in LOAN_CARRY],
         loan_status_points(F.col("loan_status"), r).alias("loan_status_pts"),
         home_points(F.col("home_ownership"), r).alias("home_pts"),
         credit_limit_points(F.col("funded_amount"), F.col("total_high_credit_limit"), r)
@@ -186,11 +201,9 @@ def loan_score_grades(repayments: DataFrame, loans: DataFrame, details: DataFram
                       r: ScoreRules = DEFAULT_RULES) -> DataFrame:
     """End-to-end score over the cleaned tables.
 
-    ``details``, ``delinq`` and ``customers`` are the quarantine-filtered
-    tables; ``loans`` and ``repayments`` are the cleaned, unfiltered ones.
+    All tables are the cleaned ones; whether ``details``, ``delinq`` and
+    ``customers`` still hold quarantined members makes no difference.
     """
-    loans_q = drop_quarantined(loans, quarantined)
-    ph = payment_history(repayments, loans_q, None, r)
-    ldh = defaulter_history(ph, details, delinq, r)
-    fh = financial_health(ldh, loans_q, customers, None, r)
+    ph = payment_history(repayments, drop_quarantined(loans, quarantined), None, r, LOAN_CARRY)
+    fh = financial_health(defaulter_history(ph, details, delinq, r), None, customers, None, r)
     return graded(weighted_score(fh, r), r)

@@ -1,26 +1,41 @@
 """Vertical split of the wide loan table into four entity frames.
 
 Each split is a projection of one keyed scan, typed to the fixed DDL the
-cleaning steps read with (float columns are 32-bit). Column pruning keeps each
-split's scan to its own columns plus the nine key columns.
+cleaning steps read with (float columns are 32-bit). Values are read as after a
+CSV hop: strings are trimmed and blank ones are NULL, malformed numbers are
+NULL. The member key is hashed before that, over the untouched values. Column
+pruning keeps each split's scan to its own columns plus the nine key columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lendscope import schemas
 
 _KEY = "name_sha2"
 
 
+#: What a CSV writer trims: everything up to the space character.
+_BLANKS = "".join(map(chr, range(33)))
+
+
+def csv_value(c: Column, source_type: str, target_type: str) -> Column:
+    """``c`` as a typed CSV reader would give it back."""
+    if source_type == "string":
+        c = F.btrim(c, F.lit(_BLANKS))
+        c = F.when(F.length(c) > 0, c)
+    return c if source_type == target_type else c.try_cast(target_type)
+
+
 def _typed(df: DataFrame, pairs: list[tuple[str, object]], ddl: str) -> DataFrame:
-    """Select ``pairs`` (target name, source column or Column) cast to the DDL types."""
+    """Select ``pairs`` (target name, source column or Column) as values of the DDL types."""
     types = dict(part.strip().split()[:2] for part in ddl.split(","))
+    have = dict(df.dtypes)
     out = []
     for name, src in pairs:
-        c = F.col(src) if isinstance(src, str) else src
-        out.append(c.cast(types[name]).alias(name))
+        c = csv_value(F.col(src), have[src], types[name]) if isinstance(src, str) else src.cast(types[name])
+        out.append(c.alias(name))
     return df.select(*out)
 
 

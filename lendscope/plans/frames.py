@@ -2,8 +2,8 @@
 
 ``LendingFrames`` names every intermediate table of the flow (wide rows ->
 splits -> cleaned tables -> quarantine -> score) as a lazily built
-DataFrame. Nothing runs until an action, apart from the one-time write of
-the keyed wide table on first use (see ``LendingFrames``); each registered
+DataFrame. Nothing runs until an action, apart from the one-time writes of
+the keyed wide table and the cleaned customers (see ``LendingFrames``); each registered
 query is one of these frames or a small projection of one, so Catalyst sees
 the whole chain and prunes columns down to the scans.
 """
@@ -11,7 +11,6 @@ the whole chain and prunes columns down to the scans.
 from __future__ import annotations
 
 import threading
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from lendscope.operators import clean, quarantine, score, split
 from lendscope.operators.consolidate import consolidated_view
 from lendscope.rules import DEFAULT_RULES, ScoreRules
-from lendscope.session import app_id, delete_on_exit, sf_tag, shared_path
+from lendscope.session import input_fingerprint, scratch_path
 from lendscope.sources.files import read_parquet, write_parquet
-from lendscope.sources.tables import star_tables
+from lendscope.sources.tables import STAR_TABLES, star_tables
 from lendscope.sources.testbed import keyed_loans, raw_loans
 
 # Deterministic ingestion stamp for checked queries (current_timestamp() would
@@ -30,13 +29,15 @@ FIXED_INGEST_TS = "2024-01-01 00:00:00"
 
 
 class LendingFrames:
-    """Named frames of the flow over one data directory.
-
-    With ``materialize_wide`` (the default) the keyed wide table is written
-    once, as Parquet under the shared checkpoint folder, and every later
-    frame scans it. That cuts the lineage back to the star-schema join (which
-    would otherwise be re-derived in every branch of a plan: the score alone
-    has more than twenty) and lets each branch read only its own columns.
+    """Named frames of the flow over one data directory, owned by its caller.
+
+    With ``materialize_wide`` (the default) the keyed wide table and the cleaned
+    customers are each written once, as Parquet under the shared checkpoint
+    folder, and later frames scan them. That cuts the lineage back to the
+    star-schema join (which would otherwise be re-derived in every branch of a
+    plan), shuffles the customers' de-duplication once, and lets each branch read
+    only its own columns. A frame that has a single branch gains nothing from
+    it: ``narrow`` derives such frames straight from the inputs.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, ingest_ts=FIXED_INGEST_TS,
@@ -46,10 +47,28 @@ class LendingFrames:
         self.ingest_ts = ingest_ts
         self.rules = rules
         self.materialize_wide = materialize_wide
-        self._wide_lock = threading.Lock()
-        # own folder per frame graph: a second graph in the same application
-        # never overwrites files the first one's DataFrames read
-        self._token = uuid.uuid4().hex[:12]
+        self._write_lock = threading.RLock()
+        self._written: dict[str, DataFrame] = {}
+
+    @cached_property
+    def _lazy(self) -> "LendingFrames":
+        return LendingFrames(self.spark, self.sf_dir, self.ingest_ts, self.rules, materialize_wide=False)
+
+    @property
+    def narrow(self) -> "LendingFrames":
+        """Frames for a query that reads the wide rows once: from the written wide
+        table if there is one, else straight from the inputs."""
+        return self if "keyed" in self._written or not self.materialize_wide else self._lazy
+
+    def _once(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written to a folder of its own on first use, and read back."""
+        if not self.materialize_wide:
+            return df
+        with self._write_lock:  # one writer even if queries are built from several threads
+            if name not in self._written:
+                path = scratch_path(self.spark, "frames", name)
+                self._written[name] = read_parquet(self.spark, write_parquet(df, path))
+            return self._written[name]
 
     def use(self, **frames: DataFrame) -> "LendingFrames":
         """Replace named frames (e.g. with tables read back from storage);
@@ -67,16 +86,7 @@ class LendingFrames:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        keyed = keyed_loans(self.raw)
-        if not self.materialize_wide:
-            return keyed
-        with self._wide_lock:  # one writer even if queries are built from several threads
-            if "_keyed_written" not in self.__dict__:
-                path = shared_path(self.spark, "wide", app_id(self.spark), self._token, sf_tag(self.sf_dir),
-                                   "keyed")
-                self.__dict__["_keyed_written"] = read_parquet(self.spark, write_parquet(keyed, path))
-                delete_on_exit(self.spark, path)  # scratch copy for this application only
-            return self.__dict__["_keyed_written"]
+        return self._once("keyed", keyed_loans(self.raw))
 
     @cached_property
     def customers_raw(self) -> DataFrame:
@@ -106,7 +116,7 @@ class LendingFrames:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return clean.clean_customers(self.customers_raw, self.ingest_ts)
+        return self._once("customers", clean.clean_customers(self.customers_raw, self.ingest_ts))
 
     @cached_property
     def loans(self) -> DataFrame:
@@ -187,18 +197,23 @@ class LendingFrames:
     def loans_q(self) -> DataFrame:
         return quarantine.drop_quarantined(self.loans, self.dup_ids)
 
+    @cached_property
+    def _carried_history(self) -> DataFrame:
+        """Payment history with the loan columns that later points need."""
+        return score.payment_history(self.repayments, self.loans_q, None, self.rules, score.LOAN_CARRY)
+
     @cached_property
     def payment_history(self) -> DataFrame:
         return score.payment_history(self.repayments, self.loans_q, None, self.rules)
 
     @cached_property
     def defaulter_history(self) -> DataFrame:
-        return score.defaulter_history(self.payment_history, self.details_c, self.delinq_c, self.rules)
+        return score.defaulter_history(self.payment_history, self.details_table, self.delinq_table, self.rules)
 
     @cached_property
     def financial_health(self) -> DataFrame:
-        return score.financial_health(self.defaulter_history, self.loans_q, self.customers_c,
-                                      None, self.rules)
+        carried = score.defaulter_history(self._carried_history, self.details_table, self.delinq_table, self.rules)
+        return score.financial_health(carried, None, self.customers, None, self.rules)
 
     @cached_property
     def weighted(self) -> DataFrame:
@@ -207,3 +222,23 @@ class LendingFrames:
     @cached_property
     def score(self) -> DataFrame:
         return score.graded(self.weighted, self.rules)
+
+
+class FrameStore:
+    """Frame graphs of one owner, by session and data directory.
+
+    A graph is kept only while the names, lengths and modification times of its
+    input files stay the same; after any change, or where files can't be listed,
+    the next query gets a new one. One graph is held per directory."""
+
+    def __init__(self):
+        self._held: dict[str, tuple[object, SparkSession, LendingFrames]] = {}
+        self._lock = threading.Lock()
+
+    def frames(self, spark: SparkSession, sf_dir: str) -> LendingFrames:
+        now = input_fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in STAR_TABLES])
+        with self._lock:
+            held = self._held.get(sf_dir)
+            if now is None or held is None or held[0] != now or held[1] is not spark:
+                held = self._held[sf_dir] = (now, spark, LendingFrames(spark, sf_dir))
+            return held[2]

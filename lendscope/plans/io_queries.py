@@ -1,12 +1,13 @@
 """Source/sink and catalog round trips as registered queries.
 
-Each writes a frame derived from the given tables to the shared folder
-(overwriting that query's own path), reads it back through the operator
-under test, and returns the read-back DataFrame.
+Each writes a frame derived from the given tables to a new folder under the
+shared one (and a new database), removed when the application ends, reads it
+back through the operator under test, and returns the read-back DataFrame.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,114 +15,140 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lendscope import schemas
 from lendscope.operators import clean
 from lendscope.operators.split import split_loans_source
-from lendscope.plans.frames import FIXED_INGEST_TS
-from lendscope.plans.registry import frames
-from lendscope.session import shared_path, sf_tag
+from lendscope.plans.frames import FIXED_INGEST_TS, FrameStore, LendingFrames
+from lendscope.session import scratch_path
 from lendscope.sources import catalog
 from lendscope.sources.files import (
     read_csv_inferred, read_csv_schema, read_csv_strings, read_parquet, write_csv, write_parquet,
 )
 
-DB = "lendscope_io"
+def _path(spark: SparkSession, name: str) -> str:
+    """A folder of its own for every call: DataFrames of earlier calls, of other
+    directories and of other applications stay readable."""
+    return scratch_path(spark, "io", name)
 
 
-def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return shared_path(spark, "io", sf_tag(sf_dir), name)
-
-
-def _db(spark: SparkSession, sf_dir: str) -> str:
-    db = f"{DB}_{sf_tag(sf_dir).replace('.', '_')}"
-    catalog.create_database(spark, db, _path(spark, sf_dir, f"warehouse/{db}.db"))
+def _db(spark: SparkSession, prefix: str = "lendscope_io") -> str:
+    """A database of its own for every call."""
+    db = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    catalog.create_database(spark, db, _path(spark, f"{db}.db"))
     return db
 
 
-def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_csv_inferred(f: LendingFrames) -> DataFrame:
     """Duplicate-id report written as CSV, read back with schema inference."""
-    path = write_csv(frames(spark, sf_dir).dup_ids, _path(spark, sf_dir, "duplicate_member_ids_csv"))
-    return read_csv_inferred(spark, path)
+    return read_csv_inferred(f.spark, write_csv(f.dup_ids, _path(f.spark, "duplicate_member_ids_csv")))
+
+
+def sink_csv_single_file(f: LendingFrames) -> DataFrame:
+    """The duplicate-id report as one CSV file (a small report for people)."""
+    path = write_csv(f.dup_ids, _path(f.spark, "duplicate_member_ids_report"), single_file=True, line_breaks=" ")
+    return read_csv_strings(f.spark, path)
 
 
-def scan_csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_csv_schema(f: LendingFrames) -> DataFrame:
     """Loans split with source header names, read back with the typed DDL (positional)."""
-    path = write_csv(split_loans_source(frames(spark, sf_dir).keyed), _path(spark, sf_dir, "loans_data_csv"))
-    return read_csv_schema(spark, path, schemas.LOANS_RAW_DDL)
+    path = write_csv(split_loans_source(f.narrow.keyed), _path(f.spark, "loans_data_csv"))
+    return read_csv_schema(f.spark, path, schemas.LOANS_RAW_DDL)
 
 
-def scan_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_csv_strings(f: LendingFrames) -> DataFrame:
     """Header-only CSV read: every column a string."""
-    k = frames(spark, sf_dir).keyed
-    df = k.select(F.col("id").alias("loan_id"), F.col("name_sha2").alias("member_id"), "term", "issue_d",
-                  "loan_status", "purpose", "title", "last_pymnt_d", "next_pymnt_d")
-    return read_csv_strings(spark, write_csv(df, _path(spark, sf_dir, "loan_strings_csv")))
+    df = f.narrow.keyed.select(
+        F.col("id").alias("loan_id"), F.col("name_sha2").alias("member_id"), "term", "issue_d",
+        "loan_status", "purpose", "title", "last_pymnt_d", "next_pymnt_d")
+    return read_csv_strings(f.spark, write_csv(df, _path(f.spark, "loan_strings_csv")))
 
 
-def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sink_csv_roundtrip(f: LendingFrames) -> DataFrame:
     """Customers split written as CSV with a header and read back with its DDL."""
-    path = write_csv(frames(spark, sf_dir).customers_raw, _path(spark, sf_dir, "customers_data_csv"))
-    return read_csv_schema(spark, path, schemas.CUSTOMERS_RAW_DDL)
+    path = write_csv(f.narrow.customers_raw, _path(f.spark, "customers_data_csv"), line_breaks=" ")
+    return read_csv_schema(f.spark, path, schemas.CUSTOMERS_RAW_DDL)
 
 
-def sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_parquet(frames(spark, sf_dir).loans, _path(spark, sf_dir, "loans_data_cleaned"))
-    return read_parquet(spark, path)
+def sink_parquet_roundtrip(f: LendingFrames) -> DataFrame:
+    return read_parquet(f.spark, write_parquet(f.narrow.loans, _path(f.spark, "loans_data_cleaned")))
 
 
-def external_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def external_table_roundtrip(f: LendingFrames) -> DataFrame:
     """Cleaned customers as Parquet, declared as an external table, scanned by name."""
-    path = write_parquet(frames(spark, sf_dir).customers, _path(spark, sf_dir, "customers_data_cleaned"))
-    db = _db(spark, sf_dir)
-    name = catalog.create_external_table(spark, db, "customers", schemas.CUSTOMERS_TABLE_DDL, path)
-    return catalog.scan_table(spark, name)
+    path = write_parquet(f.customers, _path(f.spark, "customers_data_cleaned"))
+    name = catalog.create_external_table(f.spark, _db(f.spark), "customers", schemas.CUSTOMERS_TABLE_DDL, path)
+    return catalog.scan_table(f.spark, name)
 
 
-def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_table(f: LendingFrames) -> DataFrame:
     """Score written as Parquet, declared as table ``score``, read back with SQL."""
-    path = write_parquet(frames(spark, sf_dir).score, _path(spark, sf_dir, "final_score"))
-    db = _db(spark, sf_dir)
-    catalog.create_external_table(spark, db, "score", schemas.SCORE_TABLE_DDL, path)
-    return spark.sql(f"SELECT * FROM `{db}`.`score`")
+    path = write_parquet(f.score, _path(f.spark, "final_score"))
+    db = _db(f.spark)
+    catalog.create_external_table(f.spark, db, "score", schemas.SCORE_TABLE_DDL, path)
+    return f.spark.sql(f"SELECT * FROM `{db}`.`score`")
 
 
-def scan_temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_temp_view(f: LendingFrames) -> DataFrame:
     """The customers split as SQL over the keyed wide table registered as a temp view."""
-    view = f"newtable_{sf_tag(sf_dir).replace('.', '_')}"
-    return catalog.scan_temp_view(spark, frames(spark, sf_dir).keyed, view, f"""
-        SELECT name_sha2 AS member_id, emp_title, emp_length, home_ownership,
-               CAST(annual_inc AS FLOAT) AS annual_inc, addr_state, zip_code, 'USA' AS country,
-               grade, sub_grade, verification_status, CAST(tot_hi_cred_lim AS FLOAT) AS tot_hi_cred_lim,
-               application_type, CAST(annual_inc_joint AS FLOAT) AS annual_inc_joint,
-               verification_status_joint
+    view = f"wide_{uuid.uuid4().hex[:12]}"
+    text = lambda c: f"nullif(btrim({c}, concat(' ', chr(9), chr(10), chr(13))), '')"
+    names = ["emp_title", "emp_length", "home_ownership", "addr_state", "zip_code", "grade", "sub_grade",
+             "verification_status", "application_type", "verification_status_joint"]
+    return catalog.scan_temp_view(f.spark, f.narrow.keyed, view, f"""
+        SELECT name_sha2 AS member_id, {', '.join(f'{text(c)} AS {c}' for c in names)},
+               TRY_CAST({text('annual_inc')} AS FLOAT) AS annual_inc, 'USA' AS country,
+               CAST(tot_hi_cred_lim AS FLOAT) AS tot_hi_cred_lim, CAST(annual_inc_joint AS FLOAT) AS annual_inc_joint
         FROM {view}""")
 
 
-def ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.ingest_stamp(frames(spark, sf_dir).repayments_raw, FIXED_INGEST_TS)
+def ingest_stamp(f: LendingFrames) -> DataFrame:
+    return clean.ingest_stamp(f.narrow.repayments_raw, FIXED_INGEST_TS)
 
 
-def consolidated_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def consolidated_snapshot(f: LendingFrames) -> DataFrame:
     """The consolidated view materialised as a managed table (repeatable CTAS)."""
-    db = _db(spark, sf_dir)
-    name = catalog.snapshot_table(frames(spark, sf_dir).consolidated, db, "customers_loan_t",
-                                  _path(spark, sf_dir, "snapshot/customers_loan_t"))
-    return catalog.scan_table(spark, name)
+    name = catalog.snapshot_table(f.consolidated, _db(f.spark), "customers_loan_t",
+                                  _path(f.spark, "customers_loan_t"))
+    return catalog.scan_table(f.spark, name)
 
 
-def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the five cleaned tables, the view and the snapshot; list the
-    database (SHOW TABLES) joined with each listed object's row count."""
+def _publish_clean_tables(f: LendingFrames, db: str) -> None:
     from lendscope.plans.staged import CLEAN_TABLES, run_together
-    f = frames(spark, sf_dir)
-    db = f"lendscope_catalog_{sf_tag(sf_dir).replace('.', '_')}"
-    catalog.create_database(spark, db, _path(spark, sf_dir, f"warehouse/{db}.db"))
+
     def publish(table, attr, ddl):
-        path = write_parquet(getattr(f, attr), _path(spark, sf_dir, f"catalog/{table}"))
-        catalog.create_external_table(spark, db, table, ddl, path)
+        path = write_parquet(getattr(f, attr), _path(f.spark, f"catalog-{table}"))
+        catalog.create_external_table(f.spark, db, table, ddl, path)
 
     run_together([lambda t=t, a=a, d=d: publish(t, a, d) for t, (a, d) in CLEAN_TABLES.items()], threads=4)
+
+
+def consolidated_view_sql(f: LendingFrames) -> DataFrame:
+    """Rows of the persistent view over the published tables."""
+    db = _db(f.spark, "lendscope_view")
+    _publish_clean_tables(f, db)
+    view = catalog.create_or_replace_view(f.spark, db, "customers_loan_v", catalog.consolidated_view_sql(db))
+    return f.spark.sql(f"SELECT * FROM {view}")
+
+
+def database_introspection(f: LendingFrames) -> DataFrame:
+    """SHOW DATABASES and DESCRIBE DATABASE EXTENDED of a database just created:
+    whether it is listed, and which items its description has."""
+    db = _db(f.spark, "lendscope_info")
+    listed = catalog.show_databases(f.spark).where(F.col("namespace") == db).agg(
+        (F.count(F.lit(1)) == 1).alias("listed")).scalar()
+    info = catalog.describe_database(f.spark, db).where(
+        F.col("info_name").isin("Namespace Name", "Location"))
+    return info.select("info_name", F.contains("info_value", F.lit(db)).alias("names_database"),
+                       listed.alias("listed"))
+
+
+def catalog_tables(f: LendingFrames) -> DataFrame:
+    """Publish the five cleaned tables, the view and the snapshot; list the
+    database (SHOW TABLES) joined with each listed object's row count."""
+    from lendscope.plans.staged import CLEAN_TABLES
+    spark = f.spark
+    db = _db(spark, "lendscope_catalog")
+    _publish_clean_tables(f, db)
     view_sql = catalog.consolidated_view_sql(db)
     catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
-    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t",
-                           _path(spark, sf_dir, "catalog/customers_loan_t"))
+    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t", _path(spark, "catalog-customers_loan_t"))
     names = list(CLEAN_TABLES) + ["customers_loan_v", "customers_loan_t"]
     counts = reduce(lambda a, b: a.unionByName(b), [
         catalog.scan_table(spark, f"{db}.{n}").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -130,17 +157,8 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("tableName", "isTemporary").join(counts, "tableName")
 
 
-def io_queries() -> dict:
-    return {
-        "scan_csv_inferred": scan_csv_inferred,
-        "scan_csv_schema": scan_csv_schema,
-        "scan_csv_strings": scan_csv_strings,
-        "sink_csv_roundtrip": sink_csv_roundtrip,
-        "sink_parquet_roundtrip": sink_parquet_roundtrip,
-        "external_table_roundtrip": external_table_roundtrip,
-        "scan_table": scan_table,
-        "scan_temp_view": scan_temp_view,
-        "ingest_stamp": ingest_stamp,
-        "consolidated_snapshot": consolidated_snapshot,
-        "catalog_tables": catalog_tables,
-    }
+def io_queries(store: FrameStore) -> dict:
+    found = [scan_csv_inferred, scan_csv_schema, scan_csv_strings, sink_csv_roundtrip, sink_csv_single_file,
+             sink_parquet_roundtrip, external_table_roundtrip, scan_table, scan_temp_view, ingest_stamp,
+             consolidated_snapshot, consolidated_view_sql, database_introspection, catalog_tables]
+    return {q.__name__: (lambda spark, sf_dir, q=q: q(store.frames(spark, sf_dir))) for q in found}

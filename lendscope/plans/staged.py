@@ -11,15 +11,15 @@ input; this is the lineage cut. Output lives under the shared folder named by
 
 The keyed wide table is written once so that the four splits each read only
 their own columns (plus the key) from columnar storage instead of re-deriving
-the wide rows four times. Loans and repayments are stored bucketed by
-``loan_id`` and the quarantined tables by ``member_id``, so the score stage
-joins them without re-shuffling them; only the narrow payment-history and
-loan-status projections move.
+the wide rows four times. With an explicit bucket count, loans and repayments
+are stored bucketed by ``loan_id`` and the quarantined tables by ``member_id``,
+so the score stage joins them without shuffling them again.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,7 +28,7 @@ from lendscope import schemas
 from lendscope.operators import quarantine
 from lendscope.plans.frames import LendingFrames
 from lendscope.rules import ScoreRules
-from lendscope.session import shared_path, sf_tag
+from lendscope.session import app_id, shared_path
 from lendscope.sources import catalog
 from lendscope.sources.files import read_parquet, write_csv, write_parquet
 
@@ -74,7 +74,7 @@ def run_together(actions, threads: int) -> None:
 
 
 def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None = None,
-               db: str = "lending", ingest_ts=None, buckets: int | None = None,
+               db: str = "lending", ingest_ts=None, buckets: int = 0,
                rules: ScoreRules | None = None, raw: DataFrame | None = None,
                snapshot: bool = True, stages=STAGES, threads: int = 4) -> dict:
     """Run the flow (all stages, or the named ``stages``); returns the output
@@ -88,8 +88,9 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     so e.g. ``stages=["score"]`` re-scores from the tables an earlier run wrote,
     as re-running one step would.
 
-    ``buckets`` (default: ``spark.sql.shuffle.partitions``) is the bucket count
-    of the tables in ``BUCKET_KEYS``; 0 writes every table unbucketed.
+    ``buckets`` is the bucket count of the tables in ``BUCKET_KEYS``; 0 (the
+    default) writes every table unbucketed. A bucket is one task that adaptive
+    execution neither splits nor merges, so give a count only for known sizes.
     ``rules`` defaults to the score parameters set in the session conf
     (``spark.sql.excellent_rated_pts`` ...), falling back to the fixed values.
     ``snapshot=False`` declares only the (lazy) consolidated view: a member
@@ -105,9 +106,7 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
     if "wide" in run and raw is None and sf_dir is None:
         raise ValueError("give the wide loan table (raw=) or a star-schema directory (sf_dir=)")
     rules = rules or ScoreRules.from_conf(spark)
-    base = (base or shared_path(spark, "flow", sf_tag(sf_dir) if raw is None else "input")).rstrip("/")
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = (base or shared_path(spark, "flow", app_id(spark), uuid.uuid4().hex[:12])).rstrip("/")
     timings: dict[str, float] = {}
     f = LendingFrames(spark, sf_dir or "", ingest_ts=ingest_ts, rules=rules, materialize_wide=False)
     if raw is not None:
@@ -193,8 +192,8 @@ def run_staged(spark: SparkSession, sf_dir: str | None = None, base: str | None
         stage("score")
         c = existing(QUARANTINED, "cleaned", "quarantine" in run)
         f.use(dup_ids=read_parquet(spark, f"{base}/quarantine/duplicate_counts").select("member_id"),
-              customers_c=c["customers_c"], delinq_c=c["loans_defaulters_delinq_c"],
-              details_c=c["loans_defaulters_details_c"])
+              customers=c["customers_c"], delinq_table=c["loans_defaulters_delinq_c"],
+              details_table=c["loans_defaulters_details_c"])
         write_parquet(f.score, f"{base}/final_score")
         catalog.create_external_table(spark, db, "score", schemas.SCORE_TABLE_DDL, f"{base}/final_score")
         done("score")
@@ -246,7 +245,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--sf-dir", help="directory of the star-schema Parquet tables")
     ap.add_argument("--base", help="output folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--db", default="lending")
-    ap.add_argument("--buckets", type=int, default=None)
+    ap.add_argument("--buckets", type=int, default=0)
     ap.add_argument("--stages", default=",".join(STAGES),
                     help=f"comma-separated subset of {','.join(STAGES)} (others are read from --base)")
     args = ap.parse_args(argv)

@@ -96,12 +96,17 @@ class ScoreRules:
 
     def __post_init__(self):
         if self.grade_bases is None:
-            object.__setattr__(self, "grade_bases", (
-                ("A", self.excellent), ("B", self.very_good), ("C", self.good),
-                ("D", self.bad), ("E", self.very_bad),
-            ))
+            object.__setattr__(self, "grade_bases", self.default_grade_bases())
+        for name, expected in (("credit_limit_ratios", 5), ("status_patterns", 5), ("home_patterns", 4)):
+            got = len(getattr(self, name))
+            if got != expected:  # each bound has its own points; one without points would be lost
+                raise ValueError(f"{name} needs {expected} entries, one for each of its points; got {got}")
 
-    # session-conf key suffix -> field, for the workload's named parameters
+    def default_grade_bases(self):
+        return (("A", self.excellent), ("B", self.very_good), ("C", self.good), ("D", self.bad),
+                ("E", self.very_bad))
+
+    # Session-conf key suffix -> field, for the workload's named parameters
     CONF_KEYS = {
         "unacceptable_rated_pts": "unacceptable", "very_bad_rated_pts": "very_bad",
         "bad_rated_pts": "bad", "good_rated_pts": "good", "very_good_rated_pts": "very_good",
@@ -130,7 +135,8 @@ class ScoreRules:
             values["delinq_over_5"] = values["unacceptable_grade"]
         fields = {f: getattr(base, f) for f in base.__dataclass_fields__}
         fields.update(values)
-        fields["grade_bases"] = None
+        if base.grade_bases == base.default_grade_bases():
+            fields["grade_bases"] = None  # not set by the caller: follows the overridden points
         return cls(**fields)
 
     def sub_grade_points(self):

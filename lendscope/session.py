@@ -8,6 +8,7 @@ tables go under the folder the cluster names in ``spark.checkpoint.dir``
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -83,13 +84,31 @@ def sf_tag(sf_dir: str) -> str:
     return os.path.basename(os.path.normpath(sf_dir)) or "data"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """Task slots the session schedules by default (cores of the cluster)."""
+def scratch_path(spark: SparkSession, *parts: str) -> str:
+    """A new folder under the shared one for every call, deleted when the application ends."""
+    path = shared_path(spark, *parts, uuid.uuid4().hex[:12])
+    delete_on_exit(spark, path)
+    return f"{path}/data"
+
+
+def input_fingerprint(spark: SparkSession, paths: list[str]) -> tuple | None:
+    """Name, length and modification time of every file below ``paths``: equal
+    only while the inputs are. None where files can't be listed."""
     try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return int(spark.conf.get("spark.default.parallelism", None)
-                   or spark.conf.get("spark.sql.shuffle.partitions"))
+        jvm, conf, found = spark._jvm, spark._jsc.hadoopConfiguration(), []
+        for p in paths:
+            hpath = jvm.org.apache.hadoop.fs.Path(p)
+            fs = hpath.getFileSystem(conf)
+            todo = list(fs.listStatus(hpath))
+            while todo:
+                s = todo.pop()
+                if s.isDirectory():
+                    todo += list(fs.listStatus(s.getPath()))
+                else:
+                    found.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+        return tuple(sorted(found))
+    except Exception:  # noqa: BLE001 - Spark Connect, or a path without a listing
+        return None
 
 
 def delete_on_exit(spark: SparkSession, path: str) -> bool:
@@ -101,6 +120,7 @@ def delete_on_exit(spark: SparkSession, path: str) -> bool:
         jvm = spark._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(hpath)  # only what exists can be marked
         return bool(fs.deleteOnExit(hpath))
     except Exception:  # noqa: BLE001
         return False

@@ -20,8 +20,13 @@ def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_database(spark: SparkSession, db: str, location: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(db)} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(db)} LOCATION {_literal(location)}")
 
 
 def create_external_table(spark: SparkSession, db: str, table: str, ddl: str, location: str) -> str:
@@ -32,7 +37,7 @@ def create_external_table(spark: SparkSession, db: str, table: str, ddl: str, lo
     """
     name = f"{db}.{table}"
     spark.sql(f"DROP TABLE IF EXISTS {_q(name)}")
-    spark.sql(f"CREATE TABLE {_q(name)} ({ddl}) USING parquet LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {_q(name)} ({ddl}) USING parquet LOCATION {_literal(location)}")
     return name
 
 
@@ -48,16 +53,23 @@ def scan_temp_view(spark: SparkSession, df: DataFrame, view: str, sql: str) -> D
 
 def consolidated_view_sql(db: str, customers="customers", loans="loans", repayments="loans_repayments",
                           delinq="loans_defaulters_delinq", details="loans_defaulters_details") -> str:
-    cols = (["l.loan_id"] + [f"c.{c}" for c in CUSTOMER_COLS] + [f"l.{c}" for c in LOAN_COLS]
-            + [f"r.{c}" for c in REPAYMENT_COLS] + [f"d.{c}" for c in DELINQ_COLS]
-            + [f"e.{c}" for c in DETAIL_COLS])
+    """The view's SELECT. Customers meet loans as in
+    :func:`lendscope.operators.consolidate.left_join_splittable`: an inner join,
+    which adaptive execution can split where one member has very many loans,
+    plus the customers without a loan."""
     t = lambda n: _q(f"{db}.{n}")
+    customer, loan = ", ".join(f"c.{x}" for x in CUSTOMER_COLS), ", ".join(f"l.{x}" for x in LOAN_COLS)
+    padding = ", ".join(f"NULL AS {x}" for x in LOAN_COLS)
+    rest = ", ".join([f"r.{x}" for x in REPAYMENT_COLS] + [f"d.{x}" for x in DELINQ_COLS]
+                     + [f"e.{x}" for x in DETAIL_COLS])
     return (
-        f"SELECT {', '.join(cols)} FROM {t(customers)} c "
-        f"LEFT JOIN {t(loans)} l ON c.member_id = l.member_id "
-        f"LEFT JOIN {t(repayments)} r ON l.loan_id = r.loan_id "
-        f"LEFT JOIN {t(delinq)} d ON c.member_id = d.member_id "
-        f"LEFT JOIN {t(details)} e ON c.member_id = e.member_id"
+        f"SELECT b.*, {rest} FROM ("
+        f"SELECT l.loan_id, {customer}, {loan} FROM {t(customers)} c JOIN {t(loans)} l ON c.member_id = l.member_id "
+        f"UNION ALL SELECT NULL AS loan_id, {customer}, {padding} FROM {t(customers)} c "
+        f"LEFT ANTI JOIN (SELECT DISTINCT member_id FROM {t(loans)}) k ON c.member_id = k.member_id) b "
+        f"LEFT JOIN {t(repayments)} r ON b.loan_id = r.loan_id "
+        f"LEFT JOIN {t(delinq)} d ON b.member_id = d.member_id "
+        f"LEFT JOIN {t(details)} e ON b.member_id = e.member_id"
     )
 
 

@@ -14,27 +14,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_wide_loans(spark: SparkSession, path: str, schema=None) -> DataFrame:
+def read_wide_loans(spark: SparkSession, path: str, schema=None, repartition: int | None = None) -> DataFrame:
     """The wide loan CSV (one loan per row, source column names) with a header.
 
     Without ``schema`` the types are inferred, as the flow's first step does;
     inference is a full extra pass over the input, so at scale pass the schema
-    (DDL string or StructType, columns in file order) to read it once. A small
-    file is spread over the session's parallelism (see ``spread_small_scan``).
+    (DDL string or StructType, columns in file order) to read it once.
+    ``repartition`` (default: none) deals the rows over that many partitions.
     """
-    from lendscope.session import default_parallelism
     if schema is None:
         df = read_csv_inferred(spark, path)
     else:
         df = spark.read.option("header", True).schema(schema).csv(path)
-    return spread_small_scan(df, default_parallelism(spark))
+    return df.repartition(repartition) if repartition else df
 
 
 def read_csv_schema(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -47,30 +46,17 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, line_breaks: str | None = None) -> str:
+    """CSV with a header. A line break inside a value would end its row for the
+    line-wise readers above; with ``line_breaks`` (e.g. a space) each is replaced."""
     out = df.repartition(1) if single_file else df
+    if line_breaks is not None:
+        out = out.select(*[F.regexp_replace(c, r"\r\n|\r|\n", line_breaks).alias(c) if t == "string" else F.col(c)
+                           for c, t in out.dtypes])
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
-def spread_small_scan(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Round-robin a file scan over ``min_partitions`` partitions if it reads
-    as fewer (a small input in one file with one row group is one task, and so
-    is every row-wise step and every table written after it). A scan already
-    split at least that finely (any large input on a cluster) is returned
-    unchanged, with no shuffle.
-
-    ``df`` must be a scan with projections/filters only: the partition count is
-    taken from the planned RDD, and for a plan with shuffles adaptive execution
-    would run those shuffle stages just to report it.
-    """
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect: no partition metadata
-        return df
-    return df.repartition(min_partitions) if n < min_partitions else df
-
-
 def write_parquet(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").parquet(path)
     return path

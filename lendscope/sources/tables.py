@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+STAR_TABLES = ("orders", "customer", "nation", "lineitem")
+
+
 @dataclass(frozen=True)
 class StarTables:
     orders: DataFrame

@@ -6,8 +6,10 @@ two loans (this is what the duplicate quarantine acts on). The borrower's
 customer row is ``c_custkey = bno % (number of customers)``, so every customer
 is used and two loans of one borrower share customer attributes.
 
-Plan shape: orders is spread over the session's parallelism when it arrives
-in fewer partitions (a small single-file table); lineitem is pre-aggregated per order (partial + final aggregate,
+Some cells are dirty, as in a hand-kept CSV: padded, blank or malformed values
+(key columns too), and every 503rd borrower has no key value at all.
+
+Plan shape: lineitem is pre-aggregated per order (partial + final aggregate,
 one shuffle on ``l_orderkey``) before it meets orders; nation (25 rows by the
 TPC-H definition) and customer are joined on equi-keys; no broadcast is
 forced, so Spark broadcasts a side only when its measured size is under the
@@ -19,15 +21,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lendscope.functions.keys import member_key
-from lendscope.session import default_parallelism
-from lendscope.sources.files import spread_small_scan
+from lendscope.rules import MEMBER_KEY_COLUMNS
 from lendscope.sources.tables import StarTables
 
 
 def raw_loans(t: StarTables) -> DataFrame:
     """The wide loan table (37 source columns), one row per order."""
     o = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    o = spread_small_scan(o, default_parallelism(o.sparkSession))
     ncust = t.customer.select(F.count(F.lit(1))).scalar()
 
     key = F.col("o_orderkey")
@@ -144,7 +144,31 @@ def raw_loans(t: StarTables) -> DataFrame:
         "mths_since_last_delinq": F.when(b % 3 == 0, F.lit(12.0)).otherwise(null_d),
         "mths_since_last_record": F.when(b % 4 == 0, F.lit(30.0)).otherwise(null_d),
     }
-    return j.select(*[c.alias(n) for n, c in cols.items()])
+    return j.select(*[c.alias(n) for n, c in _dirty(cols, b, key).items()])
+
+
+def _dirty(cols: dict, b, key) -> dict:
+    """Pad, blank or spoil some cells by borrower or order number."""
+    def put(name, *cases):
+        out = None
+        for cond, value in cases:
+            out = F.when(cond, value) if out is None else out.when(cond, value)
+        cols[name] = out.otherwise(cols[name])
+
+    cols = dict(cols) | {"annual_inc": cols["annual_inc"].cast("string")}
+    pad = lambda name, left="", right="": F.concat(F.lit(left), cols[name], F.lit(right))
+    put("emp_title", (b % 17 == 1, pad("emp_title", "  ", " ")))
+    put("home_ownership", (b % 19 == 2, pad("home_ownership", "", " ")), (b % 19 == 3, F.lit("   ")))
+    put("grade", (b % 23 == 4, pad("grade", " ")))
+    put("sub_grade", (b % 23 == 4, pad("sub_grade", "", " ")))
+    put("annual_inc", (b % 59 == 5, F.lit("n/a")), (b % 59 == 6, F.lit(" ")), (b % 59 == 7, pad("annual_inc", " ", " ")))
+    put("verification_status", (b % 29 == 8, pad("verification_status", "\t")))
+    put("loan_status", (key % 31 == 9, pad("loan_status", " ")))
+    put("purpose", (key % 31 == 10, pad("purpose", "", " ")))
+    put("title", (key % 37 == 0, F.lit("")))
+    for name in MEMBER_KEY_COLUMNS:
+        put(name, (b % 503 == 0, F.lit(None).cast("string")))
+    return cols
 
 
 def keyed_loans(raw: DataFrame, key_name: str = "name_sha2") -> DataFrame:

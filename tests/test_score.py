@@ -118,3 +118,24 @@ def test_rules_from_conf_parses_decimal_text(spark):
             ScoreRules.from_conf(spark)
     finally:
         spark.conf.unset("spark.sql.good_rated_pts")
+
+
+def test_a_band_without_points_is_refused():
+    import pytest
+    from lendscope.rules import ScoreRules
+    with pytest.raises(ValueError, match="credit_limit_ratios"):
+        ScoreRules(credit_limit_ratios=(0.1, 0.2, 0.3, 0.5, 0.7, 0.9))
+    with pytest.raises(ValueError, match="home_patterns"):
+        ScoreRules(home_patterns=("%own",))
+
+
+def test_conf_rules_keep_the_callers_grade_bases(spark):
+    from lendscope.rules import ScoreRules
+    own = (("A", 1), ("B", 2))
+    assert ScoreRules.from_conf(spark, base=ScoreRules(grade_bases=own)).grade_bases == own
+    spark.conf.set("spark.sql.excellent_rated_pts", "900")
+    try:
+        assert ScoreRules.from_conf(spark).grade_bases[0] == ("A", 900)
+        assert ScoreRules.from_conf(spark, base=ScoreRules(grade_bases=own)).grade_bases == own
+    finally:
+        spark.conf.unset("spark.sql.excellent_rated_pts")

@@ -34,3 +34,36 @@ def test_wide_csv_with_schema_skips_inference(spark, sf_small):
     given = read_wide_loans(spark, path, schema=inferred.schema)
     assert given.schema == inferred.schema
     assert given.exceptAll(inferred).count() == 0 and given.count() == raw.count()
+
+
+def test_direct_split_equals_the_csv_hop(spark):
+    """Trimmed strings, blanks as NULL, malformed numbers as NULL, as after a CSV write and read."""
+    from pyspark.sql import functions as F
+    from lendscope import schemas
+    from lendscope.operators import split
+    cells = ["OWN ", " A", "\tx ", "", "   ", None, "n/a", " 12.5 ", "1e3", "plain", "-7", "x\ty"]
+    names = ["name_sha2", "emp_title", "emp_length", "home_ownership", "annual_inc", "addr_state", "zip_code", "grade",
+             "sub_grade", "verification_status", "tot_hi_cred_lim", "application_type", "annual_inc_joint",
+             "verification_status_joint"]
+    rows = [tuple([f"id{i}"] + [cells[(i + j) % len(cells)] for j in range(len(names) - 1)]) for i in range(len(cells))]
+    keyed = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    order = ["name_sha2", "emp_title", "emp_length", "home_ownership", "annual_inc", "addr_state", "zip_code", "country",
+             *names[7:]]
+    path = write_csv(keyed.withColumn("country", F.lit("USA")).select(*order), shared_path(spark, "tests", "hop_csv"))
+    hop = read_csv_schema(spark, path, schemas.CUSTOMERS_RAW_DDL)
+    direct = split.split_customers(keyed)
+    assert sorted(map(tuple, direct.collect()), key=str) == sorted(map(tuple, hop.collect()), key=str)
+
+
+def test_line_breaks_can_be_replaced_on_write(spark):
+    df = spark.createDataFrame([("a", "x\ny"), ("b", "p\r\nq")], "k string, v string")
+    path = write_csv(df, shared_path(spark, "tests", "breaks_csv"), line_breaks=" ")
+    assert sorted(map(tuple, read_csv_strings(spark, path).collect())) == [("a", "x y"), ("b", "p q")]
+
+
+def test_a_quote_in_a_location(spark):
+    path = shared_path(spark, "tests", "it's here")
+    write_parquet(spark.createDataFrame([("m",)], "member_id string"), path + "/t")
+    catalog.create_database(spark, "lendscope_quote_test", path + "/db")
+    name = catalog.create_external_table(spark, "lendscope_quote_test", "t", "member_id string", path + "/t")
+    assert catalog.scan_table(spark, name).count() == 1
