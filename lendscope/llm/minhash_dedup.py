@@ -19,8 +19,8 @@ the components are those of all candidate pairs with a true similarity of
 
 Result: one row per document with its class, the smallest id it is linked to
 over any path. Cases: null counts as empty; a text without words links with
-nothing, not even with another one; rows with equal ids are one node (they get
-one class); a null id links with nothing and gets no class; an empty table gives no rows; other columns are kept by
+nothing, not even with another one; each row gets the class of its own text, so
+ids are expected to be unique; a null id links with nothing and gets no class; an empty table gives no rows; other columns are kept by
 ``drop_near_duplicates``.
 """
 
@@ -193,9 +193,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
                     "signatures")
     live = signed.where(F.col("bands").isNotNull() & F.col("doc_id").isNotNull())
     # texts with one multiset: one representative
-    copies = live.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    same = (live.select("doc_id", "hi", "lo").join(copies.where("n > 1"), ["hi", "lo"])
-            .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b"))
+    copies = staged(live.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "copies")
     spread = (live.join(copies.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi")
               .select("doc_id", F.posexplode("bands").alias("band", "key")).distinct())
     bucket = ["band", "key"]
@@ -209,35 +207,39 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     pairs = (members.where(F.col("doc_id") != F.col("pivot"))
              .select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = staged(verified(pairs, sets, threshold), "verified")
-    pivots = 4
+    comp, pivots, tried = components(links), 4, None
     while True:
-        comp = components(links)
         placed = (members.where("n > 2").select(*bucket, "doc_id", "pivot")  # of two, the pair has been compared
                   .join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                   .withColumn("component", F.coalesce("component", "doc_id")))
         first = placed.where(F.col("doc_id") == F.col("pivot")).select(*bucket, F.col("component").alias("main"))
         strays = placed.join(first, bucket).where(F.col("component") != F.col("main")).drop("main")
-        # strays taken in earlier rounds keep their rank, so they are not taken again
-        if pivots > 4:
+        if tried is not None:  # compared with their whole bucket in an earlier round
             strays = strays.join(tried, [*bucket, "doc_id"], "left_anti")
         rank = F.row_number().over(Window.partitionBy(*bucket).orderBy("doc_id"))
         chosen = staged(strays.select(*bucket, "doc_id", "component", rank.alias("r")).where(F.col("r") <= pivots)
                         .drop("r"), "pivots")
+        if chosen.isEmpty():
+            break
         other = placed.where(F.col("doc_id") != F.col("pivot")).select(
             *bucket, F.col("doc_id").alias("b"), F.col("component").alias("other"))
         more = (chosen.select(*bucket, F.col("doc_id").alias("a"), "component").join(other, bucket)
                 .where((F.col("component") != F.col("other")) & (F.col("a") != F.col("b")))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         found = staged(verified(more, sets, threshold), "verified")
-        if chosen.isEmpty():
-            break
-        links = links.unionByName(found)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            comp = components(links)
         taken = chosen.select(*bucket, "doc_id")
-        tried = staged(taken if pivots == 4 else tried.unionByName(taken), "tried")
+        tried = taken if tried is None else tried.unionByName(taken)
         pivots *= 4
-    class_of = components(links.unionByName(same)).select(F.col("node").alias("doc_id"), "component")
-    return (signed.select("doc_id").join(class_of, "doc_id", "left")
-            .select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
+    # a copy has its representative's component; the representative is the smallest id among the copies
+    class_of = (copies.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+                .select("hi", "lo", F.coalesce("component", "rep").alias("class")))
+    usable = F.col("bands").isNotNull() & F.col("doc_id").isNotNull()
+    return (signed.select("doc_id", F.when(usable, F.col("hi")).alias("hi"), "lo")
+            .join(class_of, ["hi", "lo"], "left")
+            .select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))))
 
 
