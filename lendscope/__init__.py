@@ -7,7 +7,6 @@ returns a DataFrame; nothing collects data to the driver. Sub-packages:
 * ``functions`` - Column-level helpers (member key, text parsing, rule bands)
 * ``operators`` - split, clean, profile, quarantine, consolidate, score
 * ``plans``     - the staged end-to-end flow and the query registry
-* ``streaming`` - intentionally empty (the analysed workload has no streams)
 """
 
 from lendscope.rules import ScoreRules, DEFAULT_RULES  # noqa: F401

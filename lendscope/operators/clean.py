@@ -19,6 +19,7 @@ from lendscope.functions.text import (
 )
 from lendscope.rules import LOAN_PURPOSES, OTHER_PURPOSE
 
+# Column renames and required columns of the analysed workload.
 CUSTOMER_RENAMES = {
     "annual_inc": "annual_income",
     "addr_state": "address_state",

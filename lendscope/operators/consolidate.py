@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# The view's columns by table.
 CUSTOMER_COLS = [
     "member_id", "emp_title", "emp_length", "home_ownership", "annual_income", "address_state",
     "address_zipcode", "address_country", "grade", "sub_grade", "verification_status",

@@ -41,18 +41,21 @@ class LendingFrames:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, ingest_ts=FIXED_INGEST_TS,
-                 rules: ScoreRules = DEFAULT_RULES, materialize_wide: bool = True):
+                 rules: ScoreRules = DEFAULT_RULES, materialize_wide: bool = True,
+                 repartition: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.ingest_ts = ingest_ts
         self.rules = rules
         self.materialize_wide = materialize_wide
+        self.repartition = repartition
         self._write_lock = threading.RLock()
         self._written: dict[str, DataFrame] = {}
 
     @cached_property
     def _lazy(self) -> "LendingFrames":
-        return LendingFrames(self.spark, self.sf_dir, self.ingest_ts, self.rules, materialize_wide=False)
+        return LendingFrames(self.spark, self.sf_dir, self.ingest_ts, self.rules, materialize_wide=False,
+                             repartition=self.repartition)
 
     @property
     def narrow(self) -> "LendingFrames":
@@ -82,7 +85,7 @@ class LendingFrames:
     # wide table and splits
     @cached_property
     def raw(self) -> DataFrame:
-        return raw_loans(star_tables(self.spark, self.sf_dir))
+        return raw_loans(star_tables(self.spark, self.sf_dir), self.repartition)
 
     @cached_property
     def keyed(self) -> DataFrame:
@@ -229,9 +232,11 @@ class FrameStore:
 
     A graph is kept only while the names, lengths and modification times of its
     input files stay the same; after any change, or where files can't be listed,
-    the next query gets a new one. One graph is held per directory."""
+    the next query gets a new one. One graph is held per directory.
+    ``repartition`` is handed on to the graphs (default: none)."""
 
-    def __init__(self):
+    def __init__(self, repartition: int | None = None):
+        self.repartition = repartition
         self._held: dict[str, tuple[object, SparkSession, LendingFrames]] = {}
         self._lock = threading.Lock()
 
@@ -240,5 +245,6 @@ class FrameStore:
         with self._lock:
             held = self._held.get(sf_dir)
             if now is None or held is None or held[0] != now or held[1] is not spark:
-                held = self._held[sf_dir] = (now, spark, LendingFrames(spark, sf_dir))
+                held = self._held[sf_dir] = (now, spark, LendingFrames(
+                    spark, sf_dir, repartition=self.repartition))
             return held[2]

@@ -28,7 +28,6 @@ DEFAULTERS_RAW_DDL = (
     "pub_rec_bankruptcies float, inq_last_6mths float, total_rec_late_fee float, "
     "mths_since_last_delinq float, mths_since_last_record float"
 )
-DUPLICATE_IDS_DDL = "member_id string"
 
 CUSTOMERS_TABLE_DDL = (
     "member_id string, emp_title string, emp_length int, home_ownership string, "
@@ -53,15 +52,3 @@ SCORE_TABLE_DDL = (
     "member_id string, payment_history_pts float, defaulters_history_pts float, "
     "financial_health_pts float, loan_score float, loan_final_grade string"
 )
-
-# Source column names of the wide loan table, per split (before renaming).
-CUSTOMER_SOURCE_COLUMNS = [
-    "emp_title", "emp_length", "home_ownership", "annual_inc", "addr_state", "zip_code",
-    "grade", "sub_grade", "verification_status", "tot_hi_cred_lim", "application_type",
-    "annual_inc_joint", "verification_status_joint",
-]
-
-
-def column_names(ddl: str) -> list[str]:
-    """Column names of a simple ``name type, ...`` DDL string."""
-    return [part.strip().split()[0] for part in ddl.split(",")]

@@ -25,9 +25,11 @@ from lendscope.rules import MEMBER_KEY_COLUMNS
 from lendscope.sources.tables import StarTables
 
 
-def raw_loans(t: StarTables) -> DataFrame:
-    """The wide loan table (37 source columns), one row per order."""
+def raw_loans(t: StarTables, repartition: int | None = None) -> DataFrame:
+    """The wide loan table (37 source columns), one row per order. ``repartition``
+    (default: none) deals the orders over that many partitions first."""
     o = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = o.repartition(repartition) if repartition else o
     ncust = t.customer.select(F.count(F.lit(1))).scalar()
 
     key = F.col("o_orderkey")

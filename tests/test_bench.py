@@ -16,5 +16,5 @@ def test_bench_prints_one_json_line(sf_small):
     assert len(lines) == 1, out.stdout + out.stderr[-2000:]
     d = json.loads(lines[0])
     assert d["unit"] == "sec" and d["sf"] == "0.001" and isinstance(d["value"], float)
-    assert set(d["queries"]) == {"member_key", "loan_score_grades"}
-    assert "errors" not in d and d["warmup_sec"] > 0
+    assert set(d["queries"]) == {"wide_table", "member_key", "loan_score_grades"}
+    assert "errors" not in d and d["jvm_warmup_sec"] > 0
