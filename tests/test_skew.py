@@ -84,3 +84,40 @@ def test_hot_key_on_the_right_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_member_of_the_sql_view_is_split_by_aqe(spark):
+    """The persistent view's SELECT over tables whose one member has a third of the loans."""
+    from lendscope.plans.staged import CLEAN_TABLES
+    from lendscope.session import scratch_path
+    from lendscope.sources import catalog
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        db = "lendscope_view_skew_test"
+        catalog.create_database(spark, db, scratch_path(spark, "tests", "view_skew_db"))
+        n = 200_000
+        ids = {"customers": spark.range(n // 3).select(F.col("id").cast("string").alias("member_id")),
+               "loans": spark.range(n).select(
+                   F.when(F.col("id") % 3 == 0, "7").otherwise(F.col("id").cast("string")).alias("member_id"),
+                   F.col("id").cast("string").alias("loan_id")),
+               "loans_repayments": spark.range(n // 10).select(F.col("id").cast("string").alias("loan_id"))}
+        for table, (_, ddl) in CLEAN_TABLES.items():
+            df = ids.get(table, spark.range(1000).select(F.col("id").cast("string").alias("member_id")))
+            path = scratch_path(spark, "tests", "view_skew")
+            df.repartition(8).write.parquet(path)
+            catalog.create_external_table(spark, db, table, ddl, path)
+        view = spark.sql(catalog.consolidated_view_sql(db))
+        qe = view._jdf.queryExecution()
+        rows = qe.toRdd().count()
+        assert "SortMergeJoin(skew=true)" in qe.executedPlan().toString().split("== Initial Plan ==")[0]
+        c, l = spark.table(f"{db}.customers"), spark.table(f"{db}.loans")
+        assert rows == c.join(l, "member_id", "left").count() == view.count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
