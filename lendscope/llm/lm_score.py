@@ -34,14 +34,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendscope.llm.common import batch, byte_texts, fold, mapped, put_file, scratch, shuffle_partitions, staged
+from lendscope.llm.common import batch, byte_texts, fold, mapped, put_file, scratch, shuffle_partitions
 from lendscope.llm.words import NONSPACE, hash_words, mix
 
 #: Words hash to 64 bits; these two stand for the marks around a text.
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 SALTS = np.uint64(64)
 #: A map task adds up its bigrams when it holds this many tokens.
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 1_000_000
 
 _BLOCK = pa.schema([("shard", pa.int32()), ("block", pa.binary())])
 _STATS = ["ones", "twos", "threes", "fours"]
@@ -109,8 +109,8 @@ def _count_pairs(shards: int):
                 held = 0
 
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                left, word, _ = _sequence(byte_texts(b.column(0).slice(at, 1000)))
+            for at in range(0, b.num_rows, 250):
+                left, word, _ = _sequence(byte_texts(b.column(0).slice(at, 250)))
                 lefts.append(left), words.append(word)
                 held += len(left)
                 if held >= FLUSH_TOKENS:
@@ -149,12 +149,16 @@ def _merge_pairs(base: str, shards: int):
     return run
 
 
-_SUMS = pa.schema([(c, pa.int64()) for c in ("tokens", "distinct", "left", *_STATS)])
+_SUMS = pa.schema([("of_pairs", pa.bool_()), *[(c, pa.int64()) for c in ("tokens", "distinct", "left", *_STATS)]])
 
 
 def _merge_words(base: str):
-    """Write a word shard: hash, count, left neighbours, and the sums as first word."""
+    """Write a word shard: hash, count, left neighbours, and the sums as first word.
+    The group -1 holds the bigrams' counts of counts by shard and is only summed."""
     def run(key, table):
+        if key[0].as_py() < 0:
+            n = np.sum([np.frombuffer(b, np.int64) for b in table.column("block").to_pylist()], axis=0)
+            return pa.Table.from_batches([batch(_SUMS, [True], [0], [0], [0], *[[int(x)] for x in n])])
         w, *sums = _unpacked(table.column("block").to_pylist(), 7)
         order = np.argsort(w, kind="stable")
         w, sums = w[order], [s.view(np.int64)[order] for s in sums]
@@ -162,7 +166,7 @@ def _merge_words(base: str):
         w, sums = w[first], [np.add.reduceat(s, first) for s in sums]
         put_file(f"{base}/words/{key[0].as_py()}", [w, *sums])
         count, left = sums[0], sums[1]
-        return pa.Table.from_batches([batch(_SUMS, *[[int(x)] for x in (
+        return pa.Table.from_batches([batch(_SUMS, [False], *[[int(x)] for x in (
             count.sum(), (count > 0).sum(), left.sum(), *_counts_of_counts(left))])])
     return run
 
@@ -189,14 +193,11 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     spark = texts.sparkSession
     shards, base = shuffle_partitions(spark), scratch(spark, "lm")
     counted = texts.select(F.col(text_col).cast("string")).mapInArrow(_count_pairs(shards), "shard int, block binary")
-    by_word = staged(counted.groupBy("shard").applyInArrow(_merge_pairs(base, shards), "shard int, block binary"),
-                     "lm-words", "lz4")
-    # one row per shard: counts of counts
-    pair = np.sum([np.frombuffer(r["block"], np.int64) for r in by_word.where("shard = -1").collect()] or
-                  [np.zeros(4, np.int64)], axis=0).tolist()
-    fields = ", ".join(f"{c} long" for c in _SUMS.names)
-    rows = (by_word.where("shard >= 0").groupBy("shard").applyInArrow(_merge_words(base), fields).collect())
-    total = {c: sum(r[c] for r in rows) for c in _SUMS.names}
+    by_word = counted.groupBy("shard").applyInArrow(_merge_pairs(base, shards), "shard int, block binary")
+    fields = ", ".join(["of_pairs boolean", *[f"{c} long" for c in _SUMS.names[1:]]])
+    rows = by_word.groupBy("shard").applyInArrow(_merge_words(base), fields).collect()  # a row a shard
+    total = {c: sum(r[c] for r in rows if not r["of_pairs"]) for c in _SUMS.names[1:]}
+    pair = [sum(r[c] for r in rows if r["of_pairs"]) for c in _STATS]
     left_counts = [total[c] for c in _STATS]
     more = total["distinct"] - left_counts[0] - left_counts[1]
     return Model(base, shards, list(range(shards)), list(range(shards)), {
@@ -276,8 +277,8 @@ def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(model)
         for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                part = b.slice(at, 2000)
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
                 n, known, base, score = reader.score(byte_texts(part.column(2)))
                 yield batch(_SCORES, part.column(0), part.column(1), n, known, np.full(len(n), model.tokens), base,
                             score, 10.0 ** np.minimum(-score / n, 300))
