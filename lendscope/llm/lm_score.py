@@ -2,7 +2,7 @@
 
 Counting runs in Spark. Map tasks hash the words of the training texts, count
 their own bigrams and send them in packed blocks to shards; a shard is dealt by
-the first word salted with 64 values of the second, so the successors of a very
+the first word salted with 8 values of the second, so the successors of a very
 common word are spread. A shard merges its bigrams, writes them sorted, and
 passes on per-word sums only (already added up, so a common word is one row per
 shard): for a first word its total and its bigrams seen once, twice and more;
@@ -39,7 +39,7 @@ from lendscope.llm.words import NONSPACE, hash_words, mix
 
 #: Words hash to 64 bits; these two stand for the marks around a text.
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
-SALTS = np.uint64(64)
+SALTS = np.uint64(8)
 #: A map task adds up its bigrams when it holds this many tokens.
 FLUSH_TOKENS = 1_000_000
 
@@ -131,7 +131,10 @@ def _merge_pairs(base: str, shards: int):
         left, word, count = _added_up(left, word, count.view(np.int64))
         h = _pair_hash(left, word)
         order = np.argsort(h)
-        put_file(f"{base}/pairs/{shard}", [h[order], np.minimum(count[order], 0xFFFFFFFF).astype(np.uint32)])
+        h, c = h[order], count[order]
+        many = c >= 255  # few: their counts stand apart, whole
+        put_file(f"{base}/pairs/{shard}", [np.array([len(h), many.sum()], np.int64), h, h[many], c[many],
+                                           np.where(many, 255, c).astype(np.uint8)])
         first = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]])[:len(left)])
         add = lambda x: np.add.reduceat(x.astype(np.int64), first)
         zero = np.zeros(len(first), np.int64)
@@ -164,7 +167,9 @@ def _merge_words(base: str):
         w, sums = w[order], [s.view(np.int64)[order] for s in sums]
         first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])[:len(w)])
         w, sums = w[first], [np.add.reduceat(s, first) for s in sums]
-        put_file(f"{base}/words/{key[0].as_py()}", [w, *sums])
+        width = np.uint32 if max(int(s.max(initial=0)) for s in sums) < 1 << 32 else np.uint64
+        put_file(f"{base}/words/{key[0].as_py()}", [np.array([len(w), np.dtype(width).itemsize], np.int64), w,
+                                                    *[s.astype(width) for s in sums]])
         count, left = sums[0], sums[1]
         return pa.Table.from_batches([batch(_SUMS, [False], *[[int(x)] for x in (
             count.sum(), (count > 0).sum(), left.sum(), *_counts_of_counts(left))])])
@@ -217,12 +222,13 @@ class _Reader:
                 raw = mapped(f"{self.m.base}/{kind}/{shard}")
             except FileNotFoundError:  # no row fell into this shard
                 raw = np.zeros(0, np.uint8)
-            if kind == "pairs":
-                n = len(raw) // 12
-                found = raw[:8 * n].view(np.uint64), [raw[8 * n:].view(np.uint32)]
-            else:
-                parts = raw.view(np.uint64).reshape(7, -1)
-                found = parts[0], [p.view(np.int64) for p in parts[1:]]
+            n, x = raw[:16].view(np.int64).tolist() if len(raw) else (0, 4)
+            keys, rest = raw[16:16 + 8 * n].view(np.uint64), raw[16 + 8 * n:]
+            if kind == "pairs":  # x counts of 255 or more stand apart
+                many = (rest[:8 * x].view(np.uint64), rest[8 * x:16 * x].view(np.int64))
+                found = keys, [rest[16 * x:]], many
+            else:  # columns of x bytes
+                found = keys, list(rest.view(np.uint32 if x == 4 else np.uint64).reshape(6, -1)), None
             self.open_[kind, shard] = found
         return self.open_[kind, shard]
 
@@ -232,12 +238,15 @@ class _Reader:
         order = np.argsort(shard, kind="stable")  # keys stay sorted within a shard
         shards, begin = np.unique(shard[order], return_index=True)
         for s, rows in zip(shards, np.split(order, begin[1:]), strict=True):
-            keys, values = self._file(kind, int(s))
+            keys, values, many = self._file(kind, int(s))
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, key[rows]), len(keys) - 1)
                 hit = keys[at] == key[rows]
                 for i, v in enumerate(values):
                     out[i, rows[hit]] = v[at[hit]]
+                if many is not None and len(many[0]):
+                    big = rows[hit][out[0, rows[hit]] == 255]
+                    out[0, big] = many[1][np.searchsorted(many[0], key[big])]
         return out
 
     def score(self, texts: list[bytes]):

@@ -80,3 +80,15 @@ def test_awkward_rows_and_no_training(awkward):
     none = lm.score_texts(awkward, empty, F.lit(False)).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in none)
     assert lm.lm_scores(awkward.limit(0)).count() == 0
+
+
+def test_large_counts_are_kept_whole(docs_of):
+    rows = [(i, "so very often " * 40) for i in range(30)] + [(99, "so rare")]
+    docs = docs_of(rows)
+    count, prob = brute([t for _, t in rows])
+    model = lm.train(docs)
+    got = {r.doc_id: r for r in lm.score_texts(docs, model, F.lit(False)).collect()}
+    for i, t in rows:
+        seq = tokens(t)
+        assert got[i].score == pytest.approx(sum(math.log10(prob(a, b)) for a, b in
+                                                 zip([("start",), *seq], seq, strict=False)))
