@@ -32,7 +32,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from lendscope.llm.common import _open, batch, byte_texts, scratch, shuffle_partitions
+from lendscope.llm.common import _open, batch, byte_texts, scratch, shuffle_partitions, staged
 
 #: A bucket is split when its entries take more bytes than this (compressed).
 PAGE_BYTES = 2 << 20
@@ -40,7 +40,10 @@ PAGE_BYTES = 2 << 20
 BUFFER_BYTES = 16 << 20
 _HEAD = "<QqqI"  # key, largest id, rows, bytes of the packed text
 
-_KEYS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("text_sha256", pa.string())])
+#: Dropped rows are sent to every task up to this many (16 bytes each), else joined by key.
+BROADCAST_ROWS = 1_000_000
+
+_KEYS = pa.schema([("doc_id", pa.int64()), ("raw_key", pa.int64()), ("text_key", pa.int64()), ("text_sha256", pa.string())])
 _TEXTS = pa.schema([("owner", pa.int32()), ("text_key", pa.int64()), ("packed", pa.binary()),
                     ("keep_id", pa.int64()), ("group_size", pa.int64())])
 _GROUPS = pa.schema([("text_key", pa.int64()), ("text_sha256", pa.string()), ("keep_id", pa.int64()),
@@ -58,7 +61,7 @@ def _signed(x: int) -> int:
 def _row_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [t.lower() for t in byte_texts(b.column(1))]  # bytes.lower() lowers A-Z only
-        yield batch(_KEYS, b.column(0), [_signed(_key(t)) for t in texts],
+        yield batch(_KEYS, b.column(0), b.column(2), [_signed(_key(t)) for t in texts],
                     [hashlib.sha256(t).hexdigest() for t in texts])
 
 
@@ -218,17 +221,46 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "text_key long, text_sha256 string, keep_id long, group_size long")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 page_bytes: int = PAGE_BYTES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    keys = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"))
-            .mapInArrow(_row_keys, "doc_id long, text_key long, text_sha256 string"))
+def _decisions(docs: DataFrame, id_col: str, text_col: str, page_bytes: int) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    keys = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text, F.xxhash64(text).alias("raw_key"))
+            .mapInArrow(_row_keys, "doc_id long, raw_key long, text_key long, text_sha256 string"))
     return (keys.join(duplicate_groups(docs, id_col, text_col, page_bytes), ["text_key", "text_sha256"])
-            .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                    "text_sha256"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))))
 
 
-def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: one per distinct text."""
-    keep = duplicate_groups(docs, id_col, text_col).select(F.col("keep_id").alias("_keep_id"))
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_keep_id"]), "left_semi").dropDuplicates([id_col])
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 page_bytes: int = PAGE_BYTES) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _decisions(docs, id_col, text_col, page_bytes).select("doc_id", "keep_id", "group_size", "kept",
+                                                                 "text_sha256")
+
+
+def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns: one per distinct text.
+
+    Decisions are made on narrow rows; the texts themselves move only where the
+    list of dropped rows has more than ``broadcast_rows`` entries. Rows that
+    repeat id and text are rare: only they are de-duplicated by a shuffle."""
+    made = staged(_decisions(docs, id_col, text_col, PAGE_BYTES), "exact-decisions")
+    row = ["doc_id", "raw_key"]
+    gone = staged(made.where(~F.col("kept")).select(*row).distinct(), "exact-gone")
+    twice = staged(made.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
+                   .select("doc_id").distinct(), "exact-twice")
+    text = F.col(text_col).cast("string")
+
+    def joined(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        other = other.select([F.col(c).alias(f"_dup_{c}") for c in other.columns])
+        same = df[id_col].cast("long").eqNullSafe(F.col("_dup_doc_id"))
+        if "_dup_raw_key" in other.columns:
+            same = same & (F.xxhash64(df[text_col].cast("string")) == F.col("_dup_raw_key"))
+        return df.join(F.broadcast(other) if other.count() <= broadcast_rows else other, same, how)
+
+    kept = joined(docs, gone, "left_anti")
+    if twice.isEmpty():
+        return kept
+    lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    once = (joined(kept, twice, "left_semi").withColumn("_dup_text", F.sha2(lower, 256))
+            .dropDuplicates([id_col, "_dup_text"]).drop("_dup_text"))
+    return joined(kept, twice, "left_anti").unionByName(once)

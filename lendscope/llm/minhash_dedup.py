@@ -248,4 +248,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     gone = (near_duplicate_classes(docs, id_col, text_col).where(~F.col("kept"))
             .select(F.col("doc_id").alias("_gone")).distinct())
     gone = staged(gone, "near-gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    small = gone.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if small else gone, docs[id_col] == gone["_gone"], "left_anti")

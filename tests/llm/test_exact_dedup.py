@@ -33,6 +33,10 @@ def test_drop_duplicates_keeps_columns(docs_of, awkward):
     assert kept.columns == awkward.columns
     # null, empty: 2; 5 and 6 are equal; a row without an id that is alone stays
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3, 4, 6, 8, 9, 10]
+    assert ed.drop_duplicates(awkward, broadcast_rows=0).exceptAll(kept).count() == 0
+    rows = [(None, "Same"), (None, "own"), (3, "same"), (4, "x"), (4, "X"), (4, "x"), (5, "y")]
+    got = sorted((r.doc_id or 0, r.text.lower()) for r in ed.drop_duplicates(docs_of(rows)).collect())
+    assert got == [(0, "own"), (3, "same"), (4, "x"), (5, "y")]
 
 
 def test_directory_doubles_and_chains(tmp_path):
