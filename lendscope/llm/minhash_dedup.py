@@ -10,9 +10,10 @@ similarity. Texts that agree on all rows of some band meet in a bucket.
 
 Texts with the same multiset are collapsed first, so copies cost one row. In a
 bucket not all pairs are formed. Round by round a bucket compares chosen pivots
-with its other members: first its smallest id; then, as long as its members lie
-in more than one component, more of the members outside its first component,
-four times as many each round. When a bucket has one component left, or only
+with its other members: first its smallest id; then a few members of the
+component of that id with the rest; then, as long as its members lie in more than one component, more of the members outside its first component,
+four times as many each round. Pairs whose sizes rule the similarity out are
+left aside. When a bucket has one component left, or only
 compared pivots outside it, no pair of it can join two components any more, so
 the components are those of all candidate pairs with a true similarity of
 ``threshold`` or more. Every link is verified on the whole multisets.
@@ -41,10 +42,14 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 28
 ROWS = 6
+#: Members compared with their whole bucket in the first round after its smallest id
+PIVOTS = 32
+#: Members of a bucket's first component that its strays meet before that
+BRIDGES = 6
 BROADCAST_ROWS = 1_000_000
 _POISSON = np.cumsum([0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320)])
 
-_SIGS = pa.schema([("doc_id", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()),
+_SIGS = pa.schema([("doc_id", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("total", pa.int64()),
                    ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("doc_id", pa.int64()), ("elements", pa.binary())])
 
@@ -145,7 +150,7 @@ def _sign(bands: int, rows: int):
                 half = (1 << 64) - 1
                 whole = np.array([[p >> 64, p & half] for p in prints], np.uint64).reshape(-1, 2).view(np.int64)
                 keys = [k.tolist() if len(s[0]) else None for k, s in zip(key.view(np.int64), sets, strict=True)]
-                yield batch(_SIGS, part.column(0), whole[:, 0], whole[:, 1], keys)
+                yield batch(_SIGS, part.column(0), whole[:, 0], whole[:, 1], [int(c.sum()) for _, c in sets], keys)
     return run
 
 
@@ -189,42 +194,64 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
                            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, kept (doc_id = class_id)."""
     pairs_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = staged(pairs_in.mapInArrow(_sign(bands, rows), "doc_id long, hi long, lo long, bands array<long>"),
+    signed = staged(pairs_in.mapInArrow(_sign(bands, rows), "doc_id long, hi long, lo long, total long, bands array<long>"),
                     "signatures")
     live = signed.where(F.col("bands").isNotNull() & F.col("doc_id").isNotNull())
     # texts with one multiset: one representative
     copies = staged(live.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "copies")
     spread = (live.join(copies.select("hi", "lo", F.col("rep").alias("doc_id")), ["hi", "lo", "doc_id"], "left_semi")
-              .select("doc_id", F.posexplode("bands").alias("band", "key")).distinct())
+              .select("doc_id", "total", F.posexplode("bands").alias("band", "key")).distinct())
     bucket = ["band", "key"]
-    shared = spread.groupBy(*bucket).agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = (spread.groupBy(*bucket).agg(F.min(F.struct("doc_id", "total")).alias("p"), F.count(F.lit(1)).alias("n"))
+              .where("n > 1").select(*bucket, F.col("p.doc_id").alias("pivot"), F.col("p.total").alias("pivot_total"), "n"))
+
+    def close(x: str, y: str):
+        """Sizes that allow the similarity: the smaller multiset is at most all of the overlap."""
+        return F.least(x, y) >= F.greatest(x, y) * F.lit(threshold - 1e-9)
+
     members = staged(spread.join(shared, bucket), "buckets")
     # the multisets of the texts that share a bucket
     ids = members.select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= broadcast_rows else ids
     sets = staged(pairs_in.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi")
                   .dropDuplicates(["doc_id"]).mapInArrow(_element_sets, "doc_id long, elements binary"), "multisets")
-    pairs = (members.where(F.col("doc_id") != F.col("pivot"))
+    pairs = (members.where((F.col("doc_id") != F.col("pivot")) & close("total", "pivot_total"))
              .select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = staged(verified(pairs, sets, threshold), "verified")
-    comp, pivots, tried = components(links), 4, None
+    comp, pivots, tried, bridged = components(links), PIVOTS, None, False
     while True:
-        placed = (members.where("n > 2").select(*bucket, "doc_id", "pivot")  # of two, the pair has been compared
+        placed = (members.where("n > 2").select(*bucket, "doc_id", "total", "pivot")  # of two, the pair has been compared
                   .join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                   .withColumn("component", F.coalesce("component", "doc_id")))
         first = placed.where(F.col("doc_id") == F.col("pivot")).select(*bucket, F.col("component").alias("main"))
         strays = placed.join(first, bucket).where(F.col("component") != F.col("main")).drop("main")
+        if not bridged:  # a stray near some member of the first component needs one link to join it
+            bridged = True
+            nth = F.row_number().over(Window.partitionBy(*bucket).orderBy(F.xxhash64("doc_id"), "doc_id"))
+            some = (placed.join(first, bucket).where((F.col("component") == F.col("main"))
+                                                     & (F.col("doc_id") != F.col("pivot")))
+                    .select(*bucket, F.col("doc_id").alias("a"), F.col("total").alias("other_total"), nth.alias("r"))
+                    .where(F.col("r") <= BRIDGES).drop("r"))
+            more = (strays.select(*bucket, F.col("doc_id").alias("b"), "total").join(some, bucket)
+                    .where(close("total", "other_total"))
+                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            found = staged(verified(more, sets, threshold), "verified")
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                comp = components(links)
+            continue
         if tried is not None:  # compared with their whole bucket in an earlier round
             strays = strays.join(tried, [*bucket, "doc_id"], "left_anti")
         rank = F.row_number().over(Window.partitionBy(*bucket).orderBy("doc_id"))
-        chosen = staged(strays.select(*bucket, "doc_id", "component", rank.alias("r")).where(F.col("r") <= pivots)
+        chosen = staged(strays.select(*bucket, "doc_id", "total", "component", rank.alias("r")).where(F.col("r") <= pivots)
                         .drop("r"), "pivots")
         if chosen.isEmpty():
             break
         other = placed.where(F.col("doc_id") != F.col("pivot")).select(
-            *bucket, F.col("doc_id").alias("b"), F.col("component").alias("other"))
-        more = (chosen.select(*bucket, F.col("doc_id").alias("a"), "component").join(other, bucket)
-                .where((F.col("component") != F.col("other")) & (F.col("a") != F.col("b")))
+            *bucket, F.col("doc_id").alias("b"), F.col("total").alias("other_total"), F.col("component").alias("other"))
+        more = (chosen.select(*bucket, F.col("doc_id").alias("a"), "total", "component").join(other, bucket)
+                .where((F.col("component") != F.col("other")) & (F.col("a") != F.col("b"))
+                       & close("total", "other_total"))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         found = staged(verified(more, sets, threshold), "verified")
         if not found.isEmpty():
