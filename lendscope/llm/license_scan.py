@@ -3,10 +3,18 @@
 Every rolling word k-gram hash of every text is joined, in Spark, with the
 positions of the template k-grams. A hit votes for its diagonal (text position
 minus template position); neighbouring diagonals whose hits lie close together
-are merged into one span, which tolerates a few added or missing words. Each
-span is then verified against the text's own words: a base phrase must match
-word for word, a template needs ``MIN_COVER`` of its words in order. Hash
-collisions therefore never reach the result.
+are merged into one region, padded by ``PAD`` words on both sides. Each region is
+then verified against the text's own words: a base phrase must match word for
+word, a template needs ``MIN_COVER`` of its words in order. Hash collisions
+therefore never reach the result. A template's span reaches from the first to the
+last of its words; spans of one template do not overlap (fullest, then shortest,
+then first).
+
+Tolerated for certain: 1 - ``MIN_COVER`` of the words missing or replaced, and
+besides up to ``PAD`` words added in at most ``DRIFT`` places. The gram size of a
+template follows from this (``gram_size``): so few cuts always leave a whole gram.
+A license term (``TERMS``) that the template lacks names another license, so no
+span reaches over it.
 
 Templates are parameters of a fixed, small number, so their table is broadcast.
 Spans are collected by document (bounded by its length). The verified pass is a
@@ -20,6 +28,8 @@ id stays null; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
+import math
 import re
 from collections.abc import Iterator, Sequence
 
@@ -60,7 +70,11 @@ GRAM = 4
 #: Diagonals this far apart, with hits at most this many words apart, are one span.
 DRIFT = 3
 GAP = 8
+#: Words around a region that are verified too: added words move a template's ends off the diagonals of its hits.
+PAD = DRIFT + GAP
 MIN_COVER = 0.9
+#: Terms that tell the Creative Commons licenses apart
+TERMS = frozenset({b"nc", b"nd", b"sa"})
 BROADCAST_ROWS = 200_000
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -94,28 +108,77 @@ def _rolling(sizes: Sequence[int]):
     return run
 
 
-def _template_rows(templates: Sequence[tuple[str, str]]) -> list[tuple[int, int, int, int]]:
+def needed(n_words: int, min_cover: float) -> int:
+    """Words of a template of ``n_words`` that make ``min_cover``."""
+    return math.ceil(min_cover * n_words - 1e-9)
+
+
+def gram_size(n_words: int, min_cover: float) -> int:
+    """The longest gram, up to ``GRAM``, that is left whole wherever the template
+    is cut by missing words and ``DRIFT`` additions."""
+    need = needed(n_words, min_cover)
+    return max(1, min(GRAM, math.ceil(need / (n_words - need + DRIFT + 1))))
+
+
+def _gram_sizes(templates: Sequence[tuple[str, str]], n_base: int, min_cover: float) -> list[int]:
+    """Base phrases stand word for word, so only their length bounds the gram."""
+    lengths = [len(t.split()) for t, _ in templates]
+    return [min(GRAM, n) if i < n_base else gram_size(n, min_cover) for i, n in enumerate(lengths)]
+
+
+def _template_rows(templates: Sequence[tuple[str, str]], sizes: Sequence[int]) -> list[tuple[int, int, int, int]]:
     """(gram, template number, position, gram size) of every template k-gram."""
     rows = []
-    for t, (text, _) in enumerate(templates):
+    for t, ((text, _), k) in enumerate(zip(templates, sizes, strict=True)):
         h, o = hash_words([text.encode()], ALNUM)
-        k = min(GRAM, len(h))
         rows += [(int(g), t, p, k) for p, g in enumerate(_grams(h, o, k)[0])]
     return rows
 
 
-def _cover(template: list[bytes], words: list[bytes]) -> float:
-    """Share of the template's words found in order (longest common subsequence)."""
-    best = np.zeros(len(words) + 1, np.int32)
-    for t in template:
-        same = np.array([w == t for w in words], bool)
-        best[1:] = np.maximum.accumulate(np.maximum(best[1:], np.where(same, best[:-1] + 1, 0)))
-    return float(best[-1]) / len(template)
+def _places(template: list[bytes]) -> dict[bytes, list[int]]:
+    """Word -> its positions in the template, last first."""
+    out: dict[bytes, list[int]] = {}
+    for p in range(len(template) - 1, -1, -1):
+        out.setdefault(template[p], []).append(p)
+    return out
+
+
+def _matches(n: int, places: dict[bytes, list[int]], need: int, words: list[bytes],
+             offset: int) -> set[tuple[int, int, int]]:
+    """(words matched, start, end) of the stretches of ``words`` that hold ``need``
+    or more of the template's ``n`` words in order, the shortest for each end."""
+    spare, out = n - need, set()
+    # last[t][s]: latest start of a match that ends with template word t and lacks s of the words before it
+    last = [[-1] * (spare + 1) for _ in range(n)]
+    for i, w in enumerate(words):
+        if w not in places:
+            if w in TERMS:
+                last = [[-1] * (spare + 1) for _ in range(n)]
+            continue
+        for t in places[w]:
+            for s in range(min(spare, t) + 1):
+                start = i if s == t else max(last[t - 1 - j][s - j] for j in range(s + 1))
+                last[t][s] = max(last[t][s], start)
+                if start >= 0 and s + n - 1 - t <= spare:
+                    out.add((t + 1 - s, offset + start, offset + i + 1))
+    return out
+
+
+def _apart(matches: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Matches that do not overlap: the fullest first, then the shortest, then the first in the text."""
+    kept: list[tuple[int, int, int]] = []
+    for m in sorted(matches, key=lambda m: (-m[0], m[2] - m[1], m[1])):
+        at = bisect.bisect(kept, m[1], key=lambda k: k[1])
+        if (at == 0 or kept[at - 1][2] <= m[1]) and (at == len(kept) or m[2] <= kept[at][1]):
+            kept.insert(at, m)
+    return kept
 
 
 def _verify(templates: Sequence[tuple[str, str]], n_base: int, min_cover: float):
     words_of = [t.encode().split() for t, _ in templates]
     labels = [label for _, label in templates]
+    places_of = [_places(t) for t in words_of]
+    need = [needed(len(t), min_cover) for t in words_of]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -124,15 +187,18 @@ def _verify(templates: Sequence[tuple[str, str]], n_base: int, min_cover: float)
                 if not spans:
                     rows.append((doc, _count(text), 0, None, None, "", "", 0.0, []))
                     continue
-                words, places, found = _WORD.findall(text.lower()), {}, []
+                words, places, found, matches = _WORD.findall(text.lower()), {}, [], {}
                 for s in spans:
                     t, start, end = s["template"], max(0, s["start"]), min(len(words), s["end"])
                     if t < n_base:
                         if words[start:start + len(words_of[t])] == words_of[t]:
                             places[start, t] = 1
                             found.append((labels[t], start, start + len(words_of[t]), 1.0))
-                    elif (c := _cover(words_of[t], words[start:end])) >= min_cover:
-                        found.append((labels[t], start, end, c))
+                    else:
+                        matches.setdefault(t, set()).update(
+                            _matches(len(words_of[t]), places_of[t], need[t], words[start:end], start))
+                for t, m in matches.items():
+                    found += [(labels[t], start, end, n / len(words_of[t])) for n, start, end in _apart(m)]
                 starts = [p for p, _ in places]
                 base = sorted({labels[t] for _, t in places})
                 rows.append((doc, len(words), len(places), min(starts, default=None), max(starts, default=None),
@@ -150,14 +216,16 @@ def _count(text: bytes) -> int:
     return int(inside[:1].sum() + (inside[1:] & ~inside[:-1]).sum())
 
 
-def candidate_spans(docs: DataFrame, templates: Sequence[tuple[str, str]], n_base: int) -> DataFrame:
-    """Merged diagonals: doc_id, text_key, template, start, end (in words)."""
+def candidate_spans(docs: DataFrame, templates: Sequence[tuple[str, str]], n_base: int,
+                    min_cover: float = MIN_COVER) -> DataFrame:
+    """Merged diagonals: doc_id, text_key, template, start, end (in words; templates with ``PAD`` on both sides)."""
     spark = docs.sparkSession
-    known = spark.createDataFrame(_template_rows(templates), "gram long, template int, tpos int, k int")
+    sizes = _gram_sizes(templates, n_base, min_cover)
+    known = spark.createDataFrame(_template_rows(templates, sizes), "gram long, template int, tpos int, k int")
     lengths = [len(t.split()) for t, _ in templates]
     length = F.element_at(F.array(*[F.lit(n) for n in lengths]), F.col("template") + 1)
     key = ["doc_id", "text_key", "template"]
-    hits = (docs.mapInArrow(_rolling(sorted({min(GRAM, n) for n in lengths})),
+    hits = (docs.mapInArrow(_rolling(sorted(set(sizes))),
                             "doc_id long, text_key long, pos int, gram long")
             .join(F.broadcast(known), "gram")  # a few hundred template positions
             .select(*key, "pos", "k", (F.col("pos") - F.col("tpos")).alias("diagonal")).distinct())
@@ -171,9 +239,8 @@ def candidate_spans(docs: DataFrame, templates: Sequence[tuple[str, str]], n_bas
               .withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
               .withColumn("region", F.sum("new").over(by_place))
               .groupBy(*key, "region")
-              .agg(F.sum("votes").alias("votes"), F.min(F.least("lo", "diagonal")).alias("start"),
-                   F.max(F.greatest(F.col("hi"), F.col("diagonal") + length)).alias("end"))
-              # a span of MIN_COVER words in order has a run of GRAM words at least
+              .agg((F.min(F.least("lo", "diagonal")) - PAD).alias("start"),
+                   (F.max(F.greatest(F.col("hi"), F.col("diagonal") + length)) + PAD).alias("end"))
               .select(*key, "start", "end"))
     return exact.select(*key, F.col("lo").alias("start"), F.col("hi").alias("end")).unionByName(merged)
 
@@ -188,7 +255,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"),
                         text.alias("text"))
-    spans = staged(candidate_spans(keyed, both, len(base_phrases))
+    spans = staged(candidate_spans(keyed, both, len(base_phrases), min_cover)
                    .groupBy("doc_id", "text_key")
                    .agg(F.collect_list(F.struct("template", "start", "end")).alias("spans")), "spans")
     other = spans.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "spans")

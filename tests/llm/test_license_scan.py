@@ -54,3 +54,55 @@ def test_awkward_rows(awkward):
     got = ls.scan_licenses(awkward).collect()
     assert len(got) == awkward.count() and all(r.n_base == 0 for r in got)
     assert ls.scan_licenses(awkward.limit(0)).count() == 0
+
+
+def longest_common(a, b):
+    best = [0] * (len(b) + 1)
+    for x in a:
+        old = best[:]
+        for j, y in enumerate(b):
+            best[j + 1] = old[j] + 1 if x == y else max(old[j + 1], best[j])
+    return best[-1]
+
+
+def test_added_words_at_every_place_against_brute_force(docs_of):
+    rows, want = [], {}
+    for t, (text, label) in enumerate(ls.TEMPLATES):
+        w = text.split()
+        spare = len(w) - ls.needed(len(w), ls.MIN_COVER)
+        places = {1, 2, 3, len(w) // 2, len(w) - 2, len(w) - 1}
+        cuts = [[(p, n)] for p in places for n in (1, 3, ls.PAD)]
+        cuts += [[(1, 3), (len(w) // 2, 3), (len(w) - 1, 3)], [(len(w) // 3, 1), (len(w) // 2, 1), (len(w) - 2, 1)]]
+        for cut in cuts:
+            for gone in {0, spare, spare + 1}:  # dropped in the middle; one more than allowed is no longer found
+                out = [*w]
+                for p, n in sorted(cut, reverse=True):
+                    out[p:p] = ["added"] * n
+                for x in w[len(w) // 2:len(w) // 2 + gone]:
+                    out.remove(x)
+                i = t * 10_000 + len(rows)
+                rows.append((i, "so it is " + " ".join(out) + " and so on"))
+                want[i] = label, longest_common(w, rows[-1][1].split()) / len(w), out
+    got = ls.scan_licenses(docs_of(rows)).collect()
+    assert len(got) == len(rows)
+    texts = dict(rows)
+    for r in got:
+        label, cover, out = want[r.doc_id]
+        mine = [s for s in r.spans if s.label == label and s.end - s.start <= len(out)]
+        assert (label in r.labels.split(",")) == (cover >= ls.MIN_COVER), texts[r.doc_id]
+        if cover >= ls.MIN_COVER:
+            assert max(s.cover for s in mine) == cover, texts[r.doc_id]
+
+
+def test_added_words_name_no_other_license(docs_of):
+    cc = "licensed under the well known cc by {}4 0 "
+    got = {r.doc_id: r for r in ls.scan_licenses(docs_of([
+        (1, "licensed under the new apache license version 2 0"), (2, cc.format("")), (3, cc.format("nc ")),
+        (4, cc.format("nd ")), (5, cc.format("nc ") + cc.format("")),
+        (6, "licensed under cc by 4 0 licensed under cc by 4 0")])).collect()}
+    templates = {i: {s.label for s in r.spans} - {"cc-by", "apache"} for i, r in got.items()}
+    labels = {i: set(r.labels.split(",")) for i, r in got.items()}
+    assert "apache-2.0" in labels[1] and templates[1] == {"apache-2.0"}
+    assert labels[2] == {"cc-by", "cc-by-4.0"} and labels[3] == {"cc-by", "cc-by-nc-4.0"} and labels[4] == {"cc-by"}
+    assert labels[5] == {"cc-by", "cc-by-nc-4.0", "cc-by-4.0"}
+    assert [(s.start, s.end, s.cover) for s in got[6].spans if s.label == "cc-by-4.0"] == [(0, 6, 1.0), (6, 12, 1.0)]
