@@ -9,22 +9,28 @@ marginals in expectation; the largest probability is 1, hence nothing is
 repeated. The draw is a hash of the id: the same rows are kept in every run.
 
 Targets are the present shares raised to ``power`` and scaled to one (below 1:
-small sources, languages and topics gain). A caller may pass own targets by
-table. Tokens are counted as words between single spaces. The topic comes from
-fixed marks in the text (see ``TOPIC_MARKS``).
+small sources, languages and topics gain). A caller may pass own targets: for any
+of the marginals a table with one ``weight`` for each ``value``, scaled to one. A
+value that its table lacks has weight 0, and weight 0 keeps none of its documents;
+weights of values without tokens are left out and the others scaled up; a
+null, negative or infinite weight, a repeated value or weights that leave no tokens at
+all raise ValueError. Tokens are counted as words between single spaces. The topic
+comes from fixed marks in the text (see ``TOPIC_MARKS``).
 
 Only the cell table goes through the sweeps: its size follows the number of
 sources, languages and topics, not of rows. It is written before it meets the
 documents, so Spark knows its size and broadcasts it only if small.
 
 Cases: a null source, language or text is a value of its own (null text: no
-tokens, topic prose); cells without tokens have probability 1; a null
-id draws 0 and is kept; repeated rows are drawn alike; an empty table gives no rows; documents'
+tokens, topic prose); cells without tokens have probability 1, or 0 where a value has
+weight 0; a null id draws 0 and is kept unless its probability is 0; repeated rows are drawn alike; an empty table gives no rows; documents'
 other columns are kept by ``sample_to_targets``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendscope.llm.common import staged
@@ -55,18 +61,40 @@ def uniform(id_col: Column) -> Column:
                       F.lit(0.0))
 
 
-def rake(cells: DataFrame, margins=MARGINS, power: dict[str, float] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+def _weights(cells: DataFrame, margin: str, given: DataFrame) -> DataFrame:
+    """``given`` as _value and _weight, checked."""
+    out = given.select(F.col("value").cast(cells.schema[margin].dataType).alias("_value"),
+                       F.col("weight").cast("double").alias("_weight"))
+    fit = (F.col("_weight") >= 0) & (F.col("_weight") < F.lit(float("inf")))
+    bad = (out.groupBy("_value").agg(F.count(F.lit(1)).alias("n"), F.min(F.coalesce(fit, F.lit(False))).alias("fit"))
+           .where((F.col("n") > 1) | ~F.col("fit")).limit(5).collect())
+    if bad:
+        raise ValueError(f"{margin} targets need one weight >= 0 for a value: {[r['_value'] for r in bad]}")
+    return out
+
+
+def rake(cells: DataFrame, margins=MARGINS, power: dict[str, float] | None = None, sweeps: int = SWEEPS,
+         targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """``cells`` (one row per combination of ``margins``, with ``tokens``) with
-    ``mass``, the raked token mass."""
-    power = power or POWER
+    ``mass``, the raked token mass, and ``barred``, whether a given weight is 0."""
+    power, targets = power or POWER, targets or {}
+    if unknown := set(targets) - set(margins):
+        raise ValueError(f"no such marginals: {sorted(unknown)}")
     over = {m: Window.partitionBy(m) for m in margins}
-    df = cells
+    df = cells.withColumn("barred", F.lit(False))
     for m in margins:
         marginal = cells.groupBy(m).agg(F.sum("tokens").cast("double").alias("_share"))
-        part = F.when(F.col("_share") > 0, F.pow("_share", F.lit(power[m])))
-        target = marginal.select(F.col(m).alias(f"_{m}"), F.coalesce(
-            part / marginal.agg(F.sum(part)).scalar(), F.lit(0.0)).alias(f"_target_{m}"))
-        df = df.join(target, df[m].eqNullSafe(target[f"_{m}"])).drop(f"_{m}")
+        if m in targets:
+            weights = _weights(cells, m, targets[m])
+            marginal = marginal.join(weights, marginal[m].eqNullSafe(weights["_value"]), "left").drop("_value")
+            weight = F.coalesce("_weight", F.lit(0.0))
+            part, barred = F.when(F.col("_share") > 0, weight), weight == 0
+        else:
+            part, barred = F.when(F.col("_share") > 0, F.pow("_share", F.lit(power[m]))), F.lit(False)
+        target = marginal.select(F.col(m).alias(f"_{m}"), barred.alias("_barred"), F.coalesce(
+            F.try_divide(part, marginal.agg(F.sum(part)).scalar()), F.lit(0.0)).alias(f"_target_{m}"))
+        df = (df.join(target, df[m].eqNullSafe(target[f"_{m}"]))
+              .withColumn("barred", F.col("barred") | F.col("_barred")).drop(f"_{m}", "_barred"))
     df = df.withColumn("mass", F.col("tokens").cast("double"))
     for _ in range(sweeps):
         for m in margins:
@@ -77,23 +105,30 @@ def rake(cells: DataFrame, margins=MARGINS, power: dict[str, float] | None = Non
 
 
 def cell_probabilities(docs: DataFrame, source_col="source", lang_col="lang", text_col="text",
-                       power: dict[str, float] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+                       power: dict[str, float] | None = None, sweeps: int = SWEEPS,
+                       targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """source, lang, topic, tokens, mass, probability by cell."""
     cells = staged(docs.select(F.col(source_col).alias("source"), F.col(lang_col).alias("lang"),
                                topic_of(F.col(text_col)).alias("topic"), token_count(F.col(text_col)).alias("n"))
                    .groupBy("source", "lang", "topic").agg(F.sum("n").alias("tokens")), "cells")
-    raked = staged(rake(cells, power=power, sweeps=sweeps), "raked")
+    raked = staged(rake(cells, power=power, sweeps=sweeps, targets=targets), "raked")
+    if targets:
+        total = raked.agg(F.sum("tokens").alias("tokens"), F.sum("mass").alias("mass")).first()
+        if total["tokens"] and not total["mass"]:
+            raise ValueError("the target weights leave no tokens")
     ratio = F.col("mass") / F.col("tokens")
     top = raked.where(F.col("tokens") > 0).agg(F.max(ratio)).scalar()
     return raked.select(
         "source", "lang", "topic", "tokens", "mass",
-        F.when(F.col("tokens") > 0, F.round(ratio / top, 9)).otherwise(F.lit(1.0)).alias("probability"))
+        F.when(F.col("tokens") > 0, F.round(ratio / top, 9))
+        .otherwise(F.when(F.col("barred"), 0.0).otherwise(1.0)).alias("probability"))
 
 
 def sample_to_targets(docs: DataFrame, id_col="doc_id", source_col="source", lang_col="lang", text_col="text",
-                      power: dict[str, float] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+                      power: dict[str, float] | None = None, sweeps: int = SWEEPS,
+                      targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """``docs`` with mix_topic, mix_tokens, mix_probability, mix_kept."""
-    cells = staged(cell_probabilities(docs, source_col, lang_col, text_col, power, sweeps), "probabilities")
+    cells = staged(cell_probabilities(docs, source_col, lang_col, text_col, power, sweeps, targets), "probabilities")
     cells = cells.select(F.col("source").alias("_mix_s"), F.col("lang").alias("_mix_l"), F.col("topic").alias("_mix_t"),
                          F.col("probability").alias("mix_probability"))
     df = docs.withColumns({"mix_topic": topic_of(F.col(text_col)), "mix_tokens": token_count(F.col(text_col))})
@@ -103,9 +138,9 @@ def sample_to_targets(docs: DataFrame, id_col="doc_id", source_col="source", lan
             .withColumn("mix_kept", uniform(F.col(id_col)) < F.col("mix_probability")))
 
 
-def mixing_report(docs: DataFrame) -> DataFrame:
-    """The registered query: every document's cell, probability and draw."""
+def mixing_report(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The registered query (without ``targets``): every document's cell, probability and draw."""
     narrow = docs.select("doc_id", "source", "lang", "text")
-    return sample_to_targets(narrow).select(
+    return sample_to_targets(narrow, targets=targets).select(
         "doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"),
         F.round("mix_probability", 6).alias("probability"), F.col("mix_kept").alias("kept"))

@@ -69,3 +69,31 @@ def test_mixing_awkward_rows(awkward):
     assert got.count() == awkward.count() and got.columns[:len(awkward.columns)] == awkward.columns
     assert got.where("mix_probability is null or mix_probability > 1 or mix_kept is null").count() == 0
     assert mixing.sample_to_targets(awkward.limit(0)).count() == 0
+
+
+def test_given_weights_are_met(spark, docs_of):
+    many = (("hot", 1500), ("cold", 1500), (None, 600), ("gone", 100))
+    rows = [(k * 10_000 + i, "four words in all", "de" if i % 3 else "en", source)
+            for k, (source, n) in enumerate(many) for i in range(n)]
+    docs = docs_of([*rows, (90_000, "", "en", "gone"), (90_001, None, "en", "hot")])
+    source = spark.createDataFrame([("hot", 1.0), ("cold", 11.0), (None, 8.0), ("surplus", 7.0)],
+                                   "value string, weight double")
+    lang = spark.createDataFrame([("en", 3), ("de", 1)], "value string, weight int")
+    cells = mixing.cell_probabilities(docs, targets={"source": source, "lang": lang}).toPandas()
+    cells["expected"] = cells.tokens * cells.probability / (cells.tokens * cells.probability).sum()
+    for m, want in (("source", {"hot": 0.05, "cold": 0.55, None: 0.4, "gone": 0.0}), ("lang", {"en": 0.75, "de": 0.25})):
+        got = cells.assign(**{m: cells[m].where(cells[m].notna(), None)}).groupby(m, dropna=False).expected.sum()
+        assert {None if k != k else k: round(v, 6) for k, v in got.items()} == want
+    assert cells[cells.source == "gone"].probability.max() == 0 and cells.probability.max() == 1
+    kept = mixing.sample_to_targets(docs, targets={"source": source}).where("mix_kept").toPandas()
+    share = kept.groupby(kept.source.fillna("-")).mix_tokens.sum() / kept.mix_tokens.sum()
+    assert abs(share["hot"] - 0.05) < 0.02 and abs(share["-"] - 0.4) < 0.05 and "gone" not in share
+    assert mixing.sample_to_targets(docs.limit(0), targets={"source": source}).count() == 0
+
+
+@pytest.mark.parametrize("rows", [[("hot", -1.0)], [("hot", None)], [("hot", float("nan"))], [("hot", 1.0), ("hot", 2.0)],
+                                  [("hot", 0.0)], [("surplus", 1.0)]])
+def test_weights_that_cannot_be_meant(spark, docs_of, rows):
+    with pytest.raises(ValueError):
+        mixing.cell_probabilities(docs_of([(1, "some words", "en", "hot")]), sweeps=1, targets={
+            "source": spark.createDataFrame(rows, "value string, weight double")})
