@@ -5,7 +5,10 @@ language, topic); the cells' token mass is raked in turn to the three target
 marginals, each sweep scaling every cell by target / current of its source, then
 language, then topic. A document is kept with the probability of its cell,
 proportional to raked mass / tokens, so the kept tokens follow all three
-marginals in expectation; the largest probability is 1, hence nothing is
+marginals in expectation. After each ``SWEEPS`` sweeps the largest marginal error
+is taken; raking ends when it is at most ``TOLERANCE``, or when it stands still
+(targets that the cells cannot meet) or after ``ROUNDS`` rounds, and then the
+error by marginal is given as a warning. The largest probability is 1, hence nothing is
 repeated. The draw is a hash of the id: the same rows are kept in every run.
 
 Targets are the present shares raised to ``power`` and scaled to one (below 1:
@@ -29,6 +32,7 @@ other columns are kept by ``sample_to_targets``.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -37,6 +41,11 @@ from lendscope.llm.common import staged
 
 POWER = {"source": 0.95, "lang": 0.95, "topic": 0.98}
 SWEEPS = 10
+#: Largest difference between a value's share of the raked mass and its target
+TOLERANCE = 1e-6
+#: Rounds of sweeps at most. Raking can start very slowly, so only an error that stands still (to STILL) ends it before.
+ROUNDS = 50
+STILL = 1e-12
 MARGINS = ("source", "lang", "topic")
 #: (topic, mark): the first mark that a text holds names its topic
 TOPIC_MARKS = (("license", "icensed under"), ("table", " | "), ("shout", "!!"), ("contact", "@"))
@@ -96,14 +105,36 @@ def rake(cells: DataFrame, margins=MARGINS, power: dict[str, float] | None = Non
         df = (df.join(target, df[m].eqNullSafe(target[f"_{m}"]))
               .withColumn("barred", F.col("barred") | F.col("_barred")).drop(f"_{m}", "_barred"))
     df = df.withColumn("mass", F.col("tokens").cast("double"))
-    for _ in range(sweeps):
-        for m in margins:
-            now = F.sum("mass").over(over[m])
-            df = df.withColumn("mass", F.when(now > 0, F.col("mass") * F.col(f"_target_{m}") / now)
-                               .otherwise(F.col("mass")))
+    before = float("inf")
+    for _ in range(ROUNDS):
+        for _ in range(sweeps):
+            for m in margins:
+                now = F.sum("mass").over(over[m])
+                df = df.withColumn("mass", F.when(now > 0, F.col("mass") * F.col(f"_target_{m}") / now)
+                                   .otherwise(F.col("mass")))
+        df = staged(df, "swept")
+        errors = marginal_errors(df, margins)
+        error = max(errors.values())
+        if error <= TOLERANCE or abs(before - error) <= STILL:
+            break
+        before = error
+    if error > TOLERANCE:
+        warnings.warn(f"mixing targets missed by up to {errors} of the tokens", stacklevel=2)
     return df.drop(*[f"_target_{m}" for m in margins])
 
 
+def marginal_errors(raked: DataFrame, margins=MARGINS) -> dict[str, float]:
+    """By marginal, the largest difference between a share of the mass and its target."""
+    total = raked.agg(F.sum("mass")).scalar()
+    rows = None
+    for m in margins:
+        by_value = raked.groupBy(m).agg(F.sum("mass").alias("got"), F.max(f"_target_{m}").alias("want"))
+        off = F.abs(F.coalesce(F.try_divide(F.col("got"), total), F.lit(0.0)) - F.col("want"))
+        row = by_value.agg(F.lit(m).alias("margin"), F.coalesce(F.max(off), F.lit(0.0)).alias("off"))
+        rows = row if rows is None else rows.unionByName(row)
+    return {r["margin"]: r["off"] for r in rows.collect()}
+
+
 def cell_probabilities(docs: DataFrame, source_col="source", lang_col="lang", text_col="text",
                        power: dict[str, float] | None = None, sweeps: int = SWEEPS,
                        targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
@@ -111,7 +142,7 @@ def cell_probabilities(docs: DataFrame, source_col="source", lang_col="lang", te
     cells = staged(docs.select(F.col(source_col).alias("source"), F.col(lang_col).alias("lang"),
                                topic_of(F.col(text_col)).alias("topic"), token_count(F.col(text_col)).alias("n"))
                    .groupBy("source", "lang", "topic").agg(F.sum("n").alias("tokens")), "cells")
-    raked = staged(rake(cells, power=power, sweeps=sweeps, targets=targets), "raked")
+    raked = rake(cells, power=power, sweeps=sweeps, targets=targets)
     if targets:
         total = raked.agg(F.sum("tokens").alias("tokens"), F.sum("mass").alias("mass")).first()
         if total["tokens"] and not total["mass"]:

@@ -97,3 +97,35 @@ def test_weights_that_cannot_be_meant(spark, docs_of, rows):
     with pytest.raises(ValueError):
         mixing.cell_probabilities(docs_of([(1, "some words", "en", "hot")]), sweeps=1, targets={
             "source": spark.createDataFrame(rows, "value string, weight double")})
+
+
+def cells_of(spark, rows):
+    return spark.createDataFrame([(s, lang, "prose", n) for s, lang, n in rows],
+                                 "source string, lang string, topic string, tokens long")
+
+
+def test_raking_goes_on_until_the_targets_are_met(spark):
+    """A source mostly in one language: 10 sweeps leave the source 0.0008 off."""
+    cells = cells_of(spark, [("a", "en", 10_000), ("a", "de", 1_000), ("b", "en", 1_000), ("b", "de", 10_000)])
+    targets = {m: spark.createDataFrame(w, "value string, weight double") for m, w in (
+        ("source", [("a", 0.5), ("b", 0.5)]), ("lang", [("en", 0.45), ("de", 0.55)]))}
+    raked = mixing.rake(cells, targets=targets).toPandas()
+    assert abs(raked.groupby("source").mass.sum() - [0.5, 0.5]).max() < 1e-6
+    assert abs(raked.groupby("lang").mass.sum()[["en", "de"]] - [0.45, 0.55]).max() < 1e-6
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    cells = cells_of(spark, [("a", "en", 100), ("b", "de", 100)])
+    targets = {m: spark.createDataFrame(w, "value string, weight double") for m, w in (
+        ("source", [("a", 0.9), ("b", 0.1)]), ("lang", [("en", 0.2), ("de", 0.8)]))}
+    with pytest.warns(UserWarning, match="source': 0.7"):
+        mixing.rake(cells, targets=targets).collect()
+
+
+def test_the_production_setting_meets_all_marginals(spark, recwarn):
+    cells = mixing.cell_probabilities(spark.read.parquet(f"{SF}/documents.parquet")).toPandas()
+    for m in mixing.MARGINS:
+        share = cells.groupby(m).tokens.sum() ** mixing.POWER[m]
+        got = cells.groupby(m).mass.sum()
+        assert abs(got / got.sum() - share / share.sum()).max() < mixing.TOLERANCE
+    assert not [w for w in recwarn if "mixing targets" in str(w.message)]
