@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import (embedding_dedup, exact_dedup, language_id, license_scan, lm_score, minhash_dedup, mixing,
-                           packing, toxicity, url_filter)
+from lendscope.llm import (decontaminate, embedding_dedup, embedding_whitening, exact_dedup, language_id, license_scan,
+                           lm_score, merkle_manifest, minhash_dedup, mixing, packing, toxicity, url_filter)
 from lendscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +53,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.tamper_report(table(spark, sf_dir, "documents"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Query]:
-    found = [op1_lm_score, op2_license_scan, op3_minhash_dedup, op4_embedding_dedup, op5_url_filter, op6_exact_dedup, op7_language_id, op8_mixing, op9_packing, op10_toxicity]
+    found = [op1_lm_score, op2_license_scan, op3_minhash_dedup, op4_embedding_dedup, op5_url_filter, op6_exact_dedup,
+             op7_language_id, op8_mixing, op9_packing, op10_toxicity, op11_embedding_whitening, op12_merkle_manifest,
+             op13_decontaminate]
     return {q.__name__: q for q in found}
 
 
