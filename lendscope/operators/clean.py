@@ -56,6 +56,15 @@ def ingest_stamp(df: DataFrame, ingest_ts=None, name: str = "ingest_date") -> Da
     return df.withColumns({name: lit_timestamp(ingest_ts)})
 
 
+def with_lineage(read: DataFrame) -> DataFrame:
+    """Append where each row of a file scan comes from, as the reader knows it:
+    file, its modification time and the block's start. Taken from the scan's own
+    metadata, so it costs no listing; call it on the scan itself."""
+    m = F.col("_metadata")
+    return read.withColumns({"source_file": m["file_path"], "source_modified": m["file_modification_time"],
+                             "source_block_start": m["file_block_start"]})
+
+
 def dedup_rows(df: DataFrame) -> DataFrame:
     """Drop rows that are equal in every column."""
     return df.dropDuplicates()

@@ -88,3 +88,25 @@ def lookup_key(df: DataFrame, value, key: str = "member_id") -> DataFrame:
     """Rows whose key equals ``value`` (a literal, or a scalar-subquery Column such
     as ``ids.agg(F.min("member_id")).scalar()``)."""
     return df.where(F.col(key) == value)
+
+
+def key_collisions(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Keys that rows with different ``columns`` share: key, n_rows.
+
+    A key has one set of values exactly if the least and the greatest struct of
+    them are equal, so nothing is collected and a hot key is one partial row per
+    map task. (NULLs order first in a struct, and equal NULLs are equal.)"""
+    values = F.struct(*columns)
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), F.min(values).alias("least"),
+                                F.max(values).alias("most"))
+            .where(~F.col("least").eqNullSafe(F.col("most"))).select(key, "n_rows"))
+
+
+def key_audit(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row: rows, keys, keys of several rows, keys of different rows, rows of those."""
+    values = F.struct(*columns)
+    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
+                              (~F.min(values).eqNullSafe(F.max(values))).alias("differ"))
+    return per.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
+                   F.count_if(F.col("n") > 1).alias("n_shared"), F.count_if("differ").alias("n_collisions"),
+                   F.coalesce(F.sum(F.when(F.col("differ"), F.col("n"))), F.lit(0)).alias("n_colliding_rows"))

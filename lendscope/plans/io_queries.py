@@ -10,10 +10,10 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lendscope import schemas
-from lendscope.operators import clean
+from lendscope.operators import clean, profile, quarantine
 from lendscope.operators.split import split_loans_source
 from lendscope.plans.frames import FIXED_INGEST_TS, FrameStore, LendingFrames
 from lendscope.session import scratch_path
@@ -41,9 +41,14 @@ def scan_csv_inferred(f: LendingFrames) -> DataFrame:
 
 
 def sink_csv_single_file(f: LendingFrames) -> DataFrame:
-    """The duplicate-id report as one CSV file (a small report for people)."""
-    path = write_csv(f.dup_ids, _path(f.spark, "duplicate_member_ids_report"), single_file=True, line_breaks=" ")
-    return read_csv_strings(f.spark, path)
+    """A report for people as one CSV file: how many members are duplicated, by
+    table. It has a line per table whatever the input; the id list itself is
+    written partitioned."""
+    counts = quarantine.duplicate_counts(f.quarantine_sources)
+    report = profile.metric_rows(counts, "duplicate_member_ids", {
+        name: F.count_if(F.col(f"n_{name}") > 1) for name in f.quarantine_sources} | {"any": F.count(F.lit(1))})
+    path = write_csv(report, _path(f.spark, "duplicate_member_ids_report"), single_file=True, line_breaks=" ")
+    return read_csv_inferred(f.spark, path)
 
 
 def scan_csv_schema(f: LendingFrames) -> DataFrame:
@@ -128,15 +133,21 @@ def consolidated_view_sql(f: LendingFrames) -> DataFrame:
 
 
 def database_introspection(f: LendingFrames) -> DataFrame:
-    """SHOW DATABASES and DESCRIBE DATABASE EXTENDED of a database just created:
-    whether it is listed, and which items its description has."""
+    """SHOW DATABASES, DESCRIBE DATABASE EXTENDED and SHOW TABLES of a database into
+    which the cleaned tables were just published: whether it is listed, which items
+    its description has, how many tables it lists and how many rows they hold."""
+    from lendscope.plans.staged import CLEAN_TABLES
     db = _db(f.spark, "lendscope_info")
+    _publish_clean_tables(f, db)
     listed = catalog.show_databases(f.spark).where(F.col("namespace") == db).agg(
         (F.count(F.lit(1)) == 1).alias("listed")).scalar()
+    tables = catalog.show_tables(f.spark, db).agg(F.count(F.lit(1)).alias("n_tables")).scalar()
+    rows = reduce(lambda a, b: a + b, [catalog.scan_table(f.spark, f"{db}.{t}").agg(F.count(F.lit(1))).scalar()
+                                       for t in CLEAN_TABLES])
     info = catalog.describe_database(f.spark, db).where(
         F.col("info_name").isin("Namespace Name", "Location"))
     return info.select("info_name", F.contains("info_value", F.lit(db)).alias("names_database"),
-                       listed.alias("listed"))
+                       listed.alias("listed"), tables.alias("n_tables"), rows.alias("n_rows"))
 
 
 def catalog_tables(f: LendingFrames) -> DataFrame:
@@ -148,11 +159,14 @@ def catalog_tables(f: LendingFrames) -> DataFrame:
     _publish_clean_tables(f, db)
     view_sql = catalog.consolidated_view_sql(db)
     catalog.create_or_replace_view(spark, db, "customers_loan_v", view_sql)
-    catalog.snapshot_table(spark.sql(view_sql), db, "customers_loan_t", _path(spark, "catalog-customers_loan_t"))
-    names = list(CLEAN_TABLES) + ["customers_loan_v", "customers_loan_t"]
+    seen = Observation()  # the view's rows are counted while the snapshot is written from it
+    view = spark.table(f"`{db}`.`customers_loan_v`").observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    catalog.snapshot_table(view, db, "customers_loan_t", _path(spark, "catalog-customers_loan_t"))
+    names = list(CLEAN_TABLES) + ["customers_loan_t"]
     counts = reduce(lambda a, b: a.unionByName(b), [
         catalog.scan_table(spark, f"{db}.{n}").agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(n).alias("tableName"), "n_rows") for n in names])
+        .select(F.lit(n).alias("tableName"), "n_rows") for n in names]
+        + [spark.createDataFrame([("customers_loan_v", seen.get["n_rows"])], "tableName string, n_rows bigint")])
     listed = catalog.show_tables(spark, db).where(F.col("isTemporary") == F.lit(False))
     return listed.select("tableName", "isTemporary").join(counts, "tableName")
 

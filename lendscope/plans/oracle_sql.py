@@ -489,13 +489,13 @@ FROM customers_clean""", "customers_clean")
     q["consolidated_snapshot"] = _all("consolidated")
     q["consolidated_view_sql"] = _all("consolidated")
     q["not_in_null_list"] = with_ctes(
-        "SELECT * FROM customers_raw WHERE addr_state NOT IN (SELECT left(n_name, 2) FROM nation WHERE n_nationkey < 5 "
+        "SELECT * FROM customers_raw WHERE addr_state NOT IN (SELECT left(n_name, 2) FROM nation "
         "UNION ALL SELECT NULL)", "customers_raw")
     q["not_in_empty_list"] = with_ctes(
         "SELECT * FROM customers_raw WHERE addr_state NOT IN (SELECT n_name FROM nation WHERE n_name IS NULL)",
         "customers_raw")
     q["not_in_states"] = with_ctes(
-        "SELECT * FROM customers_raw WHERE addr_state NOT IN (SELECT left(n_name, 2) FROM nation WHERE n_nationkey < 5 "
+        "SELECT * FROM customers_raw WHERE addr_state NOT IN (SELECT left(n_name, 2) FROM nation "
         "UNION ALL SELECT 'NA')", "customers_raw")
     for key, src in (("top_customers_by_count", "customers_clean"), ("top_delinq_by_count", "delinq_t")):
         q[key] = with_ctes(f"SELECT member_id, count(*) AS totalCount FROM {src} GROUP BY member_id "
@@ -505,8 +505,11 @@ FROM customers_clean""", "customers_clean")
         "customers_clean", "dup_customers")
     q["lookup_duplicate_delinq"] = with_ctes(
         "SELECT * FROM delinq_t WHERE member_id = (SELECT min(member_id) FROM dup_delinq)", "delinq_t", "dup_delinq")
-    q["database_introspection"] = """
-SELECT unnest(['Namespace Name', 'Location']) AS info_name, true AS names_database, true AS listed"""
+    q["database_introspection"] = with_ctes("""
+SELECT unnest(['Namespace Name', 'Location']) AS info_name, true AS names_database, true AS listed,
+       5::BIGINT AS n_tables, (SELECT count(*) FROM customers_clean) + (SELECT count(*) FROM loans_clean)
+       + (SELECT count(*) FROM repayments_clean) + (SELECT count(*) FROM delinq_t) + (SELECT count(*) FROM details_t)
+       AS n_rows""", "customers_clean", "loans_clean", "repayments_clean", "delinq_t", "details_t")
 
     q["score_payment_history"] = _all("payment_history")
     q["score_defaulter_pts"] = _all("ldh")
@@ -532,7 +535,11 @@ FROM loans_c JOIN customers_c USING (member_id)""", "loans_c", "customers_c", "l
 
     # io round trips compare against the SQL of what was written
     q["scan_csv_inferred"] = _all("dup_ids")
-    q["sink_csv_single_file"] = _all("dup_ids")
+    q["sink_csv_single_file"] = with_ctes("""
+SELECT 'duplicate_member_ids' AS table_name, 'customers' AS metric, count(*)::INTEGER AS value FROM dup_customers
+UNION ALL SELECT 'duplicate_member_ids', 'loans_defaulters_delinq', count(*)::INTEGER FROM dup_delinq
+UNION ALL SELECT 'duplicate_member_ids', 'loans_defaulters_details', count(*)::INTEGER FROM dup_details
+UNION ALL SELECT 'duplicate_member_ids', 'any', count(*)::INTEGER FROM dup_ids""", "dup_ids")
     q["scan_csv_schema"] = _all("loans_raw")
     q["scan_csv_strings"] = with_ctes(
         f"SELECT id AS loan_id, name_sha2 AS member_id, {_hop('term', 'issue_d', 'loan_status', 'purpose', 'title', 'last_pymnt_d', 'next_pymnt_d')} "
@@ -552,4 +559,5 @@ UNION ALL SELECT 'customers_loan_v', false, count(*) FROM consolidated
 UNION ALL SELECT 'customers_loan_t', false, count(*) FROM consolidated""",
         "customers_clean", "loans_clean", "repayments_clean", "delinq_t", "details_t", "consolidated")
     q["ingest_stamp"] = with_ctes(f"SELECT *, {TS} AS ingest_date FROM repayments_raw", "repayments_raw")
-    return q
+    from lendscope.plans import lifecycle_sql
+    return q | lifecycle_sql.queries()

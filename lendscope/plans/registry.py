@@ -39,9 +39,10 @@ def _one(attr_or_build) -> _Narrow:
     return _Narrow(_f(attr_or_build) if isinstance(attr_or_build, str) else attr_or_build)
 
 
-def _quality(f: LendingFrames) -> DataFrame:
+def quality_metrics(f: LendingFrames) -> dict[str, tuple[DataFrame, dict]]:
+    """The tables whose quality is counted, each with its counts."""
     c = F.col
-    return profile.quality_counts({
+    return {
         "loans": (f.loans_raw, {
             "rows": F.count(F.lit(1)), "null_loan_amount": F.count_if(c("loan_amount").isNull())}),
         "loans_repayments": (f.repayments_raw, {
@@ -60,7 +61,11 @@ def _quality(f: LendingFrames) -> DataFrame:
             **{f"in_{name}": F.count_if(c(f"n_{name}") > 1) for name in f.quarantine_sources},
             "rows": F.count(F.lit(1)),
         }),
-    })
+    }
+
+
+def _quality(f: LendingFrames) -> DataFrame:
+    return profile.quality_counts(quality_metrics(f))
 
 
 def _not_in_nations(f: LendingFrames) -> DataFrame:
@@ -80,7 +85,7 @@ def _credit_limit(f: LendingFrames) -> DataFrame:
 
 def _not_in_states(f: LendingFrames, extra) -> DataFrame:
     """States not in the list of the nations' codes plus ``extra``."""
-    codes = read_table(f.spark, f.sf_dir, "nation").where("n_nationkey < 5").select(F.substring("n_name", 1, 2).alias("v"))
+    codes = read_table(f.spark, f.sf_dir, "nation").select(F.substring("n_name", 1, 2).alias("v"))
     return quarantine.not_in(f.customers_raw, codes.unionByName(f.spark.range(1).select(extra.alias("v"))),
                              "addr_state", "v")
 
@@ -91,18 +96,13 @@ CONF_RULES = {"spark.sql.excellent_rated_pts": "900", "spark.sql.good_grade_pts"
 
 
 def _score_with_conf_rules(f: LendingFrames) -> DataFrame:
-    """The graded score under rules named in the session conf; the conf is put back."""
-    conf, before = f.spark.conf, {}
-    try:
-        for k, v in CONF_RULES.items():
-            before[k] = conf.get(k, None)
-            conf.set(k, v)
-        rules = ScoreRules.from_conf(f.spark)
-    finally:
-        for k, v in before.items():
-            conf.unset(k) if v is None else conf.set(k, v)
+    """The graded score under rules named in a session's conf: a session of its own,
+    so that other threads' queries never see them."""
+    session = f.spark.newSession()
+    for k, v in CONF_RULES.items():
+        session.conf.set(k, v)
     return score.loan_score_grades(f.repayments, f.loans, f.details_table, f.delinq_table, f.customers, f.dup_ids,
-                                   rules)
+                                   ScoreRules.from_conf(session))
 
 
 def core_builds() -> dict[str, Build | _Narrow]:
@@ -200,5 +200,6 @@ def all_queries(store: FrameStore | None = None) -> dict[str, Query]:
     """All registered queries over the frame graphs of ``store`` (the caller's; a
     new one by default)."""
     from lendscope.plans.io_queries import io_queries
+    from lendscope.plans.lifecycle_queries import lifecycle_queries
     store = store or FrameStore()
-    return core_queries(store) | io_queries(store)
+    return core_queries(store) | io_queries(store) | lifecycle_queries(store)

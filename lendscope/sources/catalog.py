@@ -9,24 +9,28 @@ directory's default warehouse.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from lendscope.operators.consolidate import (
     CUSTOMER_COLS, DELINQ_COLS, DETAIL_COLS, LOAN_COLS, REPAYMENT_COLS,
 )
 
 
-def _q(name: str) -> str:
+def quoted(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def _literal(text: str) -> str:
+def literal(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def create_database(spark: SparkSession, db: str, location: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(db)} LOCATION {_literal(location)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(db)} LOCATION {literal(location)}")
 
 
 def create_external_table(spark: SparkSession, db: str, table: str, ddl: str, location: str) -> str:
@@ -36,8 +40,8 @@ def create_external_table(spark: SparkSession, db: str, table: str, ddl: str, lo
     files reads as NULL.
     """
     name = f"{db}.{table}"
-    spark.sql(f"DROP TABLE IF EXISTS {_q(name)}")
-    spark.sql(f"CREATE TABLE {_q(name)} ({ddl}) USING parquet LOCATION {_literal(location)}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+    spark.sql(f"CREATE TABLE {quoted(name)} ({ddl}) USING parquet LOCATION {literal(location)}")
     return name
 
 
@@ -57,7 +61,7 @@ def consolidated_view_sql(db: str, customers="customers", loans="loans", repayme
     :func:`lendscope.operators.consolidate.left_join_splittable`: an inner join,
     which adaptive execution can split where one member has very many loans,
     plus the customers without a loan."""
-    t = lambda n: _q(f"{db}.{n}")
+    t = lambda n: quoted(f"{db}.{n}")
     customer, loan = ", ".join(f"c.{x}" for x in CUSTOMER_COLS), ", ".join(f"l.{x}" for x in LOAN_COLS)
     padding = ", ".join(f"NULL AS {x}" for x in LOAN_COLS)
     rest = ", ".join([f"r.{x}" for x in REPAYMENT_COLS] + [f"d.{x}" for x in DELINQ_COLS]
@@ -76,7 +80,7 @@ def consolidated_view_sql(db: str, customers="customers", loans="loans", repayme
 def create_or_replace_view(spark: SparkSession, db: str, view: str, select_sql: str) -> str:
     """Persistent (lazy) view: always reads the current table contents."""
     name = f"{db}.{view}"
-    spark.sql(f"CREATE OR REPLACE VIEW {_q(name)} AS {select_sql}")
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS {select_sql}")
     return name
 
 
@@ -89,7 +93,7 @@ def snapshot_table(df: DataFrame, db: str, table: str, location: str) -> str:
     """
     name = f"{db}.{table}"
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {_q(name)}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
     df.write.mode("overwrite").format("parquet").option("path", location).saveAsTable(name)
     return name
 
@@ -106,20 +110,79 @@ def save_bucketed_table(df: DataFrame, db: str, table: str, location: str, key:
     """
     name = f"{db}.{table}"
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {_q(name)}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
     (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
      .bucketBy(buckets, key).sortBy(key).option("path", location).saveAsTable(name))
     return name
 
 
+def publish_version(df: DataFrame, db: str, table: str, ddl: str, base: str) -> str:
+    """Write ``df`` as a new version of ``db.table`` below ``base`` and then switch.
+
+    The files go to a folder of their own; only when they are whole, and hold
+    every declared column, does the table's location change, which is one catalog
+    operation. A write that fails leaves the table as it was, and DataFrames that
+    were made before the switch go on reading the old files (see
+    :func:`drop_old_versions`). Returns the new location."""
+    spark, name = df.sparkSession, f"{db}.{table}"
+    location = f"{base.rstrip('/')}/{table}/version-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(location)
+    declared = [f.name for f in StructType.fromDDL(ddl).fields]
+    missing = set(declared) - set(spark.read.parquet(location).columns)
+    if missing:
+        raise ValueError(f"{name}: the new version lacks {sorted(missing)}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION {literal(location)}")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"CREATE TABLE {quoted(name)} ({ddl}) USING parquet LOCATION {literal(location)}")
+    return location
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").where("col_name = 'Location'").select("data_type")
+    return rows.first()[0]
+
+
+def drop_old_versions(spark: SparkSession, db: str, table: str, base: str) -> int:
+    """Delete every version of the table but the one it points at; the number deleted."""
+    now = table_location(spark, f"{db}.{table}").rstrip("/").rpartition("/")[2]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{table}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName() != now]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
+@dataclass(frozen=True)
+class ColumnStats:
+    column: str
+    type: str
+    nulls: int
+    distinct: int  # an estimate
+
+
+def column_statistics(spark: SparkSession, name: str) -> list[ColumnStats]:
+    """The table's columns with the catalog's statistics, computed first (one
+    aggregation over the table) and then read back by DESCRIBE, column by column."""
+    spark.sql(f"ANALYZE TABLE {quoted(name)} COMPUTE STATISTICS FOR ALL COLUMNS")
+    found = []
+    for field in spark.table(name).schema.fields:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)} {quoted(field.name)}").collect()  # a few lines each
+        info = {r.info_name: r.info_value for r in rows}
+        found.append(ColumnStats(info["col_name"], info["data_type"], int(info["num_nulls"]), int(info["distinct_count"])))
+    return found
+
+
 def show_databases(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW DATABASES")
 
 
 def describe_database(spark: SparkSession, db: str) -> DataFrame:
     """Name, location and properties of ``db`` (info_name, info_value rows)."""
-    return spark.sql(f"DESCRIBE DATABASE EXTENDED {_q(db)}")
+    return spark.sql(f"DESCRIBE DATABASE EXTENDED {quoted(db)}")
 
 
 def show_tables(spark: SparkSession, db: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {_q(db)}")
+    return spark.sql(f"SHOW TABLES IN {quoted(db)}")

@@ -14,7 +14,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -62,5 +62,22 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_parquet_counted(df: DataFrame, path: str, metrics: dict[str, Column]) -> dict:
+    """Write ``df`` and take the aggregate ``metrics`` of its rows in the same pass
+    (an observation on the write): no job of their own, no second read."""
+    seen = Observation()
+    df.observe(seen, *[c.alias(name) for name, c in metrics.items()]).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def write_lookup_table(df: DataFrame, path: str, key: str) -> str:
+    """Parquet files for lookups by ``key``: range-sorted, so that a file's least and
+    greatest key exclude most files, with a Bloom filter per row group, which
+    excludes the rest for an equality."""
+    (df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite")
+     .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
+    return path
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
