@@ -23,8 +23,9 @@ _BLANKS = "".join(map(chr, range(33)))
 def csv_value(c: Column, source_type: str, target_type: str) -> Column:
     """``c`` as a typed CSV reader would give it back."""
     if source_type == "string":
-        c = F.btrim(c, F.lit(_BLANKS))
-        c = F.when(F.length(c) > 0, c)
+        # most cells need no trimming: their first and last characters tell
+        outer = (c < F.lit("!")) | (F.right(c, F.lit(1)) < F.lit("!"))
+        c = F.when(outer, F.nullif(F.btrim(c, F.lit(_BLANKS)), F.lit(""))).otherwise(c)
     return c if source_type == target_type else c.try_cast(target_type)
 
 
