@@ -136,9 +136,11 @@ def loans_before_categories(loans_raw: DataFrame, ingest_ts=None) -> DataFrame:
     return term_to_years(df)
 
 
-def clean_loans(loans_raw: DataFrame, ingest_ts=None) -> DataFrame:
-    """stamp -> dropna(8 columns) -> term in years -> purpose outside the list => 'other'."""
-    return categorise_purpose(loans_before_categories(loans_raw, ingest_ts))
+def clean_loans(loans_raw: DataFrame, ingest_ts=None, dedup: bool = False) -> DataFrame:
+    """stamp -> dropna(8 columns) -> term in years -> purpose outside the list => 'other'.
+    ``dedup`` (default: no, as in the flow) drops rows that are equal in every column first."""
+    rows = dedup_rows(loans_raw) if dedup else loans_raw
+    return categorise_purpose(loans_before_categories(rows, ingest_ts))
 
 
 # --- repayments --------------------------------------------------------------
@@ -157,8 +159,8 @@ def nullify_zero_dates(df: DataFrame, columns=("last_payment_date", "next_paymen
     return df.withColumns({c: zero_sentinel_to_null(c) for c in columns})
 
 
-def clean_repayments(repayments_raw: DataFrame, ingest_ts=None) -> DataFrame:
-    df = ingest_stamp(repayments_raw, ingest_ts)
+def clean_repayments(repayments_raw: DataFrame, ingest_ts=None, dedup: bool = False) -> DataFrame:
+    df = ingest_stamp(dedup_rows(repayments_raw) if dedup else repayments_raw, ingest_ts)
     df = dropna_subset(df, REPAYMENT_REQUIRED)
     df = repair_total_payment(df)
     return nullify_zero_dates(df)
@@ -172,8 +174,11 @@ def fill_defaulter_counts(defaulters_raw: DataFrame, columns=DEFAULTER_COUNTS) -
         {c: F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in columns})
 
 
-def stamped_defaulters(defaulters_raw: DataFrame, ingest_ts=None) -> DataFrame:
-    return ingest_stamp(fill_defaulter_counts(defaulters_raw), ingest_ts)
+def stamped_defaulters(defaulters_raw: DataFrame, ingest_ts=None, dedup: bool = False) -> DataFrame:
+    """With ``dedup`` a member that is repeated with equal values is one row, and so
+    no longer a duplicate id for the quarantine."""
+    rows = dedup_rows(defaulters_raw) if dedup else defaulters_raw
+    return ingest_stamp(fill_defaulter_counts(rows), ingest_ts)
 
 
 def delinquent_members(defaulters: DataFrame) -> DataFrame:

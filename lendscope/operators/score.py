@@ -127,11 +127,15 @@ def payment_history(repayments: DataFrame, loans: DataFrame, quarantined: DataFr
 
 
 def defaulter_history(ph: DataFrame, details: DataFrame, delinq: DataFrame,
-                      r: ScoreRules = DEFAULT_RULES) -> DataFrame:
-    """Payment history plus the four defaulter counters' points (inner joins on member_id)."""
+                      r: ScoreRules = DEFAULT_RULES, delinq_join: str = "inner") -> DataFrame:
+    """Payment history plus the four defaulter counters' points (joins on member_id).
+
+    The delinquency table holds only members with a delinquency, so the inner join
+    scores nobody else. With ``delinq_join="left"`` members without a record are
+    kept, and get the points that the rules give a NULL counter."""
     e = details.select("member_id", "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
     d = delinq.select("member_id", "delinq_2yrs")
-    j = ph.join(e, "member_id").join(d, "member_id")
+    j = ph.join(e, "member_id").join(d, "member_id", delinq_join)
     return j.select(
         *[F.col(c) for c in ph.columns],
         counter_points(F.col("delinq_2yrs"), r.delinq_over_5, r).alias("delinq_pts"),

@@ -42,20 +42,22 @@ class LendingFrames:
 
     def __init__(self, spark: SparkSession, sf_dir: str, ingest_ts=FIXED_INGEST_TS,
                  rules: ScoreRules = DEFAULT_RULES, materialize_wide: bool = True,
-                 repartition: int | None = None):
+                 repartition: int | None = None, dedup: bool = False, delinq_join: str = "inner"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.ingest_ts = ingest_ts
         self.rules = rules
         self.materialize_wide = materialize_wide
         self.repartition = repartition
+        self.dedup = dedup
+        self.delinq_join = delinq_join
         self._write_lock = threading.RLock()
         self._written: dict[str, DataFrame] = {}
 
     @cached_property
     def _lazy(self) -> "LendingFrames":
         return LendingFrames(self.spark, self.sf_dir, self.ingest_ts, self.rules, materialize_wide=False,
-                             repartition=self.repartition)
+                             repartition=self.repartition, dedup=self.dedup, delinq_join=self.delinq_join)
 
     @property
     def narrow(self) -> "LendingFrames":
@@ -123,15 +125,15 @@ class LendingFrames:
 
     @cached_property
     def loans(self) -> DataFrame:
-        return clean.clean_loans(self.loans_raw, self.ingest_ts)
+        return clean.clean_loans(self.loans_raw, self.ingest_ts, self.dedup)
 
     @cached_property
     def repayments(self) -> DataFrame:
-        return clean.clean_repayments(self.repayments_raw, self.ingest_ts)
+        return clean.clean_repayments(self.repayments_raw, self.ingest_ts, self.dedup)
 
     @cached_property
     def defaulters(self) -> DataFrame:
-        return clean.stamped_defaulters(self.defaulters_raw, self.ingest_ts)
+        return clean.stamped_defaulters(self.defaulters_raw, self.ingest_ts, self.dedup)
 
     @cached_property
     def delinq(self) -> DataFrame:
@@ -211,11 +213,13 @@ class LendingFrames:
 
     @cached_property
     def defaulter_history(self) -> DataFrame:
-        return score.defaulter_history(self.payment_history, self.details_table, self.delinq_table, self.rules)
+        return score.defaulter_history(self.payment_history, self.details_table, self.delinq_table, self.rules,
+                                       self.delinq_join)
 
     @cached_property
     def financial_health(self) -> DataFrame:
-        carried = score.defaulter_history(self._carried_history, self.details_table, self.delinq_table, self.rules)
+        carried = score.defaulter_history(self._carried_history, self.details_table, self.delinq_table, self.rules,
+                                          self.delinq_join)
         return score.financial_health(carried, None, self.customers, None, self.rules)
 
     @cached_property

@@ -13,13 +13,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendscope import schemas
-from lendscope.operators import clean, factorised, profile
+from lendscope.operators import clean, factorised, profile, quarantine
 from lendscope.operators.quarantine_state import QuarantineState
 from lendscope.plans.frames import FrameStore, LendingFrames
 from lendscope.plans.io_queries import _db, _path
 from lendscope.rules import MEMBER_KEY_COLUMNS
 from lendscope.sources import catalog, ingest
-from lendscope.sources.files import write_lookup_table, write_parquet, write_parquet_counted
+from lendscope.sources.files import (
+    read_csv_schema, read_parquet, write_csv, write_lookup_table, write_parquet, write_parquet_counted,
+)
 from lendscope.sources.refresh import Snapshot, ViewInputs
 
 #: Broken lines of the wide CSV: order keys with these remainders of ``FAULT_EVERY``
@@ -240,8 +242,38 @@ def score_sql_variables(f: LendingFrames) -> DataFrame:
                         tag=uuid.uuid4().hex[:12])
 
 
+def _variant(f: LendingFrames, **options) -> LendingFrames:
+    """The same wide rows under other options of the flow."""
+    return LendingFrames(f.spark, f.sf_dir, f.ingest_ts, f.rules, materialize_wide=False, **options).use(
+        keyed=f.keyed, customers=f.customers)
+
+
+def score_with_left_delinq(f: LendingFrames) -> DataFrame:
+    """The graded score, members without a delinquency record included."""
+    return _variant(f, delinq_join="left").score
+
+
+def duplicate_member_ids_dedup(f: LendingFrames) -> DataFrame:
+    """The quarantined ids when repeated rows of the defaulters are dropped first."""
+    return _variant(f, dedup=True).dup_ids
+
+
+def duplicate_reports(f: LendingFrames) -> DataFrame:
+    """The three duplicate reports written as CSV (ids partitioned, from one
+    aggregation) and read back, with the table each id is duplicated in."""
+    spark, sources = f.spark, f.quarantine_sources
+    counts = read_parquet(spark, write_parquet(quarantine.duplicate_counts(sources), _path(spark, "duplicate_counts")))
+    reports = []
+    for name in sources:
+        ids = counts.where(F.col(f"n_{name}") > 1).select("member_id")
+        path = write_csv(ids, _path(spark, f"{name}_duplicates"))
+        reports.append(read_csv_schema(spark, path, "member_id string").withColumn("table_name", F.lit(name)))
+    return reduce(lambda a, b: a.unionByName(b), reports)
+
+
 def lifecycle_queries(store: FrameStore) -> dict:
     found = [ingest_wide_csv, ingest_rejected_lines, factorised_totals, factorised_view, factorised_members,
              snapshot_refresh, quarantine_loads, quarantine_after_loads, quality_counts_on_write, publish_versions,
-             key_audit, key_collisions, column_statistics, ingest_lineage, lookup_member_indexed, score_sql_variables]
+             key_audit, key_collisions, column_statistics, ingest_lineage, lookup_member_indexed, score_sql_variables,
+             score_with_left_delinq, duplicate_member_ids_dedup, duplicate_reports]
     return {q.__name__: (lambda spark, sf_dir, q=q: q(store.frames(spark, sf_dir))) for q in found}

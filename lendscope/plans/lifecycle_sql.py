@@ -105,4 +105,15 @@ GROUP BY ALL HAVING count(DISTINCT row({values})) > 1""", "keyed")
         "FROM keyed GROUP BY ALL", "keyed")
     q["lookup_member_indexed"] = with_ctes("SELECT * FROM keyed WHERE name_sha2 = sha256('')", "keyed")
     q["score_sql_variables"] = _all("graded")
+    q["score_with_left_delinq"] = _all("graded_left")
+    q["duplicate_member_ids_dedup"] = with_ctes("""
+SELECT member_id FROM dup_customers
+UNION SELECT member_id FROM (SELECT DISTINCT * FROM defaulters_raw) WHERE coalesce(trunc(delinq_2yrs), 0) > 0
+  OR mths_since_last_delinq > 0 GROUP BY member_id HAVING count(*) > 1
+UNION SELECT member_id FROM (SELECT DISTINCT * FROM defaulters_raw) GROUP BY member_id HAVING count(*) > 1""",
+        "dup_customers", "defaulters_raw")
+    q["duplicate_reports"] = with_ctes("""
+SELECT member_id, 'customers' AS table_name FROM dup_customers
+UNION ALL SELECT member_id, 'loans_defaulters_delinq' FROM dup_delinq
+UNION ALL SELECT member_id, 'loans_defaulters_details' FROM dup_details""", "dup_ids")
     return q

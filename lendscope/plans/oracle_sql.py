@@ -297,7 +297,7 @@ DEFAULT_POINTS = {"unacceptable": 0, "very_bad": 100, "bad": 250, "good": 500, "
                   "grade_f": 750, "grade_e": 1000, "grade_d": 1500, "grade_c": 2000, "grade_b": 2500}
 
 
-def _score_ctes(tag: str, p: dict[str, int]) -> None:
+def _score_ctes(tag: str, p: dict[str, int], delinq: str = "JOIN") -> None:
     """The score's rule tables and steps under points ``p``; names end in ``tag``."""
     # ratio of funded amount to credit limit: (above, up to]
     _cte(f"limit_band{tag}", (), f"""
@@ -342,7 +342,7 @@ SELECT * EXCLUDE (delinq_2yrs, delinq_amnt, mths_since_last_delinq, pub_rec, pub
   {banded('delinq_2yrs', p['grade_f'])} AS delinq_pts, {banded('pub_rec', p['very_bad'])} AS public_records_pts,
   {banded('pub_rec_bankruptcies', p['very_bad'])} AS public_bankruptcies_pts,
   {banded('inq_last_6mths', p['unacceptable'])} AS enq_pts
-FROM payment_history{tag} JOIN details_c USING (member_id) JOIN delinq_c USING (member_id)""")
+FROM payment_history{tag} JOIN details_c USING (member_id) {delinq} delinq_c USING (member_id)""")
     _cte(f"fh{tag}", (f"ldh{tag}", "loans_c", "customers_c", f"limit_band{tag}", f"status_rule{tag}",
                       f"home_rule{tag}", f"grade_rule{tag}"), f"""
 SELECT h.*, {status_pts('loan_status', p, tag)} AS loan_status_pts, {home_pts('home_ownership', p, tag)} AS home_pts,
@@ -387,6 +387,7 @@ _FLOAT_SCORES = ", ".join(f"CAST({c} AS FLOAT) AS {c}" for c in (
     "payment_history_pts", "defaulters_history_pts", "financial_health_pts", "loan_score"))
 
 _score_ctes("", DEFAULT_POINTS)
+_score_ctes("_left", DEFAULT_POINTS, "LEFT JOIN")
 # the parameters that the query of that name sets: excellent 900, grade B above 2100 (C), F up to 700
 _score_ctes("_conf", DEFAULT_POINTS | {"excellent": 900, "grade_c": 2100, "grade_f": 700})
 
