@@ -79,8 +79,7 @@ def test_collisions_estimate_weighted_jaccard():
     a = (elems[:220], rnd.integers(1, 6, 220))
     b = (elems[60:], np.concatenate([a[1][60:], rnd.integers(1, 6, 80)]))
     b[1][:40] += 2
-    pack = lambda s: np.concatenate([s[0], s[1].astype(np.uint64)]).tobytes()
-    true = md.weighted_jaccard(pack(a), pack(b))
+    true = md.weighted_jaccard(md.packed(*a), md.packed(*b))
     sig = md.signatures([a, b, (elems[:3], np.array([1, 1, 2]))], 2000)
     assert (sig[0] == sig[1]).mean() == pytest.approx(true, abs=0.04)
     assert len(np.unique(sig[2])) > 2 and (sig != 0).all()
@@ -105,3 +104,71 @@ def test_awkward_rows(awkward):
     kept = md.drop_near_duplicates(awkward)
     assert kept.columns == awkward.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 5, None, 8, 9, 10}
     assert md.near_duplicate_classes(awkward.limit(0)).count() == 0
+
+
+def family(seed, n, edits, length=120):
+    """Copies of one text with edits at random places, and texts that share a passage."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    base, passage, rows = [word() for _ in range(length)], [word() for _ in range(90)], []
+    for _ in range(n):
+        t = list(base)
+        for _ in range(rnd.randint(0, edits)):
+            t[rnd.randrange(len(t))] = word()
+        rows.append(" ".join(t))
+    rows += [" ".join(passage + [word() for _ in range(rnd.randint(8, 40))]) for _ in range(n // 2)]
+    rnd.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("small,block", [(16, 1024), (2, 7), (10_000, 1024)])
+def test_large_buckets_lose_no_link(docs_of, monkeypatch, small, block):
+    """Hundreds of members of a bucket lie between 0.6 and 1: block by block, in many blocks, or as pairs."""
+    monkeypatch.setattr(md, "SMALL", small)
+    monkeypatch.setattr(md, "BLOCK", block)
+    rows = family(1, 160, 6)
+    got = {r.doc_id: r.class_id for r in md.near_duplicate_classes(docs_of(rows)).collect()}
+    assert got == brute(rows)
+
+
+def test_rows_that_leave_a_large_bucket_grow_in_proportion(docs_of, monkeypatch):
+    """Twice the family: about twice the pairs that are verified, not four times."""
+    seen = []
+    whole = md.verified
+    monkeypatch.setattr(md, "verified", lambda pairs, *a: (seen.append(pairs.count()), whole(pairs, *a))[1])
+    counts = []
+    for n in (300, 600):
+        seen.clear()
+        md.near_duplicate_classes(docs_of(family(2, n, 6))).count()
+        counts.append(sum(seen))
+    assert counts[1] < 3 * counts[0]
+
+
+def test_histograms_bound_the_overlap():
+    rnd = np.random.default_rng(8)
+    pool = rnd.integers(1, 1 << 63, 9000).astype(np.uint64)
+    for n, m, most in ((20, 30, 2), (900, 700, 3), (5000, 4100, 2), (40, 40, 400), (60, 60, 90_000)):
+        a = np.unique(rnd.choice(pool[:n * 2], n), return_counts=True)
+        b = np.unique(rnd.choice(pool[:n * 2], m), return_counts=True)
+        a, b = ((e, c * rnd.integers(1, most, len(c))) for e, c in (a, b))
+        true = md.weighted_jaccard(md.packed(*a), md.packed(*b))
+        node = lambda s, i: md.Members(np.array([i]), np.array([s[1].sum()]), np.array([i]), [md.histogram(*s)])
+        for threshold in (true, true - 0.01):
+            reach = node(b, 1).within_reach(0, int(a[1].sum()), 0, np.frombuffer(md.histogram(*a), "<u2"), threshold, None)
+            assert reach.tolist() == [1]
+        assert np.array_equal(md.unpacked(md.packed(*a))[1], a[1])
+    a, b = (rnd.integers(1, 1 << 63, 600).astype(np.uint64) for _ in "ab")
+    one = np.ones(600, int)
+    far = md.Members(np.array([1]), np.array([600]), np.array([1]), [md.histogram(b, one)])
+    assert len(far.within_reach(0, 600, 0, np.frombuffer(md.histogram(a, one), "<u2"), 0.8, None)) == 0
+
+
+def test_an_id_with_several_texts(docs_of):
+    long = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, long), (5, long + " more"), (5, "an unrelated text of its own"), (7, "quite another text with seven words")]
+    got = sorted((r.doc_id, r.class_id, r.kept) for r in md.near_duplicate_classes(docs_of(rows)).collect())
+    assert got == [(1, 1, True), (5, 1, False), (5, 5, True), (7, 7, True)]
+    assert sorted((r.doc_id, r.text) for r in md.drop_near_duplicates(docs_of(rows)).collect()) == sorted(
+        [rows[0], rows[2], rows[3]])
+    same = [(3, long), (3, long + " more")]  # both texts of one id in one class: one stays
+    assert sum(r.kept for r in md.near_duplicate_classes(docs_of(same)).collect()) == 1
