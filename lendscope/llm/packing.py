@@ -10,7 +10,9 @@ whole stream is short.
 
 Ids are those of the ``tokenizers`` file byte_bpe_50k.json without added special
 tokens; they are made from the same vocabulary as ranks, which encodes several
-times as fast (a test holds the two against each other).
+times as fast (a test holds the two against each other); a text that the fast
+encoder can't take, with a run of about a million blanks or line ends, is
+encoded from the file itself.
 
 Cases: null text counts as empty and gives the end id alone; repeated rows are packed each; a
 null id stays null; an empty table gives no rows. Pieces cover each id once.
@@ -22,6 +24,7 @@ import base64
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -59,9 +62,18 @@ class Encoder:
         try:
             ids = self.bpe.encode(text, allowed_special="all")
         except UnicodeEncodeError:  # a lone surrogate
-            ids = self.bpe.encode(text.encode("utf-8", "replace").decode(), allowed_special="all")
+            return self(text.encode("utf-8", "replace").decode())
+        except ValueError:  # a run of about a million blanks is too long for the pattern's matcher
+            ids = self.full.encode(text, add_special_tokens=False).ids
         return array("H", ids).tobytes()
 
+    @cached_property
+    def full(self):
+        """The ``tokenizers`` file itself, slower and without that limit."""
+        import public_tokenizers
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
 
 def _tokenise(ranks_path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -52,3 +52,13 @@ def test_awkward_rows(awkward):
     assert {r.doc_tokens for r in rows if r.doc_id in (1, 2)} == {1}
     assert sum(r.length for r in rows if r.start >= 0) == sum(r.doc_tokens for r in rows if r.start == 0)
     assert packing.pack(awkward.limit(0)).count() == 0
+
+
+def test_long_runs_of_blanks_and_line_ends(docs_of):
+    full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.Encoder()
+    for text in (" " * 2_000_000, "\n" * 2_000_000, "\t" * 1_200_000 + "x", "a" + " \n" * 700_000 + "b c"):
+        ids = full.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), np.uint16).tolist() == ids
+    rows = packing.pack(docs_of([(1, " " * 1_200_000 + "end"), (2, "a b")])).collect()
+    check(rows, {1: " " * 1_200_000 + "end", 2: "a b"}, packing.WINDOW)
