@@ -3,8 +3,10 @@
 For each language a raw-content zstandard dictionary is made of training texts;
 a text goes to the language whose dictionary compresses it to the fewest bytes.
 The training sample is bounded: per language the ``sample_docs`` training rows
-with the smallest hash of their id, cut off at ``dict_bytes`` bytes, so a
-dictionary has the same size at any input size. The whole lowered text is
+with the smallest hash of their id, each with an equal share of ``dict_bytes``
+(a stretch of its text at a place given by its id's hash; with fewer rows the
+shares are larger), so a dictionary draws on all of them and has the same size at
+any input size. The whole lowered text is
 compressed, without ASCII digits and punctuation, whatever its length.
 
 A prediction is rejected (``rejected``) when the runner-up needs less than
@@ -20,10 +22,10 @@ gives no rows; repeated rows are predicted each, other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -38,7 +40,7 @@ UND = "und"
 #: ASCII digits and punctuation are left out before compressing, line ends become spaces.
 _NO_LETTERS = bytes([*range(33, 65), *range(91, 97), *range(123, 128)])
 _SPACES = bytes(32 if b < 32 else b for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # the letter categories: no digits, fractions or numbers in circles
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                   ("score", pa.float64()), ("margin", pa.float64()), ("rejected", pa.bool_())])
 
@@ -52,17 +54,22 @@ def learn_dictionaries(train: DataFrame, id_col: str = "doc_id", text_col: str =
     """Raw dictionary content by language, from a bounded sample of ``train``.
 
     The sample is chosen on ids alone (Spark limits each language map-side), then
-    its texts are fetched: at most ``sample_docs`` rows a language reach the
-    driver, each cut to ``dict_bytes``."""
+    its texts are fetched: at most ``sample_docs`` rows a language, cut to their
+    shares before they reach the driver. An id with several texts gives a row for
+    each."""
     usable = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) > 0))
-    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col))
-    ids = usable.select(lang_col, id_col).withColumn("_rank", rank).where(F.col("_rank") <= sample_docs)
-    rows = (usable.select(id_col, F.substring(text_col, 1, dict_bytes).alias("_text"))
-            .join(F.broadcast(ids), id_col)  # sample_docs rows a language
-            .orderBy(lang_col, F.desc("_rank")).select(lang_col, "_text").collect())
     common = {r[lang_col]: r["count"] for r in usable.groupBy(lang_col).count().collect()}  # a row a language
+    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col))
+    ids = (usable.select(lang_col, id_col).withColumn("_rank", rank).where(F.col("_rank") <= sample_docs)
+           .withColumn("_share", F.ceil(F.lit(dict_bytes) / F.count(F.lit(1)).over(Window.partitionBy(lang_col))))
+           .select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), "_rank", "_share"))
+    share = F.col("_share").cast("int")
+    at = F.pmod(F.xxhash64("_id"), F.greatest(F.length(text_col) - share + 1, F.lit(1))).cast("int") + 1
+    rows = (usable.join(F.broadcast(ids), (usable[id_col] == F.col("_id")) & (usable[lang_col] == F.col("_lang")))
+            .select("_lang", "_rank", F.substring(F.col(text_col), at, share).alias("_text"))  # sample_docs rows a language
+            .orderBy("_lang", F.desc("_rank"), "_text").collect())
     parts: dict[str, list[bytes]] = {}
-    for lang, text in rows:
+    for lang, _, text in rows:
         parts.setdefault(lang, []).append(_letters(text))
     return {lang: b"\n".join(parts[lang])[-dict_bytes:] for lang in sorted(parts, key=lambda x: (-common[x], x))}
 
