@@ -36,12 +36,18 @@ from lendscope.llm.words import mix
 THRESHOLD = 0.9
 MIN_SHARDS = 8
 SHARD_ROWS = 200_000
+#: Bytes of a shard's vectors in double precision; a task holds a few times as much
+SHARD_BYTES = 128 << 20
 FIRST_BEAM = 24
 AUDITS = 400
 AUDIT_RECALL = 0.995
 #: Room for 32-bit rounding when candidates are searched
 SLACK = 1e-4
 
+#: The beam of a shard whose audit failed
+EXACT = -1
+_SCAN = 4096
+
 _VECTORS = pa.schema([("vec_id", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("dim", pa.int32()),
                       ("unit", pa.binary())])
 _SHARD = pa.schema([("dim", pa.int32()), ("uri", pa.string()), ("rows", pa.int64()), ("ef", pa.int64()),
@@ -97,6 +103,8 @@ def _build(base: str, threshold: float):
         ids, x = ids[by_id], x[by_id]
         graph, order = hnsw.build(x, mix(ids.astype(np.uint64)))
         ef, recall = _audit(graph, threshold)
+        if recall < AUDIT_RECALL:  # not even at full width: this shard is scanned exactly
+            ef = EXACT
         arrays = [ids[order], x[order], graph.x, *graph.layers]
         parts = []
         for a in arrays:
@@ -127,6 +135,17 @@ def _load(uri: str) -> tuple[np.ndarray, np.ndarray, hnsw.Graph]:
     return ids, exact, hnsw.Graph(x, layers, [len(a) for a in layers])
 
 
+def _scan(exact: np.ndarray, block: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """For each vector of ``block`` the rows of ``exact`` within the threshold, by brute force."""
+    found = [[] for _ in block]
+    for at in range(0, len(exact), _SCAN):
+        row, hit = np.nonzero(block @ exact[at:at + _SCAN].T >= threshold - SLACK)
+        cuts = np.searchsorted(row, np.arange(len(block) + 1))
+        for i in range(len(block)):
+            found[i].append(hit[cuts[i]:cuts[i + 1]] + at)
+    return [np.concatenate(f) if f else np.zeros(0, np.int64) for f in found]
+
+
 def _query(shards: list[tuple[int, str, int]], threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -141,7 +160,8 @@ def _query(shards: list[tuple[int, str, int]], threshold: float):
                     ids, exact, graph = _load(uri)
                     for at in range(0, len(mine), 2 * hnsw.BATCH):
                         block = q[at:at + 2 * hnsw.BATCH]
-                        found = graph.within(block.astype(np.float32), threshold - SLACK, ef)
+                        found = (_scan(exact, block, threshold) if ef == EXACT else
+                                 graph.within(block.astype(np.float32), threshold - SLACK, ef))
                         row = np.repeat(np.arange(len(block)), [len(f) for f in found])
                         hit = np.concatenate(found)
                         cos = np.einsum("ij,ij->i", block[row], exact[hit])
@@ -154,18 +174,20 @@ def _query(shards: list[tuple[int, str, int]], threshold: float):
 
 def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                          threshold: float = THRESHOLD, min_shards: int = MIN_SHARDS,
-                         shard_rows: int = SHARD_ROWS) -> DataFrame:
+                         shard_rows: int = SHARD_ROWS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     units = staged(vectors.select(F.col(id_col).cast("long"), F.col(vector_col).cast("array<double>"))
                    .mapInArrow(_units, "vec_id long, hi long, lo long, dim int, unit binary"), "units")
     print_of = ["hi", "lo"]
+    # equal vectors are one node, named by its place in the written table
     nodes = staged(units.where(F.col("hi").isNotNull()).groupBy(*print_of)
-                   .agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("n")), "nodes")
-    distinct = (units.join(nodes, print_of)
-                .where(F.col("vec_id") == F.col("rep")).select("rep", "dim", "unit").dropDuplicates(["rep"]))
-    n_shards = max(min_shards, -(-nodes.count() // shard_rows))
-    distinct = staged(distinct.repartition(max(n_shards, shuffle_partitions(spark)), "rep"), "vectors")
+                   .agg(F.min("vec_id").alias("least"), F.count_distinct("vec_id").alias("n"), F.first("dim").alias("dim"),
+                        F.first("unit").alias("unit")).withColumn("rep", F.monotonically_increasing_id()), "nodes")
+    size = nodes.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.length("unit")), F.lit(0)).alias("bytes")).first()
+    n_shards = max(min_shards, -(-size["rows"] // shard_rows), -(-size["bytes"] // shard_bytes))
+    distinct = staged(nodes.select("rep", "dim", "unit").repartition(max(n_shards, shuffle_partitions(spark)), "rep"),
+                      "vectors")
     shard = F.pmod(F.xxhash64("rep"), F.lit(n_shards)).cast("int")
     built = (distinct.withColumn("shard", shard).groupBy("dim", "shard")
              .applyInArrow(_build(scratch(spark, "graphs"), threshold),
@@ -177,10 +199,12 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     size = nodes.select(F.col("rep").alias("b"), F.col("n").alias("m"))
     degree = both.join(size, "b").groupBy("a").agg(F.sum("m").alias("others"))
     comp = components(links)
-    of_node = (nodes.join(degree.withColumnRenamed("a", "rep"), "rep", "left")
-               .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = (nodes.select(*print_of, "rep", "least", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+              .withColumn("component", F.coalesce("component", "rep")))
+    heads = placed.groupBy("component").agg(F.min("least").alias("head"))
+    of_node = (placed.join(degree.withColumnRenamed("a", "rep"), "rep", "left").join(heads, "component")
                .select(*print_of, (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("links"),
-                       F.coalesce("component", "rep").alias("component")))
+                       F.col("head").alias("component")))
     return (units.select("vec_id", *print_of).join(of_node, print_of, "left")
             .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component", "vec_id").alias("component_id"))

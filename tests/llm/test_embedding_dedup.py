@@ -53,3 +53,22 @@ def test_graph_recall_by_audit():
     assert sorted(order.tolist()) == list(range(3000)) and len(graph.layers) > 1
     ef, recall = ed._audit(graph, 0.9)
     assert recall >= ed.AUDIT_RECALL and ef < 3000
+
+
+def test_an_id_with_two_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [0.99, 0.05, 0.0]), (3, [0.05, 0.99, 0.0]), (4, [0.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in ed.embedding_components(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]
+
+
+def test_a_shard_whose_audit_fails_is_scanned(spark, monkeypatch):
+    monkeypatch.setattr(ed, "_audit", lambda graph, threshold: (len(graph.x), 0.5))
+    x = vectors(3)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in ed.embedding_components(df, min_shards=3, shard_bytes=20_000).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert all(got[i].n_links == near[i].sum() for i in got)  # exact, so nothing is missed
+    assert {i: r.component_id for i, r in got.items()} == union(range(len(x)), np.argwhere(near).tolist())
