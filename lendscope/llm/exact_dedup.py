@@ -87,57 +87,74 @@ class ExtendibleIndex:
 
     ``directory[key's last depth bits]`` is a bucket number; ``depth_of`` a
     bucket's own depth. Entries are appended to their bucket's file; a bucket
-    over ``page_bytes`` is split in two, which rewrites only that bucket."""
+    over ``page_bytes`` is split in two, which rewrites only that bucket. Equal
+    entries that still wait are folded into one, and a bucket found to hold a
+    single key is not looked at again until another key arrives, so a text that
+    comes very often costs its inserts and no more."""
 
     def __init__(self, uri: str, page_bytes: int = PAGE_BYTES, buffer_bytes: int = BUFFER_BYTES):
         self.fs, self.root = _open(uri)
         self.fs.create_dir(self.root, recursive=True)
         self.page_bytes, self.buffer_bytes = page_bytes, buffer_bytes
         self.depth, self.directory = 0, [0]
-        self.depth_of, self.size, self.files, self.waiting = [0], [0], [[]], [[]]
-        self.buffered = 0
+        self.depth_of, self.size, self.files, self.waiting = [0], [0], [[]], [{}]
+        self.single: dict[int, int] = {}  # buckets known to hold one key
+        self.buffered = self.flushes = 0
 
     def insert(self, key: int, keep: int, rows: int, packed: bytes) -> None:
         b = self.directory[key & ((1 << self.depth) - 1)]
-        entry = struct.pack(_HEAD, key, keep, rows, len(packed)) + packed
-        self.waiting[b].append(entry)
-        self.size[b] += len(entry)
-        self.buffered += len(entry)
-        if self.size[b] > self.page_bytes and self.depth_of[b] < 64:
+        self._wait(b, key, keep, rows, packed)
+        if self.single.get(b, key) != key:
+            del self.single[b]
+        if self.size[b] > self.page_bytes and self.depth_of[b] < 64 and b not in self.single:
             self._split(b)
         if self.buffered > self.buffer_bytes:
             self.flush()
 
+    def _wait(self, b: int, key: int, keep: int, rows: int, packed: bytes) -> None:
+        held = self.waiting[b].get((key, packed))
+        if held is not None:
+            held[0], held[1] = max(held[0], keep), held[1] + rows
+            return
+        self.waiting[b][key, packed] = [keep, rows]
+        n = struct.calcsize(_HEAD) + len(packed)
+        self.size[b] += n
+        self.buffered += n
+
     def flush(self) -> None:
-        for b, entries in enumerate(self.waiting):
-            if entries:
-                name = f"{self.root}/{b:06d}-{len(self.files[b]):04d}"
-                with self.fs.open_output_stream(name) as out:
-                    out.write(b"".join(entries))
-                self.files[b].append(name)
-                self.waiting[b] = []
+        """Append what waits to its buckets' files: one file a flush, its buckets side by side."""
+        full = [b for b, entries in enumerate(self.waiting) if entries]
+        if full:
+            name, at = f"{self.root}/{self.flushes:06d}", 0
+            with self.fs.open_output_stream(name) as out:
+                for b in full:
+                    raw = b"".join(struct.pack(_HEAD, key, keep, rows, len(packed)) + packed
+                                   for (key, packed), (keep, rows) in self.waiting[b].items())
+                    out.write(raw)
+                    self.files[b].append((name, at, len(raw)))
+                    self.waiting[b], at = {}, at + len(raw)
+            self.flushes += 1
         self.buffered = 0
 
     def entries(self, b: int) -> list[tuple[int, int, int, bytes]]:
         found = []
-        for raw in [*map(self._read, self.files[b]), b"".join(self.waiting[b])]:
-            at = 0
+        for piece in self.files[b]:
+            raw, at = self._read(*piece), 0
             while at < len(raw):
                 key, keep, rows, n = struct.unpack_from(_HEAD, raw, at)
                 at += struct.calcsize(_HEAD) + n
                 found.append((key, keep, rows, raw[at - n:at]))
-        return found
+        return found + [(key, keep, rows, packed) for (key, packed), (keep, rows) in self.waiting[b].items()]
 
-    def _read(self, name: str) -> bytes:
-        with self.fs.open_input_stream(name) as src:
-            return src.read()
+    def _read(self, name: str, at: int, n: int) -> bytes:
+        with self.fs.open_input_file(name) as src:
+            return src.read_at(n, at)
 
     def _split(self, b: int) -> None:
         found = self.entries(b)
         if len({e[0] for e in found}) == 1:  # a chain of one key can't be split
+            self.single[b] = found[0][0]
             return
-        for name in self.files[b]:
-            self.fs.delete_file(name)
         bit = self.depth_of[b]
         if bit == self.depth:  # directory doubling
             self.directory += self.directory
@@ -145,19 +162,14 @@ class ExtendibleIndex:
         self.depth_of[b] += 1
         new = len(self.depth_of)
         self.depth_of.append(bit + 1)
-        for part in (self.size, self.files, self.waiting):
-            part.append(0 if part is self.size else [])
+        self.size.append(0), self.files.append([]), self.waiting.append({})
         for slot in range(len(self.directory)):
             if self.directory[slot] == b and slot >> bit & 1:
                 self.directory[slot] = new
-        self.buffered -= sum(map(len, self.waiting[b]))
-        self.size[b], self.files[b], self.waiting[b] = 0, [], []
+        self.buffered -= sum(struct.calcsize(_HEAD) + len(packed) for _, packed in self.waiting[b])
+        self.size[b], self.files[b], self.waiting[b] = 0, [], {}
         for key, keep, rows, packed in found:
-            to = new if key >> bit & 1 else b
-            entry = struct.pack(_HEAD, key, keep, rows, len(packed)) + packed
-            self.waiting[to].append(entry)
-            self.size[to] += len(entry)
-            self.buffered += len(entry)
+            self._wait(new if key >> bit & 1 else b, key, keep, rows, packed)
         for half in (b, new):
             if self.size[half] > self.page_bytes and self.depth_of[half] < 64:
                 self._split(half)
@@ -216,7 +228,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     pairs = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     texts = pairs.mapInArrow(_collapse(owners),
                              "owner int, text_key long, packed binary, keep_id long, group_size long")
-    return texts.repartition(owners, "owner").mapInArrow(
+    return texts.repartitionById(owners, F.col("owner")).mapInArrow(  # a task for each owner
         _own(scratch(spark, "exact"), page_bytes),
         "text_key long, text_sha256 string, keep_id long, group_size long")
 

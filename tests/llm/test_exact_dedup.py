@@ -55,3 +55,25 @@ def test_directory_doubles_and_chains(tmp_path):
     want = {t: (1000 + i, 3) if i % 3 == 0 else (i, 1) for i, t in enumerate(texts)}
     want |= {b"collision %d" % i: (i, 1) for i in range(20)}
     assert got == want
+
+
+def test_a_hot_text_costs_linear_time(tmp_path):
+    """20,000 inserts of one large text, between others: as many buckets and files as without it."""
+    import time
+    import zstandard
+    pack = zstandard.ZstdCompressor(level=1).compress
+    index = ed.ExtendibleIndex(str(tmp_path / "index"), page_bytes=100_000, buffer_bytes=400_000)
+    rnd = __import__("random").Random(1)
+    hot = pack(bytes(rnd.randrange(256) for _ in range(60_000)))
+    took = []
+    for half in range(2):
+        t = time.perf_counter()
+        for i in range(10_000):
+            index.insert(12345, half * 10_000 + i, 1, hot)
+            if i % 50 == 0:
+                index.insert(ed._key(b"%d-%d" % (half, i)), i, 1, pack(bytes(rnd.randrange(256) for _ in range(2_000))))
+        took.append(time.perf_counter() - t)
+    assert took[1] < 3 * took[0] + 0.5 and sum(took) < 20
+    groups = list(index.groups())
+    assert len(groups) == 401 and max(g[3] for g in groups) == 20_000 and max(g[2] for g in groups) == 19_999
+    assert len(list((tmp_path / "index").iterdir())) <= index.flushes + 1
