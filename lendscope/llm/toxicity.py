@@ -11,9 +11,10 @@ which bounds training at any input size; scoring reads every whole text.
 
 Cases: null text counts as empty and is scored like one; without
 labels of both kinds every score is the smoothed rate of toxic labels (0 without
-labels); an id labelled twice trains on the larger label; an empty table gives
-no rows; repeated rows are scored each and other columns are kept by
-``with_scores``.
+labels); an id labelled twice trains on the larger label, one with several texts
+on the text of the smallest hash; texts of equal features get equal scores; an
+empty table gives no rows; repeated rows are scored each and other columns are
+kept by ``with_scores`` (but for one named like its score column, which is replaced).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lendscope.llm.common import batch, fold, staged, str_texts
 
@@ -146,17 +148,20 @@ def _feature_column(text: Column, lexicon: dict[str, float]) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
-    """At most ``rows`` labelled rows of each training fold: fold, text, toxic."""
+    """At most ``rows`` labelled rows of each training fold: fold, text, toxic. Each
+    fold is a top-k by id hash, so a task sorts and hands on no more than ``rows``."""
     part = fold(id_col, 4)
     lab = (labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col)
            .agg(F.max("toxic").cast("int").alias("toxic")).select(id_col, part.alias("fold"), "toxic")
            .where(F.col("fold") != 2))
     have = docs.select(id_col).where(fold(id_col, 4) != 2).distinct()
-    rank = F.row_number().over(Window.partitionBy("fold").orderBy(F.xxhash64(id_col), id_col))
-    chosen = lab.join(have, id_col, "left_semi").withColumn("_rank", rank).where(F.col("_rank") <= rows)
-    return (docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .join(F.broadcast(chosen.drop("_rank")), id_col).dropDuplicates([id_col])  # 3 x rows at most
-            .select("fold", "text", "toxic"))
+    known = staged(lab.join(have, id_col, "left_semi"), "toxicity-labels")
+    chosen = reduce(lambda a, b: a.unionByName(b), [
+        known.where(F.col("fold") == k).orderBy(F.xxhash64(id_col), id_col).limit(rows) for k in (0, 1, 3)])
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return (docs.select(id_col, text.alias("text")).join(F.broadcast(chosen), id_col)  # 3 x rows at most
+            .groupBy(id_col, "fold", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("one"))
+            .select("fold", F.col("one.text").alias("text"), "toxic"))
 
 
 class ToxicityModel:

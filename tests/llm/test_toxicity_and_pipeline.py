@@ -29,6 +29,45 @@ def test_features_see_what_they_name():
     assert toxicity.features_of("ABC", lex)[6] == 1.0 and len(toxicity.features_of("", lex)) == toxicity.N_FEATURES
 
 
+def test_scores_match_a_plain_recomputation(spark):
+    """Features by hand, each tree walked in Python, isotonic steps interpolated."""
+    import math
+    import numpy as np
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    trees, weights = model.trees.trees, model.trees.treeWeights
+
+    def walk(node, x):
+        while node.subtreeDepth() > 0:
+            split = node.split()
+            node = node.leftChild() if x[split.featureIndex()] <= split.threshold() else node.rightChild()
+        return node.prediction()
+    xs, ys = (np.array(v) for v in (model.calibration.boundaries, model.calibration.predictions))
+    got = {r.doc_id: r.score for r in model.with_scores(docs).collect()}
+    for r in docs.orderBy("doc_id").limit(40).collect():  # of a test, not of a query
+        x = toxicity.features_of(r.text or "", model.lexicon)
+        margin = sum(w * walk(t._call_java("rootNode"), x) for t, w in zip(trees, weights))
+        p = 1 / (1 + math.exp(-2 * margin))
+        # at a step the last digits of p decide: the score lies between both sides of it
+        low, high = (min(1, max(0, (1 - toxicity.RAW_SHARE) * np.interp(q, xs, ys) + toxicity.RAW_SHARE * q))
+                     for q in (p - 1e-12, p + 1e-12))
+        assert low - 1e-9 <= got[r.doc_id] <= high + 1e-9
+
+
+def test_the_sample_is_a_top_k_of_each_fold(spark):
+    """No task sorts a whole fold: the plan takes ordered rows, and rows are those of the smallest id hashes."""
+    import zlib
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    sample = toxicity.labelled_sample(docs, labels, "doc_id", "text", 20)
+    assert sample._jdf.queryExecution().toString().count("TakeOrderedAndProject") >= 3
+    known = labels.where("toxic IS NOT NULL").join(docs, "doc_id").select("doc_id", "text", "toxic",
+                                                                         F.xxhash64("doc_id").alias("h")).distinct().collect()
+    for k in (0, 1, 3):
+        mine = sorted((r for r in known if zlib.crc32(str(r.doc_id).encode()) % 4 == k), key=lambda r: (r.h, r.doc_id))[:20]
+        assert sorted((r.text or "", r.toxic) for r in mine) == sorted(
+            (r.text, r.toxic) for r in sample.where(F.col("fold") == k).collect())
+
+
 def test_awkward_rows_and_labels(awkward, spark):
     train = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
