@@ -9,8 +9,11 @@ task leaves one whole file.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -60,8 +63,19 @@ def batch(schema: pa.Schema, *cols) -> pa.RecordBatch:
                                        for c, t in zip(cols, schema.types, strict=True)], schema=schema)
 
 
+#: Names that Hadoop and Arrow give the same store
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else uri.replace("file:", "file://"))
+    """The store and the path in it of a folder name that Spark understands."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return pafs.LocalFileSystem(), uri
+    if scheme in ("file", "dbfs"):  # dbfs is mounted under a folder of that name
+        path = "/" + rest.lstrip("/")
+        return pafs.LocalFileSystem(), path if scheme == "file" else f"/dbfs{path}"
+    return pafs.FileSystem.from_uri(f"{_ARROW_SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 def put_file(uri: str, chunks: list) -> None:
@@ -75,16 +89,35 @@ def put_file(uri: str, chunks: list) -> None:
     fs.move(attempt, path)
 
 
+#: Copied files that a worker process keeps mapped
+KEPT_COPIES = 256
+
+
+def _copies() -> OrderedDict:
+    """The worker process's copies. Functions travel by value, so each task has its
+    own globals; what the tasks of a process share is kept in a module."""
+    holder = sys.modules.setdefault("_mapped_copies", types.ModuleType("_mapped_copies"))
+    return holder.__dict__.setdefault("files", OrderedDict())
+
+
 def mapped(uri: str) -> np.ndarray:
     """The file's bytes, memory-mapped. On a store without file paths the worker
-    first copies the file into its own temporary folder and maps the copy."""
+    first copies the file into its own temporary folder and maps the copy, which has
+    no name from then on: its space is free when the last array over it is gone. The
+    last ``KEPT_COPIES`` are kept for the later tasks of the process (a file in the
+    shared folder is never changed)."""
     fs, path = _open(uri)
-    if not isinstance(fs, pafs.LocalFileSystem):
-        handle, local = tempfile.mkstemp()
-        with os.fdopen(handle, "wb") as out, fs.open_input_stream(path) as src:
-            while piece := src.read(1 << 22):
-                out.write(piece)
-        path = local
-    if os.path.getsize(path) == 0:
-        return np.zeros(0, np.uint8)
-    return np.memmap(path, dtype=np.uint8, mode="r")
+    if isinstance(fs, pafs.LocalFileSystem):
+        return np.memmap(path, dtype=np.uint8, mode="r") if os.path.getsize(path) else np.zeros(0, np.uint8)
+    copies = _copies()
+    if uri not in copies:
+        with tempfile.TemporaryFile() as out:
+            with fs.open_input_stream(path) as src:
+                while piece := src.read(1 << 22):
+                    out.write(piece)
+            out.flush()
+            copies[uri] = np.memmap(out, dtype=np.uint8, mode="r") if out.tell() else np.zeros(0, np.uint8)
+        while len(copies) > KEPT_COPIES:
+            copies.popitem(last=False)
+    copies.move_to_end(uri)
+    return copies[uri]
