@@ -17,7 +17,9 @@ of the marginals a table with one ``weight`` for each ``value``, scaled to one.
 value that its table lacks has weight 0, and weight 0 keeps none of its documents;
 weights of values without tokens are left out and the others scaled up; a
 null, negative or infinite weight, a repeated value or weights that leave no tokens at
-all raise ValueError. Tokens are counted as words between single spaces. The topic
+all raise ValueError. A function of the cell table may stand for the tables, as
+``even_targets`` does for the registered query: languages even, no source above
+``SOURCE_CAP``. Tokens are counted as words between single spaces. The topic
 comes from fixed marks in the text (see ``TOPIC_MARKS``).
 
 Only the cell table goes through the sweeps: its size follows the number of
@@ -33,13 +35,15 @@ other columns are kept by ``sample_to_targets``.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendscope.llm.common import staged
 
 POWER = {"source": 0.95, "lang": 0.95, "topic": 0.98}
+#: Part of the present tokens that ``even_targets`` leaves a source at most, before weights are scaled to one
+SOURCE_CAP = 0.1
 SWEEPS = 10
 #: Largest difference between a value's share of the raked mass and its target
 TOLERANCE = 1e-6
@@ -51,6 +55,9 @@ MARGINS = ("source", "lang", "topic")
 TOPIC_MARKS = (("license", "icensed under"), ("table", " | "), ("shout", "!!"), ("contact", "@"))
 DEFAULT_TOPIC = "prose"
 
+#: Own targets by marginal, or what derives them from the cell table
+Targets = Mapping[str, DataFrame] | Callable[[DataFrame], Mapping[str, DataFrame]]
+
 
 def token_count(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1).otherwise(
@@ -123,6 +130,15 @@ def rake(cells: DataFrame, margins=MARGINS, power: dict[str, float] | None = Non
     return df.drop(*[f"_target_{m}" for m in margins])
 
 
+def even_targets(cells: DataFrame) -> dict[str, DataFrame]:
+    """Equal weights for the languages; sources by their tokens, capped at ``SOURCE_CAP`` of all."""
+    cap = F.lit(SOURCE_CAP) * cells.agg(F.sum("tokens")).scalar()
+    n = F.sum("tokens").cast("double")
+    return {"lang": cells.select(F.col("lang").alias("value")).distinct().withColumn("weight", F.lit(1.0)),
+            "source": cells.groupBy(F.col("source").alias("value")).agg(
+                F.when(n > 0, F.least(n, cap)).otherwise(1.0).alias("weight"))}
+
+
 def marginal_errors(raked: DataFrame, margins=MARGINS) -> dict[str, float]:
     """By marginal, the largest difference between a share of the mass and its target."""
     total = raked.agg(F.sum("mass")).scalar()
@@ -137,11 +153,13 @@ def marginal_errors(raked: DataFrame, margins=MARGINS) -> dict[str, float]:
 
 def cell_probabilities(docs: DataFrame, source_col="source", lang_col="lang", text_col="text",
                        power: dict[str, float] | None = None, sweeps: int = SWEEPS,
-                       targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
+                       targets: Targets | None = None) -> DataFrame:
     """source, lang, topic, tokens, mass, probability by cell."""
     cells = staged(docs.select(F.col(source_col).alias("source"), F.col(lang_col).alias("lang"),
                                topic_of(F.col(text_col)).alias("topic"), token_count(F.col(text_col)).alias("n"))
                    .groupBy("source", "lang", "topic").agg(F.sum("n").alias("tokens")), "cells")
+    if callable(targets):
+        targets = targets(cells)
     raked = rake(cells, power=power, sweeps=sweeps, targets=targets)
     if targets:
         total = raked.agg(F.sum("tokens").alias("tokens"), F.sum("mass").alias("mass")).first()
@@ -157,7 +175,7 @@ def cell_probabilities(docs: DataFrame, source_col="source", lang_col="lang", te
 
 def sample_to_targets(docs: DataFrame, id_col="doc_id", source_col="source", lang_col="lang", text_col="text",
                       power: dict[str, float] | None = None, sweeps: int = SWEEPS,
-                      targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
+                      targets: Targets | None = None) -> DataFrame:
     """``docs`` with mix_topic, mix_tokens, mix_probability, mix_kept."""
     cells = staged(cell_probabilities(docs, source_col, lang_col, text_col, power, sweeps, targets), "probabilities")
     cells = cells.select(F.col("source").alias("_mix_s"), F.col("lang").alias("_mix_l"), F.col("topic").alias("_mix_t"),
@@ -169,8 +187,8 @@ def sample_to_targets(docs: DataFrame, id_col="doc_id", source_col="source", lan
             .withColumn("mix_kept", uniform(F.col(id_col)) < F.col("mix_probability")))
 
 
-def mixing_report(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """The registered query (without ``targets``): every document's cell, probability and draw."""
+def mixing_report(docs: DataFrame, targets: Targets | None = even_targets) -> DataFrame:
+    """The registered query: every document's cell, probability and draw."""
     narrow = docs.select("doc_id", "source", "lang", "text")
     return sample_to_targets(narrow, targets=targets).select(
         "doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lendscope.llm.decontaminate import GRAM
 from lendscope.llm.merkle_manifest import FIELDS
-from lendscope.llm.mixing import DEFAULT_TOPIC, MARGINS, POWER, SWEEPS, TOPIC_MARKS
+from lendscope.llm.mixing import DEFAULT_TOPIC, MARGINS, POWER, SOURCE_CAP, TOPIC_MARKS
 from lendscope.llm.url_filter import DAYS, ENTRIES, FIRST_SECOND, HOST, SEGMENT
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -45,6 +45,10 @@ FROM p LEFT JOIN b ON p.page_id = b.page_id AND p.url = b.url AND p.fetched_at =
 """
 
 
+#: Twice the sweeps after which the operator first looks at its error: more of them no longer change a probability
+MIXING_SWEEPS = 20
+
+
 def _mixing() -> str:
     topic = f"'{DEFAULT_TOPIC}'"
     for name, mark in reversed(TOPIC_MARKS):
@@ -55,12 +59,13 @@ d AS (
          CASE WHEN length(text) > 0 THEN length(text) - length(replace(text, ' ', '')) + 1 ELSE 0 END AS n_tokens
   FROM documents),
 c AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM d GROUP BY ALL)"""]
+    weight = {"source": f"least(sum(tokens), {SOURCE_CAP} * (SELECT sum(tokens) FROM c))",
+              "lang": "CASE WHEN sum(tokens) > 0 THEN 1.0::DOUBLE END", "topic": f"power(sum(tokens), {POWER['topic']})"}
     for m in MARGINS:
-        steps.append(f"t_{m} AS (SELECT {m}, power(sum(tokens), {POWER[m]}) / sum(power(sum(tokens), {POWER[m]})) OVER () "
-                     f"AS target FROM c GROUP BY {m})")
+        steps.append(f"t_{m} AS (SELECT {m}, {weight[m]} / sum({weight[m]}) OVER () AS target FROM c GROUP BY {m})")
     last = "s_0"
     steps.append("s_0 AS (SELECT *, tokens AS mass FROM c)")
-    for i in range(SWEEPS):
+    for i in range(MIXING_SWEEPS):
         for m in MARGINS:
             now = f"s_{i + 1}_{m}"
             steps.append(f"{now} AS (SELECT s.source, s.lang, s.topic, s.tokens, "

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("key", sorted(llm_oracle_sql()))
 def test_query_equals_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(llm_oracle_sql()[key])
     got = llm_queries()[key](spark, SF).select(*want.columns)
@@ -129,3 +129,21 @@ def test_the_production_setting_meets_all_marginals(spark, recwarn):
         got = cells.groupby(m).mass.sum()
         assert abs(got / got.sum() - share / share.sum()).max() < mixing.TOLERANCE
     assert not [w for w in recwarn if "mixing targets" in str(w.message)]
+
+
+def test_the_registered_query_mixes_to_even_languages_and_capped_sources(spark, docs_of, recwarn):
+    rows = [(i, "four words in all", ("en", "en", "en", "de", None)[i % 5], f"src{i % 7}" if i % 2 else "hot")
+            for i in range(2000)]
+    docs = docs_of([*rows, (5000, "", "fr", "empty"), (5001, None, "fr", None)])
+    cells = mixing.cell_probabilities(docs, targets=mixing.even_targets).toPandas()
+    cells["expected"] = cells.tokens * cells.probability / (cells.tokens * cells.probability).sum()
+    by_lang = cells.groupby(cells.lang.fillna("-")).expected.sum()
+    assert abs(by_lang[["en", "de", "-"]] - 1 / 3).max() < 1e-6 and by_lang["fr"] == 0
+    before = cells.groupby("source").tokens.sum()
+    want = before.clip(upper=mixing.SOURCE_CAP * before.sum())
+    got = cells.groupby("source").expected.sum()
+    assert before["hot"] / before.sum() == 0.5 and abs(got - want / want.sum()).max() < 1e-6
+    report = {r.doc_id: r for r in mixing.mixing_report(docs).collect()}
+    assert len(report) == 2002 and report[5000].kept and report[5001].kept  # without tokens nothing is out of balance
+    assert mixing.mixing_report(docs.limit(0)).count() == 0
+    assert not [w for w in recwarn if "mixing targets" in str(w.message)]
