@@ -141,7 +141,8 @@ def database_introspection(f: LendingFrames) -> DataFrame:
     _publish_clean_tables(f, db)
     listed = catalog.show_databases(f.spark).where(F.col("namespace") == db).agg(
         (F.count(F.lit(1)) == 1).alias("listed")).scalar()
-    tables = catalog.show_tables(f.spark, db).agg(F.count(F.lit(1)).alias("n_tables")).scalar()
+    tables = catalog.show_tables(f.spark, db).agg(  # the session's temporary views are listed too
+        F.count_if(F.col("isTemporary") == F.lit(False)).alias("n_tables")).scalar()
     rows = reduce(lambda a, b: a + b, [catalog.scan_table(f.spark, f"{db}.{t}").agg(F.count(F.lit(1))).scalar()
                                        for t in CLEAN_TABLES])
     info = catalog.describe_database(f.spark, db).where(

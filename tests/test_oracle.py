@@ -29,3 +29,14 @@ def test_matches_oracle(spark, con, sf_small, key):
     r = compare(spark, con, key, QUERIES[key], SQL[key], sf_small)
     assert r["ok"], r["problems"]
     assert (r["rows"] > 0) == (key not in EMPTY)
+
+
+@pytest.mark.parametrize("key", ["database_introspection", "catalog_tables"])
+def test_listing_leaves_out_temporary_views(spark, con, sf_small, key):
+    """SHOW TABLES lists the session's temporary views with every database."""
+    spark.range(1).createOrReplaceTempView("of_another_query")
+    try:
+        r = compare(spark, con, key, QUERIES[key], SQL[key], sf_small)
+    finally:
+        spark.catalog.dropTempView("of_another_query")
+    assert r["ok"], r["problems"]
