@@ -32,7 +32,8 @@ DETAIL_COLS = ["pub_rec", "pub_rec_bankruptcies", "inq_last_6mths"]
 VIEW_COLUMNS = ["loan_id"] + CUSTOMER_COLS + LOAN_COLS + REPAYMENT_COLS + DELINQ_COLS + DETAIL_COLS
 
 
-def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                         right_keys: DataFrame | None = None, partitioned: bool = False) -> DataFrame:
     """``left LEFT OUTER JOIN right ON left_key = right_key`` (``right_key`` dropped),
     written as the inner join plus the unmatched left rows padded with NULLs.
 
@@ -45,35 +46,44 @@ def left_join_splittable(left: DataFrame, right: DataFrame, left_key: str, right
     Cost: the two branches shuffle ``left`` on the key separately (Catalyst
     plans them differently, e.g. it pushes the anti join below a
     de-duplicating aggregate in ``left``) and the right side's keys are
-    shuffled once more; for the consolidated view that is 12 instead of 9
-    shuffles at scale, in exchange for a join whose hot key AQE can split
-    instead of one task processing it whole.
+    shuffled once more, in exchange for a join whose hot key AQE can split
+    instead of one task processing it whole. Where the keys of ``right`` are at
+    hand from a cheaper frame (its source before a join), pass them as ``right_keys``.
+    With ``partitioned`` the result stays partitioned by the key for later joins,
+    for a ``left`` that lies so in storage (then nothing can be split).
     """
     cond = F.col(left_key) == F.col(right_key)
     matched = left.join(right, cond, "inner").drop(right_key)
-    keys = right.select(right_key).distinct()
+    keys = (right if right_keys is None else right_keys).select(right_key).distinct()
     pads = {c: F.lit(None).cast(t) for c, t in right.dtypes if c != right_key}
     unmatched = left.join(keys, cond, "left_anti").withColumns(pads)
-    return matched.unionByName(unmatched)
+    if not partitioned:
+        return matched.unionByName(unmatched)
+    # a union keeps its parts' partitioning by columns that are the parts' own
+    part = lambda df: df.withColumnRenamed(left_key, "__by")
+    return part(matched).unionByName(part(unmatched)).withColumnRenamed("__by", left_key)
 
 
 def consolidated_view(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
-                      delinq: DataFrame, details: DataFrame) -> DataFrame:
+                      delinq: DataFrame, details: DataFrame, partitioned: bool = False) -> DataFrame:
     """The 35-column borrower-loan view (left outer joins from customers).
 
     Customers to loans uses :func:`left_join_splittable`: there a hot member's
     rows are on the right (its loans), which AQE cannot split in a left outer
     join. The later joins on ``member_id`` are plain left joins, because from
     then on the hot member's rows are on the left (customer x loan rows), the
-    side AQE splits; the repayments join is on the unique ``loan_id``.
+    side AQE splits. The repayments meet the loans first, on ``loan_id``, while
+    the rows lack the customer's columns: the only rows to shuffle by loan, and
+    with ``partitioned`` (customers, delinquency and details read from tables
+    bucketed by member) those of customers then stay where they are in every join.
     """
     c = customers.select(*CUSTOMER_COLS)
     l = loans.select("loan_id", F.col("member_id").alias("__l_member"), *LOAN_COLS)
     r = repayments.select(F.col("loan_id").alias("__r_loan"), *REPAYMENT_COLS)
     d = delinq.select(F.col("member_id").alias("__d_member"), *DELINQ_COLS)
     e = details.select(F.col("member_id").alias("__e_member"), *DETAIL_COLS)
-    j = left_join_splittable(c, l, "member_id", "__l_member")
-    j = j.join(r, F.col("loan_id") == F.col("__r_loan"), "left").drop("__r_loan")
+    lent = l.join(r, F.col("loan_id") == F.col("__r_loan"), "left").drop("__r_loan")
+    j = left_join_splittable(c, lent, "member_id", "__l_member", l.select("__l_member"), partitioned)
     j = j.join(d, F.col("member_id") == F.col("__d_member"), "left").drop("__d_member")
     j = j.join(e, F.col("member_id") == F.col("__e_member"), "left").drop("__e_member")
     return j.select(*VIEW_COLUMNS)

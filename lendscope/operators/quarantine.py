@@ -44,13 +44,14 @@ def duplicate_counts(tables: dict[str, DataFrame], key: str = "member_id") -> Da
 
     One aggregation over the union of the tables' keys tagged by source: a
     single shuffle of map-side partial counts, instead of one aggregation per
-    table followed by a union and a distinct.
+    table followed by a union and a distinct; none where the tables are all read
+    from buckets of the key.
     """
-    src = "__source"
+    src, by = "__source", "__key"  # under a name of its own the key keeps the tables' partitioning by it
     tagged = reduce(lambda a, b: a.unionByName(b),
-                    [df.select(F.col(key), F.lit(name).alias(src)) for name, df in tables.items()])
+                    [df.select(F.col(key).alias(by), F.lit(name).alias(src)) for name, df in tables.items()])
     counts = [F.count_if(F.col(src) == name).alias(f"n_{name}") for name in tables]
-    agg = tagged.groupBy(key).agg(*counts)
+    agg = tagged.groupBy(by).agg(*counts).withColumnRenamed(by, key)
     return agg.where(reduce(lambda a, b: a | b, [F.col(f"n_{name}") > 1 for name in tables]))
 
 

@@ -3,8 +3,9 @@
 Each split is a projection of one keyed scan, typed to the fixed DDL the
 cleaning steps read with (float columns are 32-bit). Values are read as after a
 CSV hop: strings are trimmed and blank ones are NULL, malformed numbers are
-NULL. The member key is hashed before that, over the untouched values. Column
-pruning keeps each split's scan to its own columns plus the nine key columns.
+NULL. The member key is hashed before that, over the untouched values, and being
+a digest needs no trimming: passed on as it is, it keeps the rows' partitioning by
+key. Column pruning keeps each split's scan to its own columns plus the nine key columns.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def _typed(df: DataFrame, pairs: list[tuple[str, object]], ddl: str) -> DataFram
 
 def split_customers(keyed: DataFrame, country: str = "USA") -> DataFrame:
     pairs = [
-        ("member_id", _KEY), ("emp_title", "emp_title"), ("emp_length", "emp_length"),
+        ("member_id", F.col(_KEY)), ("emp_title", "emp_title"), ("emp_length", "emp_length"),
         ("home_ownership", "home_ownership"), ("annual_inc", "annual_inc"),
         ("addr_state", "addr_state"), ("zip_code", "zip_code"), ("country", F.lit(country)),
         ("grade", "grade"), ("sub_grade", "sub_grade"),
@@ -55,7 +56,7 @@ def split_customers(keyed: DataFrame, country: str = "USA") -> DataFrame:
 
 def split_loans(keyed: DataFrame) -> DataFrame:
     pairs = [
-        ("loan_id", "id"), ("member_id", _KEY), ("loan_amount", "loan_amnt"),
+        ("loan_id", "id"), ("member_id", F.col(_KEY)), ("loan_amount", "loan_amnt"),
         ("funded_amount", "funded_amnt"), ("loan_term_months", "term"),
         ("interest_rate", "int_rate"), ("monthly_installment", "installment"),
         ("issue_date", "issue_d"), ("loan_status", "loan_status"),
@@ -77,7 +78,7 @@ def split_repayments(keyed: DataFrame) -> DataFrame:
 
 def split_defaulters(keyed: DataFrame) -> DataFrame:
     pairs = [
-        ("member_id", _KEY), ("delinq_2yrs", "delinq_2yrs"), ("delinq_amnt", "delinq_amnt"),
+        ("member_id", F.col(_KEY)), ("delinq_2yrs", "delinq_2yrs"), ("delinq_amnt", "delinq_amnt"),
         ("pub_rec", "pub_rec"), ("pub_rec_bankruptcies", "pub_rec_bankruptcies"),
         ("inq_last_6mths", "inq_last_6mths"), ("total_rec_late_fee", "total_rec_late_fee"),
         ("mths_since_last_delinq", "mths_since_last_delinq"),

@@ -11,6 +11,7 @@ the whole chain and prunes columns down to the scans.
 from __future__ import annotations
 
 import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from lendscope.operators import clean, quarantine, score, split
 from lendscope.operators.consolidate import consolidated_view
 from lendscope.rules import DEFAULT_RULES, ScoreRules
 from lendscope.session import input_fingerprint, scratch_path
-from lendscope.sources.files import read_parquet, write_parquet
+from lendscope.sources import catalog
 from lendscope.sources.tables import STAR_TABLES, star_tables
 from lendscope.sources.testbed import keyed_loans, raw_loans
 
@@ -27,6 +28,9 @@ from lendscope.sources.testbed import keyed_loans, raw_loans
 # differ between runs and engines).
 FIXED_INGEST_TS = "2024-01-01 00:00:00"
 
+#: Bytes of input tables a bucket of the written frames stands for, about.
+BUCKET_INPUT_BYTES = 32 << 20
+
 
 class LendingFrames:
     """Named frames of the flow over one data directory, owned by its caller.
@@ -35,8 +39,10 @@ class LendingFrames:
     customers are each written once, as Parquet under the shared checkpoint
     folder, and later frames scan them. That cuts the lineage back to the
     star-schema join (which would otherwise be re-derived in every branch of a
-    plan), shuffles the customers' de-duplication once, and lets each branch read
-    only its own columns. A frame that has a single branch gains nothing from
+    plan) and lets each branch read only its own columns. Both are tables bucketed
+    by the member key, which most later steps group and join by: those read the
+    buckets in place instead of shuffling 64 characters of key a row and table. The
+    wide rows are dealt by the key before they get wide. A frame that has a single branch gains nothing from
     it: ``narrow`` derives such frames straight from the inputs.
     """
 
@@ -53,6 +59,8 @@ class LendingFrames:
         self.delinq_join = delinq_join
         self._write_lock = threading.RLock()
         self._written: dict[str, DataFrame] = {}
+        self._given: set[str] = set()
+        self._db: str | None = None
 
     @cached_property
     def _lazy(self) -> "LendingFrames":
@@ -65,14 +73,27 @@ class LendingFrames:
         table if there is one, else straight from the inputs."""
         return self if "keyed" in self._written or not self.materialize_wide else self._lazy
 
-    def _once(self, name: str, df: DataFrame) -> DataFrame:
-        """``df`` written to a folder of its own on first use, and read back."""
+    @cached_property
+    def buckets(self) -> int:
+        """Buckets of the written frames: as many as the session's shuffles have
+        partitions, more where the inputs are large."""
+        files = input_fingerprint(self.spark, [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in STAR_TABLES])
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+                   sum(length for _, length, _ in files or ()) // BUCKET_INPUT_BYTES)
+
+    def _once(self, name: str, df: DataFrame, key: str, dealt: bool) -> DataFrame:
+        """``df`` written on first use as a table of its own, bucketed by ``key``, and
+        read back; ``dealt``: its rows lie by the buckets already."""
         if not self.materialize_wide:
             return df
         with self._write_lock:  # one writer even if queries are built from several threads
             if name not in self._written:
-                path = scratch_path(self.spark, "frames", name)
-                self._written[name] = read_parquet(self.spark, write_parquet(df, path))
+                if self._db is None:
+                    self._db = f"lendscope_frames_{uuid.uuid4().hex[:12]}"
+                    catalog.create_database(self.spark, self._db, scratch_path(self.spark, "frames", "db"))
+                table = catalog.save_bucketed_table(df, self._db, name, scratch_path(self.spark, "frames", name), key,
+                                                    self.buckets, dealt)
+                self._written[name] = catalog.scan_table(self.spark, table)
             return self._written[name]
 
     def use(self, **frames: DataFrame) -> "LendingFrames":
@@ -82,6 +103,14 @@ class LendingFrames:
             if not isinstance(getattr(type(self), name, None), cached_property):
                 raise AttributeError(f"unknown frame {name!r}")
             self.__dict__[name] = df
+            self._given.add(name)
+        return self
+
+    def use_keyed(self, keyed: DataFrame) -> "LendingFrames":
+        """Take other keyed rows that lie by the key already (from a written keyed table,
+        or dealt over ``buckets`` partitions by ``name_sha2``) and write them as this
+        graph's own."""
+        self.__dict__["keyed"] = self._once("keyed", keyed, "name_sha2", dealt=True)
         return self
 
     # wide table and splits
@@ -91,7 +120,9 @@ class LendingFrames:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return self._once("keyed", keyed_loans(self.raw))
+        dealt = self.materialize_wide and "raw" not in self._given
+        raw = raw_loans(star_tables(self.spark, self.sf_dir), self.repartition, self.buckets) if dealt else self.raw
+        return self._once("keyed", keyed_loans(raw), "name_sha2", dealt)
 
     @cached_property
     def customers_raw(self) -> DataFrame:
@@ -121,7 +152,10 @@ class LendingFrames:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self._once("customers", clean.clean_customers(self.customers_raw, self.ingest_ts))
+        # rows read from the keyed table's buckets are de-duplicated there, and stay there
+        cleaned = clean.clean_customers(self.customers_raw, self.ingest_ts)
+        dealt = "keyed" in self._written and not self._given & {"keyed", "customers_raw"}
+        return self._once("customers", cleaned, "member_id", dealt)
 
     @cached_property
     def loans(self) -> DataFrame:
@@ -195,7 +229,7 @@ class LendingFrames:
     @cached_property
     def consolidated(self) -> DataFrame:
         return consolidated_view(self.customers, self.loans, self.repayments,
-                                 self.delinq_table, self.details_table)
+                                 self.delinq_table, self.details_table, partitioned=self.materialize_wide)
 
     # score
     @cached_property

@@ -60,18 +60,19 @@ def consolidated_view_sql(db: str, customers="customers", loans="loans", repayme
     """The view's SELECT. Customers meet loans as in
     :func:`lendscope.operators.consolidate.left_join_splittable`: an inner join,
     which adaptive execution can split where one member has very many loans,
-    plus the customers without a loan."""
+    plus the customers without a loan. Loans meet their repayments before that."""
     t = lambda n: quoted(f"{db}.{n}")
-    customer, loan = ", ".join(f"c.{x}" for x in CUSTOMER_COLS), ", ".join(f"l.{x}" for x in LOAN_COLS)
-    padding = ", ".join(f"NULL AS {x}" for x in LOAN_COLS)
-    rest = ", ".join([f"r.{x}" for x in REPAYMENT_COLS] + [f"d.{x}" for x in DELINQ_COLS]
-                     + [f"e.{x}" for x in DETAIL_COLS])
+    customer = ", ".join(f"c.{x}" for x in CUSTOMER_COLS)
+    loan = ", ".join(f"l.{x}" for x in LOAN_COLS + REPAYMENT_COLS)
+    lent = ", ".join([f"l.{x}" for x in LOAN_COLS] + [f"r.{x}" for x in REPAYMENT_COLS])
+    padding = ", ".join(f"NULL AS {x}" for x in LOAN_COLS + REPAYMENT_COLS)
+    rest = ", ".join([f"d.{x}" for x in DELINQ_COLS] + [f"e.{x}" for x in DETAIL_COLS])
     return (
         f"SELECT b.*, {rest} FROM ("
-        f"SELECT l.loan_id, {customer}, {loan} FROM {t(customers)} c JOIN {t(loans)} l ON c.member_id = l.member_id "
+        f"SELECT l.loan_id, {customer}, {loan} FROM {t(customers)} c JOIN (SELECT l.loan_id, l.member_id, {lent} "
+        f"FROM {t(loans)} l LEFT JOIN {t(repayments)} r ON l.loan_id = r.loan_id) l ON c.member_id = l.member_id "
         f"UNION ALL SELECT NULL AS loan_id, {customer}, {padding} FROM {t(customers)} c "
         f"LEFT ANTI JOIN (SELECT DISTINCT member_id FROM {t(loans)}) k ON c.member_id = k.member_id) b "
-        f"LEFT JOIN {t(repayments)} r ON b.loan_id = r.loan_id "
         f"LEFT JOIN {t(delinq)} d ON b.member_id = d.member_id "
         f"LEFT JOIN {t(details)} e ON b.member_id = e.member_id"
     )
@@ -99,19 +100,20 @@ def snapshot_table(df: DataFrame, db: str, table: str, location: str) -> str:
 
 
 def save_bucketed_table(df: DataFrame, db: str, table: str, location: str, key: str,
-                        buckets: int) -> str:
+                        buckets: int, dealt: bool = False) -> str:
     """Write ``df`` as a table over ``location`` bucketed and sorted by ``key``.
 
     Later joins and aggregations on ``key`` with the same number of
     partitions read the buckets in place instead of shuffling. The rows are
     first hash-partitioned on ``key`` into ``buckets`` partitions (the same
     hash bucketing uses), so each bucket is written as one file rather than
-    one file per task and bucket.
+    one file per task and bucket; with ``dealt`` the caller has done that.
     """
     name = f"{db}.{table}"
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    rows = df if dealt else df.repartition(buckets, key)
+    (rows.write.mode("overwrite").format("parquet")
      .bucketBy(buckets, key).sortBy(key).option("path", location).saveAsTable(name))
     return name
 

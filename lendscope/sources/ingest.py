@@ -32,6 +32,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lendscope.functions.text import text_to_double
+
 CORRUPT = "_corrupt_record"
 #: Share of a column's values that may not fit its type.
 TOLERANCE = 0.01
@@ -52,7 +54,7 @@ def _fits(c: Column) -> dict[str, Column]:
     """Whether a text cell is a whole number (small or large) or a number."""
     whole = c.rlike(_INTEGER)
     small = whole & F.coalesce(F.abs(c.try_cast("bigint")) <= _INT_MAX, F.lit(False))
-    return {"int": small, "bigint": whole, "double": c.try_cast("double").isNotNull()}
+    return {"int": small, "bigint": whole, "double": whole | text_to_double(c).isNotNull()}
 
 
 def infer_schema(cells: DataFrame, tolerance: float = TOLERANCE) -> StructType:

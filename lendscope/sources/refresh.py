@@ -47,9 +47,11 @@ class ViewInputs:
     repayments: DataFrame
     delinq: DataFrame
     details: DataFrame
+    partitioned: bool = False  # the tables with a member id are read from buckets of it
 
     def view(self) -> DataFrame:
-        return consolidated_view(self.customers, self.loans, self.repayments, self.delinq, self.details)
+        return consolidated_view(self.customers, self.loans, self.repayments, self.delinq, self.details,
+                                 self.partitioned)
 
 
 def bucket_of(member_id: Column, buckets: int) -> Column:
@@ -59,16 +61,22 @@ def bucket_of(member_id: Column, buckets: int) -> Column:
 def fingerprints(inputs: ViewInputs, buckets: int) -> DataFrame:
     """(member_bucket, input, n, h1, h2): rows and sums of row hashes. Loans carry
     their repayments, so that a changed repayment counts for its loan's member."""
-    paid = inputs.repayments.select("loan_id", *REPAYMENT_COLS)
-    tables = {"customers": inputs.customers, "loans": inputs.loans.join(paid, "loan_id", "left"),
-              "delinq": inputs.delinq, "details": inputs.details}
+    def hashes(df: DataFrame, names: tuple[str, str] = ("h1", "h2")) -> list[Column]:
+        cols = [c for c in df.columns if c != "ingest_date"]  # a later load of equal rows is no change
+        return [F.xxhash64(*cols).alias(names[0]), F.xxhash64(F.lit(1), *cols).alias(names[1])]
 
     def hashed(name: str, df: DataFrame) -> DataFrame:
-        cols = [c for c in df.columns if c != "ingest_date"]  # a later load of equal rows is no change
-        return df.select(bucket_of(F.col("member_id"), buckets).alias(_BUCKET), F.lit(name).alias("input"),
-                         F.xxhash64(*cols).alias("h1"), F.xxhash64(F.lit(1), *cols).alias("h2"))
+        return df.select(bucket_of(F.col("member_id"), buckets).alias(_BUCKET), F.lit(name).alias("input"), *hashes(df))
 
-    rows = reduce(lambda a, b: a.unionByName(b), [hashed(n, df) for n, df in tables.items()])
+    # loans meet their repayments as hashes, not as rows
+    paid = inputs.repayments.select("loan_id", *REPAYMENT_COLS)
+    paid = paid.select("loan_id", *hashes(paid, ("p1", "p2")))
+    lent = inputs.loans.select("loan_id", bucket_of(F.col("member_id"), buckets).alias(_BUCKET),
+                               *hashes(inputs.loans)).join(paid, "loan_id", "left")
+    lent = lent.select(_BUCKET, F.lit("loans").alias("input"), F.xxhash64("h1", "p1").alias("h1"),
+                       F.xxhash64("h2", "p2").alias("h2"))
+    tables = {"customers": inputs.customers, "delinq": inputs.delinq, "details": inputs.details}
+    rows = reduce(lambda a, b: a.unionByName(b), [hashed(n, df) for n, df in tables.items()], lent)
     total = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).cast("decimal(38,0)").alias(c)
     return rows.groupBy(_BUCKET, "input").agg(F.count(F.lit(1)).alias("n"), total("h1"), total("h2"))
 
@@ -84,10 +92,9 @@ def _restricted(inputs: ViewInputs, buckets: int, wanted: list[int]) -> ViewInpu
     """The rows of the wanted buckets."""
     def of(df: DataFrame) -> DataFrame:
         return df.where(bucket_of(F.col("member_id"), buckets).isin(wanted))
-    loans = of(inputs.loans)
-    return ViewInputs(of(inputs.customers), loans, inputs.repayments.join(loans.select("loan_id").distinct(), "loan_id",
-                                                                            "left_semi"),
-                      of(inputs.delinq), of(inputs.details))
+    # the view looks repayments up by loan: those of other loans meet nothing
+    return ViewInputs(of(inputs.customers), of(inputs.loans), inputs.repayments, of(inputs.delinq), of(inputs.details),
+                      inputs.partitioned)
 
 
 def _fs(spark: SparkSession, path: str):

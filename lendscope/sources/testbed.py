@@ -25,9 +25,10 @@ from lendscope.rules import MEMBER_KEY_COLUMNS
 from lendscope.sources.tables import StarTables
 
 
-def raw_loans(t: StarTables, repartition: int | None = None) -> DataFrame:
+def raw_loans(t: StarTables, repartition: int | None = None, member_partitions: int | None = None) -> DataFrame:
     """The wide loan table (37 source columns), one row per order. ``repartition``
-    (default: none) deals the orders over that many partitions first."""
+    (default: none) deals the orders over that many partitions first;
+    ``member_partitions`` deals the joined rows by member key, while they are narrow."""
     o = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     o = o.repartition(repartition) if repartition else o
     ncust = t.customer.select(F.count(F.lit(1))).scalar()
@@ -146,7 +147,10 @@ def raw_loans(t: StarTables, repartition: int | None = None) -> DataFrame:
         "mths_since_last_delinq": F.when(b % 3 == 0, F.lit(12.0)).otherwise(null_d),
         "mths_since_last_record": F.when(b % 4 == 0, F.lit(30.0)).otherwise(null_d),
     }
-    return j.select(*[c.alias(n) for n, c in _dirty(cols, b, key).items()])
+    cols = _dirty(cols, b, key)
+    if member_partitions:
+        j = j.repartition(member_partitions, member_key(*[cols[c] for c in MEMBER_KEY_COLUMNS]))
+    return j.select(*[c.alias(n) for n, c in cols.items()])
 
 
 def _dirty(cols: dict, b, key) -> dict:
