@@ -74,13 +74,17 @@ def factorise(customers: DataFrame, loans: DataFrame, repayments: DataFrame, del
         df = df if name == "customers" else df.where(F.col("member_id").isNotNull())
         one = _entries(df, name, block)
         types = {f: _array_type(tables[f], f) for f in FACTORS}
-        parts.append(one.select("member_id", "part", *[
+        # under a name of its own the id keeps the tables' partitioning by it
+        parts.append(one.select(F.col("member_id").alias("__by"), "part", *[
             F.col(f) if f == name else F.lit(None).cast(types[f]).alias(f) for f in FACTORS]))
     stacked = reduce(lambda a, b: a.unionByName(b), parts)
-    merged = stacked.groupBy("member_id", "part").agg(*[
+    merged = stacked.groupBy("__by", "part").agg(*[
         F.coalesce(F.first(f, ignorenulls=True), F.array().cast(_array_type(tables[f], f))).alias(f) for f in FACTORS])
+    merged = merged.withColumnRenamed("__by", "member_id")
     known = customers.select(F.col("member_id").alias("__known")).distinct()
-    return merged.join(known, F.col("member_id").eqNullSafe(F.col("__known")), "left_semi")
+    # rows without an id are customers' own; a plain equality needs no other partitioning
+    return merged.join(known, F.col("member_id") == F.col("__known"), "left").where(
+        F.col("member_id").isNull() | F.col("__known").isNotNull()).drop("__known")
 
 
 def _array_type(df: DataFrame, factor: str) -> str:

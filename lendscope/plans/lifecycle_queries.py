@@ -86,8 +86,11 @@ def factorised_totals(f: LendingFrames) -> DataFrame:
 
 
 def factorised_view(f: LendingFrames) -> DataFrame:
-    """The consolidated view's rows, expanded from its factors."""
-    return factorised.expand(_factors(f))
+    """The consolidated view's rows, expanded from its factors. Each factor is
+    expanded on its own, so the factors are built once and kept, by member."""
+    kept = catalog.save_bucketed_table(_factors(f), _db(f.spark, "lendscope_factors"), "factors",
+                                       _path(f.spark, "factors"), "member_id", f.buckets)
+    return factorised.expand(catalog.scan_table(f.spark, kept))
 
 
 def factorised_members(f: LendingFrames) -> DataFrame:
@@ -109,12 +112,13 @@ def _earlier(f: LendingFrames) -> LendingFrames:
         "last_pymnt_amnt": F.when(rest == 14, F.lit(1.0)).otherwise(F.col("last_pymnt_amnt"))})
     gone = now.where(rest == 13).withColumns({"id": F.concat(F.lit("gone-"), "id"),
                                               "name_sha2": F.sha2(F.concat(F.lit("gone-"), "name_sha2"), 256)})
-    return LendingFrames(f.spark, f.sf_dir, f.ingest_ts, f.rules, materialize_wide=False).use(
-        keyed=other.unionByName(gone))
+    return LendingFrames(f.spark, f.sf_dir, f.ingest_ts, f.rules).use_keyed(
+        other.unionByName(gone.repartition(f.buckets, "name_sha2")))
 
 
 def _inputs(f: LendingFrames) -> ViewInputs:
-    return ViewInputs(f.customers, f.loans, f.repayments, f.delinq_table, f.details_table)
+    return ViewInputs(f.customers, f.loans, f.repayments, f.delinq_table, f.details_table,
+                      partitioned=f.materialize_wide)
 
 
 def snapshot_refresh(f: LendingFrames) -> DataFrame:
