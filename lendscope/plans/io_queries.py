@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lendscope import schemas
-from lendscope.operators import clean, profile, quarantine
+from lendscope.operators import clean
 from lendscope.operators.split import split_loans_source
 from lendscope.plans.frames import FIXED_INGEST_TS, FrameStore, LendingFrames
 from lendscope.session import scratch_path
@@ -41,13 +41,9 @@ def scan_csv_inferred(f: LendingFrames) -> DataFrame:
 
 
 def sink_csv_single_file(f: LendingFrames) -> DataFrame:
-    """A report for people as one CSV file: how many members are duplicated, by
-    table. It has a line per table whatever the input; the id list itself is
-    written partitioned."""
-    counts = quarantine.duplicate_counts(f.quarantine_sources)
-    report = profile.metric_rows(counts, "duplicate_member_ids", {
-        name: F.count_if(F.col(f"n_{name}") > 1) for name in f.quarantine_sources} | {"any": F.count(F.lit(1))})
-    path = write_csv(report, _path(f.spark, "duplicate_member_ids_report"), single_file=True, line_breaks=" ")
+    """The duplicate-id report, every id, as one CSV file, read back with schema
+    inference. The ids are found by all tasks; one task writes them."""
+    path = write_csv(f.dup_ids, _path(f.spark, "duplicate_member_ids_report"), single_file=True, line_breaks=" ")
     return read_csv_inferred(f.spark, path)
 
 
