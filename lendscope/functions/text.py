@@ -14,6 +14,15 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def text_to_double(col: str | Column) -> Column:
+    """``try_cast`` to double for text that is often no number. A failed parse costs an
+    exception, so only what can begin a number is parsed: a character up to '9'
+    (blanks, signs, the point and digits among them) or the i and n of Infinity and NaN."""
+    c = _c(col)
+    first = F.lower(F.substring(c, 1, 1))
+    return F.when((c < F.lit(":")) | first.isin("i", "n"), c.try_cast("double"))
+
+
 def digits_to_int(col: str | Column) -> Column:
     """Drop every non-digit, then parse as int: '10+ years' -> 10, 'n/a' -> NULL."""
     return F.regexp_replace(_c(col), r"\D", "").try_cast("int")
@@ -35,7 +44,7 @@ def cap_state_code(col: str | Column, max_len: int = STATE_CODE_MAX_LENGTH,
 def zero_sentinel_to_null(col: str | Column) -> Column:
     """Strings that read as the number 0 ('0.0', '0') become NULL; others are kept."""
     c = _c(col)
-    return F.when(c.try_cast("double") == F.lit(0.0), F.lit(None).cast("string")).otherwise(c)
+    return F.when(text_to_double(c) == F.lit(0.0), F.lit(None).cast("string")).otherwise(c)
 
 
 def lit_timestamp(ts: _dt.datetime | str | None) -> Column:

@@ -53,3 +53,12 @@ def test_zero_sentinel_to_null(spark):
     assert [r.v for r in df.select(zero_sentinel_to_null("s").alias("v")).collect()] == \
         [None, None, "Mar-2019", None]
     assert df.select(zero_sentinel_to_null(F.col("s")).alias("v")).schema["v"].dataType.simpleString() == "string"
+
+
+def test_text_to_double_parses_what_a_cast_does(spark):
+    from lendscope.functions.text import text_to_double
+    cells = ["0.0", " 1.5", "\t2", "-3", "+4", ".5", "1e3", "1d", "NaN", "nan", "Infinity", "-inf", "inf", "+Infinity",
+             "Mar-2019", "n/a", "", " ", "none", "Iowa", " 1", "x", None, "0x1p3", "5."]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
+    got = df.select("i", text_to_double("c").cast("string").alias("a"), F.col("c").try_cast("double").cast("string").alias("b"))
+    assert [r for r in got.collect() if r.a != r.b] == []
