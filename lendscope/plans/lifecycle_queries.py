@@ -139,12 +139,18 @@ def _load(f: LendingFrames, rows: Column) -> dict[str, DataFrame]:
             "loans_defaulters_details": part.details_table}
 
 
+def _quarantine_state(f: LendingFrames) -> QuarantineState:
+    """A new state, kept in the buckets that the loads are read from."""
+    return QuarantineState(f.spark, _path(f.spark, "quarantine_state"), distinct=["customers"],
+                           db=_db(f.spark, "lendscope_quarantine"), buckets=f.buckets, dealt=f.materialize_wide)
+
+
 def quarantine_loads(f: LendingFrames) -> DataFrame:
     """Two loads and a retraction merged into one quarantine state: which ids
     enter or leave with each."""
     key = _order(f)
     second = (key % 40 == 0) | (key % 3 == 1)
-    state = QuarantineState(f.spark, _path(f.spark, "quarantine_state"), distinct=["customers"])
+    state = _quarantine_state(f)
     steps = [state.merge("load-1", _load(f, ~second)), state.merge("load-2", _load(f, second)),
              state.merge("retraction-3", _load(f, key % 120 == 0), sign=-1)]
     return reduce(lambda a, b: a.unionByName(b),
@@ -154,7 +160,7 @@ def quarantine_loads(f: LendingFrames) -> DataFrame:
 def quarantine_after_loads(f: LendingFrames) -> DataFrame:
     """The ids quarantined after two loads, from compacted counts: those of one load."""
     second = (_order(f) % 40 == 0) | (_order(f) % 3 == 1)
-    state = QuarantineState(f.spark, _path(f.spark, "quarantine_state"), distinct=["customers"])
+    state = _quarantine_state(f)
     state.merge("load-1", _load(f, ~second))
     state.merge("load-2", _load(f, second))
     state.compact("all-2")
