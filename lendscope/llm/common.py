@@ -35,6 +35,15 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tables of up to this many (narrow) rows go to every task, so that the other side of a join stays where it is
+LOOKUP_ROWS = 100_000
+
+
+def lookup(df: DataFrame, small: bool) -> DataFrame:
+    """``df`` as the side of a join that is sent to every task, if it is ``small``."""
+    return F.broadcast(df) if small else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,8 +16,9 @@ against all members of other components: in a small bucket as pairs, in a large
 one block against block inside a task, with no row per pair. What is compared
 there is a histogram of element hashes, which bounds the overlap from above; only
 pairs whose bound allows ``threshold`` leave the task. A first pass emits the
-``NEAREST`` best of each stray, which joins most of them; a second emits every
-pair left over between components, so no link between components is lost. Every
+``NEAREST`` best of each stray, which joins most of them, and names the strays that
+had more; for these a second emits every pair left over between components, so no
+link between components is lost (all pairs of the others came with the first). Every
 link is verified on the whole multisets; a node's multiset is sent once for each
 block of pairs that it leads.
 
@@ -39,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lendscope.llm.common import batch, byte_texts, staged
+from lendscope.llm.common import LOOKUP_ROWS, batch, byte_texts, lookup, staged
 from lendscope.llm.components import components
 from lendscope.llm.words import ALNUM, hash_words, mix, windows
 
@@ -289,7 +290,8 @@ def plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
     """The pairs (a, b) whose sizes and histograms allow the threshold."""
     def side(name: str) -> DataFrame:
         return nodes.select(F.col("node").alias(name), F.col("total").alias(f"n{name}"), F.col("cells").alias(f"c{name}"))
-    sized = (pairs.join(side("b"), "b").join(side("a"), "a")
+    # a few nodes lead very many pairs: these are dealt by ``b`` last, evenly
+    sized = (pairs.join(side("a"), "a").join(side("b"), "b")
              .where(F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(threshold - 1e-9)))
     return sized.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(_plausible(threshold), "a long, b long")
 
@@ -306,12 +308,12 @@ def _verify(threshold: float):
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float, small: bool = False) -> DataFrame:
     """The pairs (a, b) with a similarity of ``threshold`` or more. ``a`` leads: its
-    multiset is sent once for each ``PAIRS_PER_COPY`` of its pairs."""
+    multiset is sent once for each ``PAIRS_PER_COPY`` of its pairs. ``small``: few pairs."""
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_COPY).cast("int").alias("copies"))
     copy = F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")
-    follow = (pairs.join(many, "a").withColumn("copy", copy).select("a", "b", "copy")
+    follow = (pairs.join(lookup(many, small), "a").withColumn("copy", copy).select("a", "b", "copy")
               .join(sets.select(F.col("node").alias("b"), "elements"), "b"))
     lead = (many.select("a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
             .join(sets.select(F.col("node").alias("a"), "elements"), "a").toDF("lead", "nth", "whole"))
@@ -330,40 +332,58 @@ def _against(threshold: float, most: int | None):
                 other = block.within_reach(node, total, group, np.frombuffer(cells, "<u2"), threshold, most)
                 out_a.append(np.minimum(other, node))
                 out_b.append(np.maximum(other, node))
+                if most is not None and len(other) >= most:  # perhaps not all: a pair with itself says so
+                    out_a.append(np.array([node]))
+                    out_b.append(np.array([node]))
         a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
         b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
         return pa.Table.from_batches([batch(_PAIRS, a, b)], _PAIRS)
     return run
 
 
-def _stray_pairs(members: DataFrame, nodes: DataFrame, comp: DataFrame, threshold: float,
-                 most: int | None) -> DataFrame:
-    """Plausible pairs (a, b) of strays with members of other components of their bucket."""
+def _stray_pairs(members: DataFrame, nodes: DataFrame, comp: DataFrame, threshold: float, few_links: bool,
+                 tried: DataFrame, cut: DataFrame | None = None) -> DataFrame | None:
+    """Plausible pairs (a, b) of strays with members of other components of their
+    bucket, none of them ``tried``, and a pair (a, a) of each stray that may have more;
+    None without strays. With ``cut``, the strays named there: all their pairs in large buckets."""
     bucket = ["band", "key"]
-    placed = (members.where("n > 2")  # of two, the pair has been compared
-              .join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    first = placed.where("node = pivot").select(*bucket, F.col("component").alias("main"))
-    placed = staged(placed.join(first, bucket), "placed")
+    most = NEAREST if cut is None else None
+    of = lambda node, name: lookup(comp.select(F.col("node").alias(node), F.col("component").alias(name)), few_links)
+    placed = (members.where("n > 2" if cut is None else F.col("n") > SMALL)  # of two, the pair has been compared
+              .join(of("node", "component"), "node", "left").join(of("pivot", "main"), "pivot", "left")
+              .select(*bucket, "n", "node", F.coalesce("component", "node").alias("component"),
+                      F.coalesce("main", "pivot").alias("main")))
+    placed = staged(placed, "placed")
     strays = placed.where("component <> main")
-    open_ = (strays.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n_strays"))
-             .join(placed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n_all")), bucket))
+    if cut is not None:
+        strays = strays.join(lookup(cut, few_links), "node", "left_semi")
+    n_strays = strays.count()
+    if not n_strays:
+        return None
+    few, tried = n_strays <= LOOKUP_ROWS, lookup(tried, tried.count() <= LOOKUP_ROWS)
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    open_ = staged(open_.select(*bucket, "n_all", blocks("n_strays").alias("i_n"), blocks("n_all").alias("j_n")), "open")
-    small, large = open_.where(F.col("n_all") <= SMALL), open_.where(F.col("n_all") > SMALL)
-    few = placed.join(small.select(*bucket), bucket).select(*bucket, "node", "component", "main")
-    other = few.select(*bucket, F.col("node").alias("b"), F.col("component").alias("other"))
-    pairs = (few.where("component <> main").select(*bucket, F.col("node").alias("a"), "component").join(other, bucket)
-             .where("component <> other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    held = placed.join(large.select(*bucket, "i_n", "j_n"), bucket).join(nodes.select("node", "total", "cells"), "node")
+    open_ = (strays.where(F.col("n") > SMALL).groupBy(*bucket).agg(F.count(F.lit(1)).alias("n_strays"), F.max("n").alias("n_all"))
+             .select(*bucket, blocks("n_strays").alias("i_n"), blocks("n_all").alias("j_n")))
+    held = (placed.join(lookup(open_, few), bucket).join(nodes.select("node", "total", "cells"), "node"))
     part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     what = [*bucket, "i", "j", "node", "total", "component", "cells"]
-    left = held.where("component <> main").withColumn("i", part("i_n")).withColumn("j", span("j_n")).select(*what)
+    left = held.where("component <> main")
+    if cut is not None:
+        left = left.join(lookup(cut, few_links), "node", "left_semi")
+    left = left.withColumn("i", part("i_n")).withColumn("j", span("j_n")).select(*what)
     right = held.withColumn("j", part("j_n")).withColumn("i", span("i_n")).select(*what)
     unit = [*bucket, "i", "j"]
     right = right.toDF(*[f"r_{c}" for c in what])
-    near = left.groupBy(*unit).cogroup(right.groupBy(*[f"r_{c}" for c in unit])).applyInArrow(_against(threshold, most), "a long, b long")
-    return plausible(pairs, nodes, threshold).unionByName(near.distinct())
+    near = (left.groupBy(*unit).cogroup(right.groupBy(*[f"r_{c}" for c in unit]))
+            .applyInArrow(_against(threshold, most), "a long, b long"))
+    if cut is not None:
+        return near.distinct().join(tried, ["a", "b"], "left_anti")
+    one = strays.where(F.col("n") <= SMALL).select(*bucket, F.col("node").alias("a"), "component")
+    other = placed.where(F.col("n") <= SMALL).select(*bucket, F.col("node").alias("b"), F.col("component").alias("other"))
+    pairs = (other.join(lookup(one, few), bucket).where("component <> other")
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return plausible(pairs, nodes, threshold).unionByName(near).distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands: int, rows: int,
@@ -386,30 +406,44 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, band
     sized = nodes.select("node", "total", "cells")
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        """The verified ones of plausible pairs; their texts are read for it."""
-        pairs = staged(pairs, "plausible")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = staged(nodes.select("node", "hi", "lo", "rep").join(ids, "node"), "wanted")
-        reps = wanted.select(F.col("rep").alias("doc_id")).distinct()
+        """The verified ones of written pairs; their texts are read for it."""
+        few = pairs.count() <= LOOKUP_ROWS // 2
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        wanted = staged(nodes.select("node", "hi", "lo", "rep").join(lookup(ids if few else ids.distinct(), few), "node", "left_semi"),
+                        "wanted")
+        reps = wanted.select(F.col("rep").alias("doc_id"))
         reps = F.broadcast(reps) if wanted.count() <= broadcast_rows else reps
         sets = (texts.join(reps, "doc_id", "left_semi").select("text").mapInArrow(_element_sets, "hi long, lo long, elements binary")
-                .join(wanted.select("hi", "lo", "node"), ["hi", "lo"]).dropDuplicates(["node"]).select("node", "elements"))
-        return staged(verified(pairs, staged(sets, "multisets", "none"), threshold), "verified")
+                .join(lookup(wanted.select("hi", "lo", "node"), few), ["hi", "lo"]).dropDuplicates(["node"]).select("node", "elements"))
+        sets = sets if few else staged(sets, "multisets", "none")
+        return staged(verified(pairs, sets, threshold, few), "verified")
 
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = links_of(plausible(pairs, sized, threshold))
-    comp = components(links)
-    for most in (NEAREST, None):
-        found = links_of(_stray_pairs(members, sized, comp, threshold, most))
-        if not found.isEmpty():
+    tried = staged(plausible(pairs, sized, threshold), "plausible")
+    links = links_of(tried)
+    comp, few = components(links), links.count() <= LOOKUP_ROWS // 2
+    cut = None
+    for again in (False, True):
+        found = None if again and not cut.count() else _stray_pairs(members, sized, comp, threshold, few, tried, cut)
+        if found is None:
+            break
+        found = staged(found, "plausible")
+        cut = found.where("a = b").select(F.col("a").alias("node"))
+        found = found.where("a <> b")
+        tried = tried.unionByName(found)
+        if not found.count():
+            continue
+        found = links_of(found)
+        if found.count():
             links = links.unionByName(found)
-            comp = components(links)
+            comp, few = components(links), links.count() <= LOOKUP_ROWS // 2
     # a class has the smallest id of its nodes, and the first node with it is the one that stays
-    placed = (nodes.select("node", "hi", "lo", "rep").join(comp, "node", "left")
-              .withColumn("component", F.coalesce("component", "node")))
+    placed = nodes.select("node", "rep").join(lookup(comp, few), "node")
     heads = placed.groupBy("component").agg(F.min(F.struct("rep", "node")).alias("head"))
-    class_of = placed.join(heads, "component").select("hi", "lo", F.col("head.rep").alias("class"),
-                                                      (F.col("head.node") == F.col("node")).alias("first"))
+    head_of = comp.join(lookup(heads, few), "component").select("node", "head")
+    class_of = (nodes.select("node", "hi", "lo", "rep").join(lookup(head_of, few), "node", "left")
+                .select("hi", "lo", F.coalesce("head.rep", "rep").alias("class"),
+                        F.coalesce(F.col("head.node") == F.col("node"), F.lit(True)).alias("first")))
     return (signed.select("doc_id", "raw_key", F.when(usable, F.col("hi")).alias("hi"), "lo")
             .join(class_of, ["hi", "lo"], "left")
             .select("doc_id", "raw_key", F.coalesce("class", "doc_id").alias("class_id"),

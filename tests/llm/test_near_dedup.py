@@ -145,6 +145,54 @@ def test_rows_that_leave_a_large_bucket_grow_in_proportion(docs_of, monkeypatch)
     assert counts[1] < 3 * counts[0]
 
 
+def test_no_pair_is_verified_twice(docs_of, monkeypatch):
+    """The second pass takes the strays that had more pairs than the first gave, and
+    only pairs that were not verified yet; where no stray had more, there is none."""
+    seen, passes = [], []
+    whole, pairs_of = md.verified, md._stray_pairs
+    monkeypatch.setattr(md, "verified", lambda pairs, *a: (seen.extend((r.a, r.b) for r in pairs.collect()), whole(pairs, *a))[1])
+    monkeypatch.setattr(md, "_stray_pairs", lambda *a: (passes.append(1), pairs_of(*a))[1])
+    for nearest, least, most in ((2, 2, 2), (10_000, 1, 1)):
+        monkeypatch.setattr(md, "NEAREST", nearest)
+        seen.clear()
+        passes.clear()
+        rows = family(1, 160, 6)
+        got = {r.doc_id: r.class_id for r in md.near_duplicate_classes(docs_of(rows)).collect()}
+        assert got == brute(rows)
+        assert len(seen) == len(set(seen)) > 0 and all(a < b for a, b in seen)
+        assert least <= len(passes) <= most
+
+
+def test_few_and_many_links_give_the_same_components(spark, docs_of, monkeypatch):
+    from lendscope.llm import components as cp
+    rnd = random.Random(4)
+    links = [(rnd.randrange(500), rnd.randrange(500)) for _ in range(400)]
+    df = spark.createDataFrame(links, "a long, b long")
+    few = sorted(components(df).collect())
+    monkeypatch.setattr(cp, "LOOKUP_ROWS", 0)
+    monkeypatch.setattr(md, "LOOKUP_ROWS", 0)
+    assert sorted(components(df).collect()) == few
+    rows = family(3, 60, 6)
+    assert {r.doc_id: r.class_id for r in md.near_duplicate_classes(docs_of(rows)).collect()} == brute(rows)
+
+
+def test_a_round_of_components_shuffles_three_times(spark):
+    """Of few links: two aggregates and the result, and one for the check."""
+    links = [(i, i + 1) for i in range(0, 400, 2)] + [(1000, 1001 + i) for i in range(300)]
+    sc = spark.sparkContext
+    seen = set(sc.statusTracker().getJobIdsForGroup("star"))
+    df = spark.createDataFrame(links, "a long, b long")
+    sc.setJobGroup("star", "links that one round settles")
+    try:
+        components(df)
+        jobs = set(sc.statusTracker().getJobIdsForGroup("star")) - seen
+        stages = {s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds}
+        run = [s for s in stages if (i := sc.statusTracker().getStageInfo(s)) and i.numCompletedTasks]
+    finally:
+        sc.setJobGroup("", "")
+    assert len(run) <= 11
+
+
 def test_histograms_bound_the_overlap():
     rnd = np.random.default_rng(8)
     pool = rnd.integers(1, 1 << 63, 9000).astype(np.uint64)
