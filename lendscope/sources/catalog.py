@@ -33,15 +33,18 @@ def create_database(spark: SparkSession, db: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(db)} LOCATION {literal(location)}")
 
 
-def create_external_table(spark: SparkSession, db: str, table: str, ddl: str, location: str) -> str:
+def create_external_table(spark: SparkSession, db: str, table: str, ddl: str, location: str,
+                          key: str | None = None, buckets: int = 0) -> str:
     """(Re)declare ``db.table`` with explicit columns over Parquet files at ``location``.
 
     Columns bind to the files by name; a declared column absent from the
-    files reads as NULL.
+    files reads as NULL. ``key`` and ``buckets`` are those of files that
+    :func:`save_bucketed_table` wrote.
     """
     name = f"{db}.{table}"
+    dealt = f" CLUSTERED BY ({quoted(key)}) SORTED BY ({quoted(key)}) INTO {buckets} BUCKETS" if key else ""
     spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
-    spark.sql(f"CREATE TABLE {quoted(name)} ({ddl}) USING parquet LOCATION {literal(location)}")
+    spark.sql(f"CREATE TABLE {quoted(name)} ({ddl}) USING parquet{dealt} LOCATION {literal(location)}")
     return name
 
 
@@ -56,25 +59,36 @@ def scan_temp_view(spark: SparkSession, df: DataFrame, view: str, sql: str) -> D
 
 
 def consolidated_view_sql(db: str, customers="customers", loans="loans", repayments="loans_repayments",
-                          delinq="loans_defaulters_delinq", details="loans_defaulters_details") -> str:
+                          delinq="loans_defaulters_delinq", details="loans_defaulters_details",
+                          partitioned: bool = False) -> str:
     """The view's SELECT. Customers meet loans as in
     :func:`lendscope.operators.consolidate.left_join_splittable`: an inner join,
     which adaptive execution can split where one member has very many loans,
-    plus the customers without a loan. Loans meet their repayments before that."""
+    plus the customers without a loan. Loans meet their repayments before that,
+    customers their delinquency and details: nothing is joined by member after
+    the loans, since that would need a split join's rows shuffled once more, and
+    adaptive execution then leaves the join whole. For the same reason the
+    customers' side gets a shuffle of its own, by an expression for the member id.
+    With ``partitioned`` it does not, for tables of members and loans in equal
+    buckets of the member id (then nothing can be split)."""
     t = lambda n: quoted(f"{db}.{n}")
-    customer = ", ".join(f"c.{x}" for x in CUSTOMER_COLS)
-    loan = ", ".join(f"l.{x}" for x in LOAN_COLS + REPAYMENT_COLS)
-    lent = ", ".join([f"l.{x}" for x in LOAN_COLS] + [f"r.{x}" for x in REPAYMENT_COLS])
-    padding = ", ".join(f"NULL AS {x}" for x in LOAN_COLS + REPAYMENT_COLS)
-    rest = ", ".join([f"d.{x}" for x in DELINQ_COLS] + [f"e.{x}" for x in DETAIL_COLS])
+    of = lambda table, columns: [f"{table}.{x}" for x in columns]
+    rest = of("d", DELINQ_COLS) + of("e", DETAIL_COLS)
+    joined = f"LEFT JOIN {t(delinq)} d ON c.member_id = d.member_id LEFT JOIN {t(details)} e ON c.member_id = e.member_id"
+    # the same value: a delinquency row is joined by an equal id or is all NULL
+    member = "c.member_id" if partitioned else "coalesce(c.member_id, d.member_id) AS member_id"
+    borrower = ", ".join([member] + of("c", CUSTOMER_COLS[1:]) + rest)
+    lent = ", ".join(["l.loan_id", "l.member_id"] + of("l", LOAN_COLS) + of("r", REPAYMENT_COLS))
+    matched = ", ".join(["l.loan_id"] + of("m", CUSTOMER_COLS) + of("l", LOAN_COLS + REPAYMENT_COLS)
+                        + of("m", DELINQ_COLS + DETAIL_COLS))
+    unmatched = ", ".join(["NULL AS loan_id"] + of("c", CUSTOMER_COLS)
+                          + [f"NULL AS {x}" for x in LOAN_COLS + REPAYMENT_COLS] + rest)
     return (
-        f"SELECT b.*, {rest} FROM ("
-        f"SELECT l.loan_id, {customer}, {loan} FROM {t(customers)} c JOIN (SELECT l.loan_id, l.member_id, {lent} "
-        f"FROM {t(loans)} l LEFT JOIN {t(repayments)} r ON l.loan_id = r.loan_id) l ON c.member_id = l.member_id "
-        f"UNION ALL SELECT NULL AS loan_id, {customer}, {padding} FROM {t(customers)} c "
-        f"LEFT ANTI JOIN (SELECT DISTINCT member_id FROM {t(loans)}) k ON c.member_id = k.member_id) b "
-        f"LEFT JOIN {t(delinq)} d ON b.member_id = d.member_id "
-        f"LEFT JOIN {t(details)} e ON b.member_id = e.member_id"
+        f"SELECT {matched} FROM (SELECT {borrower} FROM {t(customers)} c {joined}) m "
+        f"JOIN (SELECT {lent} FROM {t(loans)} l LEFT JOIN {t(repayments)} r ON l.loan_id = r.loan_id) l "
+        f"ON m.member_id = l.member_id "
+        f"UNION ALL SELECT {unmatched} FROM {t(customers)} c "
+        f"LEFT ANTI JOIN (SELECT DISTINCT member_id FROM {t(loans)}) k ON c.member_id = k.member_id {joined}"
     )
 
 

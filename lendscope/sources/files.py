@@ -57,8 +57,8 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, line_breaks:
     return path
 
 
-def write_parquet(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, compression: str | None = None) -> str:
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return path
 
 
